@@ -77,8 +77,7 @@ def run(spark: SparkSession, settings: Settings, args: argparse.Namespace) -> No
             }[args.command]()
             streaming_status(spark).show(truncate=False)
             if args.once:
-                for query in started:
-                    jobs.finish(query)
+                jobs.finish(*started)
             else:
                 await_any(spark)
         case "maintain":

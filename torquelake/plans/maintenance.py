@@ -44,11 +44,11 @@ def plan_compaction(files: DataFrame, target_bytes: int, min_bytes: int) -> Data
         .agg(F.sum("bytes").alias("_sum"))
         .select("_group", "_digits", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
     )
-    start = F.col("_shift") + F.col("_running") - F.col("bytes")
     return (
         small.withColumn("_running", running)
         .join(shifts, ["_group", "_digits"])
-        .select("partition", "path", "bytes", F.floor(start / target_bytes).alias("bin"))
+        .withColumn("bin", F.expr(f"(_shift + _running - bytes) div {target_bytes}"))
+        .select("partition", "path", "bytes", "bin")
     )
 
 
@@ -214,21 +214,20 @@ def table_orphans(spark: SparkSession, table: Table, settings: Settings, as_of:
     return plan_orphans(listing, referenced, as_of, settings.orphan_days)
 
 
-def delete_files(rows: Iterable[Row]) -> None:
-    """Delete the files of ``path``. A file that is gone already is no error."""
-    from pyarrow import fs
+def remove_files(orphans: DataFrame) -> None:
+    """Delete the files of an orphan plan, on the executors. A file that is gone already is no error."""
 
-    for row in rows:
-        uri = re.sub(r"^file:/+", "file:///", row.path)
-        uri = re.sub(r"^s3[an]:", "s3:", uri)
-        system, path = fs.FileSystem.from_uri(uri)
-        if system.get_file_info(path).type == fs.FileType.File:
-            system.delete_file(path)
+    def delete(rows: Iterable[Row]) -> None:
+        from pyarrow import fs
 
+        for row in rows:
+            uri = re.sub(r"^file:/+", "file:///", row.path)
+            uri = re.sub(r"^s3[an]:", "s3:", uri)
+            system, path = fs.FileSystem.from_uri(uri)
+            if system.get_file_info(path).type == fs.FileType.File:
+                system.delete_file(path)
 
-def remove_files(orphans: DataFrame) -> None:
-    """Delete the files of an orphan plan, on the executors."""
-    orphans.select("path").foreachPartition(delete_files)
+    orphans.select("path").foreachPartition(delete)
 
 
 def maintain(spark: SparkSession, table: Table, settings: Settings, as_of: datetime, apply: bool = False) -> DataFrame:

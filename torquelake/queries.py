@@ -85,7 +85,7 @@ def topic_source_parse(spark: SparkSession, folder: str) -> DataFrame:
 def topic_roundtrip_enriched(spark: SparkSession, folder: str) -> DataFrame:
     settings = run_settings(spark, "topic-roundtrip")
     write_topic(messages(spark, folder), config.TOPIC_SENSORS, settings)
-    profile = given.given_dimension(spark, folder, settings)
+    profile = given.given_dimension(spark, folder, SETTINGS)
     stream = jobs.enriched_stream(topic_source(spark, config.TOPIC_SENSORS, settings), profile, settings)
     writer = topic_sink(to_payload(stream), config.TOPIC_ENRICHED, settings, jobs.ENRICH_TOPIC)
     jobs.finish(writer.trigger(availableNow=True).start())
@@ -95,7 +95,7 @@ def topic_roundtrip_enriched(spark: SparkSession, folder: str) -> DataFrame:
 def stream_enriched_table(spark: SparkSession, folder: str) -> DataFrame:
     settings = run_settings(spark, "enriched-table")
     write_topic(messages(spark, folder), config.TOPIC_SENSORS, settings)
-    profile = given.given_dimension(spark, folder, settings)
+    profile = given.given_dimension(spark, folder, SETTINGS)
     jobs.finish(jobs.start_enrich_topic(spark, settings, profile, once=True))
     jobs.finish(jobs.start_flag_table(spark, settings, once=True))
     return unzoned(tables.read_table(spark, tables.ENRICHED, settings))
@@ -276,7 +276,7 @@ def stream_notifications(spark: SparkSession, folder: str) -> DataFrame:
 def stream_chain_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     settings = run_settings(spark, "chain")
     write_topic(messages(spark, folder), config.TOPIC_SENSORS, settings)
-    jobs.run_chain_once(spark, settings, given.given_dimension(spark, folder, settings))
+    jobs.run_chain_once(spark, settings, given.given_dimension(spark, folder, SETTINGS))
     return unzoned(tables.read_table(spark, tables.SUMMARY, settings))
 
 

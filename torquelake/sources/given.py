@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from torquelake.config import Settings
 from torquelake.operators.dimension import Dimension
@@ -11,8 +14,15 @@ from torquelake.operators.enrich import car_dimension
 from torquelake.sources.dims import color_dimension, model_dimension
 
 
+@lru_cache(maxsize=256)
+def _stored_schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
+
+
 def given_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table. Its schema is read from the files once per session, like from a catalog."""
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_stored_schema(spark, path)).parquet(path)
 
 
 def given_cars(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,7 +53,9 @@ def given_sensors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=64)
 def given_dimension(spark: SparkSession, folder: str, settings: Settings) -> Dimension:
+    """The car profile, measured once per session: the given tables do not change."""
     return car_dimension(given_cars(spark, folder), model_dimension(spark), color_dimension(spark), settings)
 
 

@@ -171,15 +171,23 @@ def start_alert_notifications(
         return start_table_sink(_paced(sink, once, settings.trigger), NOTIFICATIONS, settings)
 
 
-def finish(query: StreamingQuery) -> None:
-    """Wait for a query started with ``once``; a failure is raised here."""
-    query.awaitTermination()
+def finish(*queries: StreamingQuery) -> None:
+    """Wait for queries started with ``once``; a failure is raised here."""
+    for query in queries:
+        query.awaitTermination()
 
 
 def run_chain_once(spark: SparkSession, settings: Settings, profile: Dimension | None = None) -> None:
-    """Take everything in the sensor topic through all stages, then stop."""
-    finish(start_enrich_topic(spark, settings, profile, once=True))
-    finish(start_raw_table(spark, settings, once=True))
-    finish(start_flag_table(spark, settings, once=True))
-    finish(start_alert_topic(spark, settings, once=True))
+    """Take everything in the sensor topic through all stages, then stop.
+
+    The queries of one job run side by side; a job starts when its topic is complete.
+    """
+    finish(
+        start_enrich_topic(spark, settings, profile, once=True),
+        start_raw_table(spark, settings, once=True),
+    )
+    finish(
+        start_flag_table(spark, settings, once=True),
+        start_alert_topic(spark, settings, once=True),
+    )
     finish(start_alert_summary(spark, settings, once=True, starting="earliest"))
