@@ -41,7 +41,7 @@ def test_commands(spark, command, tmp_path):
     assert counted.strip().splitlines()[-1] == "918"
     windows = call("query", "SELECT count(*) AS n FROM dims.notifications")
     assert windows.strip().splitlines()[-1] == "905"
-    assert "loads to merge" in call("maintain", "dims", "cars_enriched")
+    assert "folders to merge" in call("maintain", "dims", "cars_enriched")
     call("init")
     assert "*7* rows" in call("count", "dims.car_models")
     assert "*1,000* rows" in call("count", "dims.cars_enriched")

@@ -9,7 +9,7 @@ from torquelake.sources.topics import kafka_read_options, kafka_write_options
 
 def fake_session(master, folder=None):
     conf = {} if folder is None else {"spark.checkpoint.dir": folder}
-    context = SimpleNamespace(master=master, getConf=lambda: conf)
+    context = SimpleNamespace(master=master, getConf=lambda: conf, getCheckpointDir=lambda: None)
     return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
 
 

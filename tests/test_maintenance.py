@@ -111,7 +111,7 @@ def test_maintenance_merges_then_removes(spark, fragmented):
     now = datetime.now() + timedelta(hours=1)
 
     told = {row.step: row.items for row in maintenance.maintain(spark, table, settings, now).collect()}
-    assert told["loads to merge"] > 0 and told["orphan files"] == 0
+    assert told["folders to merge"] > 0 and told["orphan files"] == 0
     assert not any("compacted" in folder for folder in folders(spark, table))
 
     maintenance.maintain(spark, table, settings, now, apply=True)
@@ -125,7 +125,7 @@ def test_maintenance_merges_then_removes(spark, fragmented):
     later = now + timedelta(days=2)
     assert maintenance.table_orphans(spark, table, settings, now).count() == 0
     orphans = maintenance.table_orphans(spark, table, settings, later).count()
-    assert orphans >= told["loads to merge"]
+    assert orphans >= told["folders to merge"]
     maintenance.maintain(spark, table, settings, later, apply=True)
     assert maintenance.table_orphans(spark, table, settings, later).count() == 0
     assert tables.read_table(spark, table, settings).count() == 3000

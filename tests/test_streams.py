@@ -115,7 +115,7 @@ def test_loads_are_named_after_query_and_batch(spark, settings, tmp_path):
     write_topic(messages(spark, SMALL), config.TOPIC_SENSORS, settings)
     query = jobs.start_raw_table(spark, settings, once=True)
     jobs.finish(query)
-    loads = {path.name for path in tmp_path.glob("data/cars_raw/cars_raw/*/load=*")}
+    loads = {path.name for path in tmp_path.glob("data/cars_raw/cars_raw/load=*")}
     assert loads == {f"load={tables.load_name(str(query.id), 0)}"}
 
 

@@ -26,7 +26,7 @@ def own_schema(spark, table, settings, name):
 def test_parquet_definition(spark, settings):
     sql = tables.create_table_sql(tables.ENRICHED, settings)
     assert sql.startswith("CREATE TABLE IF NOT EXISTS dims.cars_enriched (event_id STRING,event_time TIMESTAMP,")
-    assert "PARTITIONED BY (event_day, load)" in sql
+    assert "PARTITIONED BY (load, event_day)" in sql
     assert f"LOCATION '{settings.root}/data/dims/cars_enriched'" in sql
 
 

@@ -50,7 +50,8 @@ class Settings:
 
     window: str = "1 minute"
     watermark: str = "10 seconds"
-    trigger: str = "1 minute"
+    trigger: str = "1 minute"  # pace of the summary and the notifications
+    table_trigger: str | None = None  # pace of the raw and the fact table; None is as fast as possible
 
     # A dimension is broadcast only if it is measured to be within both limits.
     broadcast_rows: int = 1_000_000
@@ -139,10 +140,11 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     The cluster names that storage in ``spark.checkpoint.dir``. Only a local session may
     fall back to a folder of this machine.
     """
-    conf = spark.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    key = "spark.checkpoint.dir"
+    context = spark.sparkContext
+    base = context.getConf().get(key) or spark.conf.get(key, None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="torquelake-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -13,12 +13,14 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from torquelake.config import Settings
+from torquelake.config import Settings, session_options
 from torquelake.functions.scalars import cutoff
-from torquelake.sources.tables import BATCH_DIGITS, LOAD, Table
+from torquelake.sources.tables import BATCH_DIGITS, LOAD, Table, load_location
 
 # Partitions named in one catalog statement.
 STATEMENT_PARTITIONS = 500
+# Folder name of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def plan_compaction(files: DataFrame, target_bytes: int, min_bytes: int) -> DataFrame:
@@ -116,13 +118,13 @@ def storage_listing(spark: SparkSession, location: str) -> DataFrame:
 
 
 def table_listing(spark: SparkSession, table: Table, settings: Settings) -> DataFrame:
-    """The listing of a day-partitioned table, with day and load taken from the folder names."""
-    folder = rf"/({table.day_column}=([^/]+)/{LOAD}=([^/]+))/[^/]+$"
+    """The listing of a day-partitioned table, with load and day taken from the folder names."""
+    folder = rf"/({LOAD}=([^/]+)/{table.day_column}=([^/]+))/[^/]+$"
     return storage_listing(spark, table.location(settings)).select(
         "*",
         F.regexp_extract("path", folder, 1).alias("folder"),
-        F.regexp_extract("path", folder, 2).alias("partition"),
-        F.regexp_extract("path", folder, 3).alias(LOAD),
+        F.regexp_extract("path", folder, 2).alias(LOAD),
+        F.regexp_extract("path", folder, 3).alias("partition"),
     )
 
 
@@ -131,35 +133,37 @@ def registered_folders(spark: SparkSession, table: Table, settings: Settings) ->
 
 
 def compactable_files(spark: SparkSession, table: Table, settings: Settings) -> DataFrame:
-    """Files of loads that are small on average and will not be written again.
+    """Files of folders that are small on average and will not be written again.
 
     The newest load of each streaming query is left out, as the query may repeat it.
     """
     folders = registered_folders(spark, table, settings)
-    stream = F.regexp_extract("folder", rf"/{LOAD}=(.+)-\d{{{BATCH_DIGITS}}}$", 1)
+    load = F.regexp_extract("folder", f"^{LOAD}=([^/]+)/", 1)
+    stream = F.regexp_extract(LOAD, rf"^(.+)-\d{{{BATCH_DIGITS}}}$", 1)
     newest = (
-        folders.withColumn("stream", stream)
+        folders.withColumn(LOAD, load)
+        .withColumn("stream", stream)
         .filter(F.col("stream") != "")
         .groupBy("stream")
-        .agg(F.max(F.element_at(F.split("folder", f"/{LOAD}="), -1)).alias(LOAD))
+        .agg(F.max(LOAD).alias(LOAD))
         .select(LOAD)
     )
     files = table_listing(spark, table, settings).join(folders, "folder", "left_semi").join(newest, LOAD, "left_anti")
-    small_loads = files.groupBy("folder").agg(F.avg("bytes").alias("mean")).filter(
-        F.col("mean") < settings.compact_min_bytes
+    small_folders = (
+        files.groupBy("folder").agg(F.avg("bytes").alias("mean")).filter(F.col("mean") < settings.compact_min_bytes)
     )
-    return files.join(small_loads.select("folder"), "folder", "left_semi")
+    return files.join(small_folders.select("folder"), "folder", "left_semi")
 
 
 def folders_to_merge(spark: SparkSession, table: Table, settings: Settings) -> list[Row]:
-    """Day and load of the folders in days where a bin has more than one file.
+    """Load and day of the folders in days where a bin has more than one file.
 
     This is partition metadata, which the catalog statements have to name one by one.
     """
     files = compactable_files(spark, table, settings)
     plan = plan_compaction(files, settings.compact_target_bytes, settings.compact_min_bytes)
     days = plan.groupBy("partition", "bin").count().filter("count > 1").select("partition").distinct()
-    return files.join(days, "partition", "left_semi").select("partition", LOAD).distinct().collect()
+    return files.join(days, "partition", "left_semi").select(LOAD, "partition").distinct().collect()
 
 
 def _alter(spark: SparkSession, name: str, action: str, specs: list[str], separator: str) -> None:
@@ -167,44 +171,40 @@ def _alter(spark: SparkSession, name: str, action: str, specs: list[str], separa
         spark.sql(f"ALTER TABLE {name} {action} {separator.join(specs[start : start + STATEMENT_PARTITIONS])}")
 
 
-def _partition_spec(table: Table, day: str, load: str) -> str:
-    value = "null" if day == "__HIVE_DEFAULT_PARTITION__" else f"'{day}'"
-    return f"PARTITION ({table.day_column} = {value}, {LOAD} = '{load}')"
+def _partition_spec(table: Table, load: str, day: str) -> str:
+    value = "null" if day == NO_DAY else f"'{day}'"
+    return f"PARTITION ({LOAD} = '{load}', {table.day_column} = {value})"
 
 
 def compact(spark: SparkSession, table: Table, settings: Settings) -> int:
-    """Merge the small loads of a Parquet table day by day; return how many loads were merged.
+    """Merge the small folders of a Parquet table day by day; return how many were merged.
 
     The merged rows are written to a new load that the catalog does not know yet. If their
-    number is right, the new load is registered and the old ones are dropped from the
+    number is right, the new load is registered and the old folders are dropped from the
     catalog. The old files stay on storage until they are removed as orphans.
     """
-    name, day = table.full_name(settings), F.col(table.day_column)
+    name = table.full_name(settings)
     merge = folders_to_merge(spark, table, settings)
     if not merge:
         return 0
-    days = sorted({row.partition for row in merge})
-    chosen = spark.createDataFrame(merge, f"partition string, {LOAD} string")
-    real_days = [value for value in days if not value.startswith("__")]
-    in_days = day.isin(*real_days) if len(real_days) == len(days) else day.isin(*real_days) | day.isNull()
-    stored_day = F.coalesce(day.cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
-    rows = (
-        spark.table(name)
-        .filter(in_days)
-        .withColumn("partition", stored_day)
-        .join(chosen, ["partition", LOAD], "left_semi")
-        .drop("partition")
-    )
+    # Only partition columns are compared, so the other folders are not even listed.
+    stored_day = F.coalesce(F.col(table.day_column).cast("string"), F.lit(NO_DAY))
+    chosen = F.concat_ws("/", LOAD, stored_day).isin([f"{row[LOAD]}/{row.partition}" for row in merge])
+    rows = spark.table(name).filter(chosen)
     new_load = f"compacted-{uuid.uuid4().hex}"
-    merged = rows.hint("rebalance", table.day_column).withColumn(LOAD, F.lit(new_load))
-    merged.write.mode("append").partitionBy(table.day_column, LOAD).parquet(table.location(settings))
-
-    written = spark.read.schema(table.stored_columns(settings)).parquet(table.location(settings))
-    found, expected = written.filter(F.col(LOAD) == new_load).count(), rows.count()
+    location = load_location(table, settings, new_load)
+    with session_options(
+        spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(settings.compact_target_bytes)}
+    ):
+        merged = rows.drop(LOAD).hint("rebalance", table.day_column)
+        merged.write.mode("overwrite").partitionBy(table.day_column).parquet(location)
+
+    found, expected = spark.read.schema(table.columns).parquet(location).count(), rows.count()
     if found != expected:
         raise RuntimeError(f"compaction of {name} wrote {found} rows instead of {expected}; nothing was changed")
-    _alter(spark, name, "ADD IF NOT EXISTS", [_partition_spec(table, d, new_load) for d in days], " ")
-    _alter(spark, name, "DROP IF EXISTS", [_partition_spec(table, r.partition, r[LOAD]) for r in merge], ", ")
+    days = sorted({row.partition for row in merge})
+    _alter(spark, name, "ADD IF NOT EXISTS", [_partition_spec(table, new_load, day) for day in days], " ")
+    _alter(spark, name, "DROP IF EXISTS", [_partition_spec(table, r[LOAD], r.partition) for r in merge], ", ")
     return len(merge)
 
 
@@ -243,9 +243,9 @@ def maintain(spark: SparkSession, table: Table, settings: Settings, as_of: datet
             lines.append((statement, int(apply)))
         return spark.createDataFrame(lines, "step string, items bigint")
     if apply:
-        lines.append(("merged loads", compact(spark, table, settings)))
+        lines.append(("folders merged", compact(spark, table, settings)))
     else:
-        lines.append(("loads to merge", len(folders_to_merge(spark, table, settings))))
+        lines.append(("folders to merge", len(folders_to_merge(spark, table, settings))))
     orphans = table_orphans(spark, table, settings, as_of)
     lines.append(("orphan files removed" if apply else "orphan files", orphans.count()))
     if apply:

@@ -386,15 +386,16 @@ def sql_topk_rpm(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sql_set_ops(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys are made distinct first, so that the joins behind the set operations see each once."""
     names = ("orders", "events")
     return _sql(
         spark,
         """SELECT 'union' AS kind, count(*) AS num_of_rows
              FROM (SELECT user_id AS k FROM {events} UNION SELECT o_custkey FROM {orders})
            UNION ALL SELECT 'intersect', count(*)
-             FROM (SELECT user_id AS k FROM {events} INTERSECT SELECT o_custkey FROM {orders})
+             FROM (SELECT DISTINCT user_id AS k FROM {events} INTERSECT SELECT DISTINCT o_custkey FROM {orders})
            UNION ALL SELECT 'except', count(*)
-             FROM (SELECT o_custkey AS k FROM {orders} EXCEPT SELECT user_id FROM {events})""",
+             FROM (SELECT DISTINCT o_custkey AS k FROM {orders} EXCEPT SELECT DISTINCT user_id FROM {events})""",
         **{name: given.given_table(spark, folder, name) for name in names},
     )
 

@@ -1,12 +1,13 @@
 """Tables: definition, batch writes, streaming writes, and reads by day.
 
-On Parquet a day-partitioned table has two partition columns, the day and the load. A load
+On Parquet a day-partitioned table has two partition columns, the load and the day. A load
 is one micro-batch or one batch write; writing it again replaces it, so a repeated
 micro-batch leaves no duplicates. On Iceberg the format does both itself.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -16,7 +17,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from torquelake import config
-from torquelake.config import Settings, session_options
+from torquelake.config import Settings
 from torquelake.schemas import (
     CAR_SCHEMA,
     COLOR_SCHEMA,
@@ -51,7 +52,7 @@ class Table:
     def stored_columns(self, settings: Settings) -> StructType:
         if self.day_column is None or settings.table_format == "iceberg":
             return self.columns
-        partitions = [StructField(self.day_column, DateType()), StructField(LOAD, StringType())]
+        partitions = [StructField(LOAD, StringType()), StructField(self.day_column, DateType())]
         return StructType([*self.columns.fields, *partitions])
 
 
@@ -84,7 +85,7 @@ def create_table_sql(table: Table, settings: Settings) -> str:
         properties = "'format-version' = '2', 'write.parquet.compression-codec' = 'snappy'"
     else:
         if table.day_column:
-            parts.append(f"PARTITIONED BY ({table.day_column}, {LOAD})")
+            parts.append(f"PARTITIONED BY ({LOAD}, {table.day_column})")
         properties = "'parquet.compression' = 'snappy'"
     parts += [f"LOCATION '{table.location(settings)}'", f"TBLPROPERTIES ({properties})"]
     return "\n".join(parts)
@@ -110,19 +111,31 @@ def with_day(frame: DataFrame, table: Table) -> DataFrame:
     return frame.select(*table.columns.fieldNames(), F.to_date(table.time_column).alias(table.day_column))
 
 
+def load_location(table: Table, settings: Settings, load: str) -> str:
+    return f"{table.location(settings)}/{LOAD}={load}"
+
+
 def write_load(frame: DataFrame, table: Table, settings: Settings, load: str) -> None:
     """Write one load of a day-partitioned Parquet table, replacing an earlier try of it.
 
     Rows are gathered per day into files of moderate size; a crowded day is split further
-    by adaptive execution, so no task receives a whole day.
+    by adaptive execution, so no task receives a whole day. The load is fixed in the
+    statement, so the catalog is asked for the partitions of this load only.
     """
-    rows = with_day(frame, table).hint("rebalance", table.day_column).withColumn(LOAD, F.lit(load))
-    dynamic = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
-    with session_options(frame.sparkSession, dynamic):
-        if settings.catalogued:
-            rows.write.insertInto(table.full_name(settings), overwrite=True)
-        else:
-            rows.write.mode("overwrite").partitionBy(table.day_column, LOAD).parquet(table.location(settings))
+    rows = with_day(frame, table).hint("rebalance", table.day_column)
+    if not settings.catalogued:
+        location = load_location(table, settings, load)
+        rows.write.mode("overwrite").partitionBy(table.day_column).parquet(location)
+        return
+    view = f"load_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(view)
+    try:
+        rows.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {table.full_name(settings)} "
+            f"PARTITION ({LOAD} = '{load}', {table.day_column}) SELECT * FROM {view}"
+        )
+    finally:
+        rows.sparkSession.catalog.dropTempView(view)
 
 
 def load_name(query_id: str, batch_id: int) -> str:

@@ -34,7 +34,6 @@ from torquelake.sources.tables import (
     read_table,
     start_table_sink,
     table_sink,
-    write_load,
 )
 from torquelake.sources.topics import ensure_topic, topic_sink, topic_source, write_topic
 from torquelake.streaming.notify import notification_rows
@@ -119,7 +118,8 @@ def start_raw_table(spark: SparkSession, settings: Settings, once: bool = False)
     ensure_topic(spark, config.TOPIC_SENSORS, settings)
     _make_table(spark, RAW, settings)
     rows = raw_capture(topic_source(spark, config.TOPIC_SENSORS, settings))
-    return start_table_sink(_paced(table_sink(rows, RAW, settings, RAW_TABLE), once), RAW, settings)
+    sink = _paced(table_sink(rows, RAW, settings, RAW_TABLE), once, settings.table_trigger)
+    return start_table_sink(sink, RAW, settings)
 
 
 def start_flag_table(spark: SparkSession, settings: Settings, once: bool = False) -> StreamingQuery:
@@ -127,7 +127,8 @@ def start_flag_table(spark: SparkSession, settings: Settings, once: bool = False
     ensure_topic(spark, config.TOPIC_ENRICHED, settings)
     _make_table(spark, ENRICHED, settings)
     rows = flagged_stream(topic_source(spark, config.TOPIC_ENRICHED, settings), settings)
-    return start_table_sink(_paced(table_sink(rows, ENRICHED, settings, FLAG_TABLE), once), ENRICHED, settings)
+    sink = _paced(table_sink(rows, ENRICHED, settings, FLAG_TABLE), once, settings.table_trigger)
+    return start_table_sink(sink, ENRICHED, settings)
 
 
 def start_alert_topic(spark: SparkSession, settings: Settings, once: bool = False) -> StreamingQuery:
