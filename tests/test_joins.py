@@ -10,6 +10,7 @@ from torquelake.operators.joins import hot_keys, left_join_dimension, spread_lef
 from torquelake.sources.dims import inline_colors, inline_models
 
 LARGE = replace(Settings(), broadcast_rows=0)
+HUGE = replace(LARGE, hash_join_bytes=0)
 
 
 @pytest.fixture
@@ -28,26 +29,31 @@ def rows(frame):
 
 
 def test_measured_counts_rows_and_bytes(spark):
-    dim = measured(spark.createDataFrame([(1, "ab"), (2, None)], "key long, name string"), "key")
-    assert (dim.rows, dim.size) == (2, 18)
+    dim = measured(spark.createDataFrame([(1, "ab"), (1, "c"), (2, None)], "key long, name string"), "key")
+    assert (dim.rows, dim.size, dim.largest) == (3, 27, 19)
 
 
 def test_empty_dimension_is_measured(spark):
     dim = measured(spark.createDataFrame([], "key long, name string"), "key")
-    assert (dim.rows, dim.size) == (0, 0)
+    assert (dim.rows, dim.size, dim.largest) == (0, 0, 0)
 
 
-@pytest.mark.parametrize("settings", [Settings(), LARGE])
+@pytest.mark.parametrize("settings", [Settings(), LARGE, HUGE])
 def test_join_is_a_plain_left_join(spark, skewed, settings):
     facts, dim = skewed
     assert rows(left_join_dimension(facts, measured(dim, "key"), settings)) == rows(facts.join(dim, "key", "left"))
 
 
 def test_bytes_alone_forbid_the_broadcast():
-    dim = Dimension(None, "key", rows=10, size=10**9)
+    dim = Dimension(None, "key", rows=10, size=10**9, largest=1)
     assert not dim.fits_broadcast(Settings())
 
 
+def test_one_frequent_key_forbids_hashing():
+    assert Dimension(None, "key", rows=10**7, size=10**9, largest=100).fits_hash_join(Settings(), 200)
+    assert not Dimension(None, "key", rows=10**7, size=10**9, largest=10**8).fits_hash_join(Settings(), 200)
+
+
 def test_hot_key_is_found(skewed):
     facts, _ = skewed
     assert 42 in hot_keys(facts, "key", 0.2)
@@ -58,7 +64,7 @@ def test_no_task_gets_the_hot_or_the_missing_key(spark, skewed):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = spread_left_join(facts, measured(dim, "key").with_hot_keys((42,)), ways=64)
+        joined = spread_left_join(facts, measured(dim, "key").with_hot_keys((42,)), Settings(), ways=64)
         largest = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -67,18 +73,20 @@ def test_no_task_gets_the_hot_or_the_missing_key(spark, skewed):
     assert largest < 8000 / 8 * 2
 
 
-def test_large_dimension_is_shuffled_and_small_one_broadcast(spark, skewed, capsys):
+@pytest.mark.parametrize(
+    ("settings", "join"),
+    [(Settings(), "BroadcastHashJoin"), (LARGE, "ShuffledHashJoin"), (HUGE, "SortMergeJoin")],
+)
+def test_join_follows_the_measured_size(spark, skewed, capsys, settings, join):
     facts, dim = skewed
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        left_join_dimension(facts, measured(dim, "key"), Settings()).explain()
-        small = capsys.readouterr().out
-        left_join_dimension(facts, measured(dim, "key"), LARGE).explain()
-        large = capsys.readouterr().out
+        left_join_dimension(facts, measured(dim, "key"), settings).explain()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
-    assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
+    plan = capsys.readouterr().out
+    found = [kind for kind in ("BroadcastHashJoin", "ShuffledHashJoin", "SortMergeJoin") if kind in plan]
+    assert found == [join]
 
 
 def test_unmatched_rows_are_counted_per_key_before_the_join(spark, skewed, capsys):

@@ -47,7 +47,9 @@ def arguments() -> argparse.ArgumentParser:
     upkeep.add_argument("table")
     upkeep.add_argument("--apply", action="store_true", help="act, instead of telling what would be done")
     command.add_parser("schemas")
-    command.add_parser("tables").add_argument("schema")
+    listing = command.add_parser("tables")
+    listing.add_argument("schema")
+    listing.add_argument("--short", action="store_true", help=f"the first {explore.TABLES_SHOWN} only")
     command.add_parser("count").add_argument("table")
     command.add_parser("preview").add_argument("table")
     command.add_parser("query").add_argument("sql", nargs="+")
@@ -87,7 +89,8 @@ def run(spark: SparkSession, settings: Settings, args: argparse.Namespace) -> No
         case "schemas":
             explore.list_schemas(spark).show(truncate=False)
         case "tables":
-            explore.list_tables(spark, args.schema).show(truncate=False)
+            limit = explore.TABLES_SHOWN if args.short else None
+            explore.list_tables(spark, args.schema, limit).show(n=1000, truncate=False)
         case "count":
             explore.count_table(spark, args.table).show(truncate=False)
         case "preview":

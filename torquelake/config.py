@@ -56,6 +56,8 @@ class Settings:
     # A dimension is broadcast only if it is measured to be within both limits.
     broadcast_rows: int = 1_000_000
     broadcast_bytes: int = 64 * MIB
+    # A larger one is hashed per shuffle partition if a partition's part is within this, else sorted.
+    hash_join_bytes: int = 32 * MIB
     # A key is hot from this share of the rows on; at most 1 / hot_share keys can be.
     hot_share: float = 0.001
 

@@ -13,26 +13,35 @@ from torquelake.config import Settings
 
 @dataclass(frozen=True)
 class Dimension:
-    """A dimension, its join key and its size, which decides how facts are joined to it."""
+    """A dimension, its join key and its size, which decides how facts are joined to it.
+
+    ``size`` is in bytes; ``largest`` is the part of it that the most frequent key has.
+    """
 
     frame: DataFrame
     key: str
     rows: int
     size: int
+    largest: int
     hot_keys: tuple = ()
 
     def fits_broadcast(self, settings: Settings) -> bool:
         return self.rows <= settings.broadcast_rows and self.size <= settings.broadcast_bytes
 
+    def fits_hash_join(self, settings: Settings, partitions: int) -> bool:
+        """Whether every task's part is small, also that of the task with the most frequent key."""
+        return self.size / partitions + self.largest <= settings.hash_join_bytes
+
     def with_hot_keys(self, keys: tuple) -> Dimension:
         return replace(self, hot_keys=keys)
 
 
 def measured(frame: DataFrame, key: str) -> Dimension:
-    """Count the rows and bytes of a dimension; one aggregate, one row to the driver."""
+    """Measure a dimension: counted per key first, then one row to the driver."""
     texts = [f.name for f in frame.schema if isinstance(f.dataType, StringType)]
     width = F.lit(8 * (len(frame.columns) - len(texts)))
     for name in texts:
         width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    rows, size = frame.agg(F.count("*"), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
-    return Dimension(frame, key, rows, size)
+    per_key = frame.groupBy(key).agg(F.count("*").alias("rows"), F.sum(width.cast("long")).alias("size"))
+    totals = per_key.agg(F.sum("rows"), F.sum("size"), F.max("size")).first()
+    return Dimension(frame, key, *(total or 0 for total in totals))

@@ -21,17 +21,19 @@ def hot_keys(facts: DataFrame, key: str, share: float) -> tuple:
     return tuple(sorted(present.freqItems([key], share).first()[0] or ()))
 
 
-def spread_left_join(facts: DataFrame, dimension: Dimension, ways: int | None = None) -> DataFrame:
+def spread_left_join(facts: DataFrame, dimension: Dimension, settings: Settings, ways: int | None = None) -> DataFrame:
     """Left join by shuffle in which neither a hot key nor the missing key lands in one task.
 
     Rows of a hot key are dealt to ``ways`` slots by a hash of the row, and that key's
     dimension rows are copied to every slot. Rows without a key match nothing, so they are
     dealt at random. All other rows have slot 0. Stateless, so it also runs on a stream.
+
+    If a task's part of the dimension is small by its measured size, the task hashes it,
+    which saves sorting the facts.
     """
     key = dimension.key
-    if ways is None:
-        ways = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ways = max(ways, 2)
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ways = max(ways or partitions, 2)
     hot = F.col(key).isin(*dimension.hot_keys) if dimension.hot_keys else F.lit(False)
     slot = (
         F.when(F.col(key).isNull(), (F.rand(seed=11) * ways).cast("int"))
@@ -40,6 +42,8 @@ def spread_left_join(facts: DataFrame, dimension: Dimension, ways: int | None =
     )
     slots = F.when(hot, F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
     copied = dimension.frame.filter(F.col(key).isNotNull()).withColumn(SLOT, F.explode(slots))
+    if dimension.fits_hash_join(settings, partitions):
+        copied = copied.hint("shuffle_hash")
     return facts.withColumn(SLOT, slot).join(copied, [key, SLOT], "left").drop(SLOT)
 
 
@@ -53,4 +57,4 @@ def left_join_dimension(facts: DataFrame, dimension: Dimension, settings: Settin
         return facts.join(F.broadcast(dimension.frame), dimension.key, "left")
     if not facts.isStreaming and not dimension.hot_keys:
         dimension = dimension.with_hot_keys(hot_keys(facts, dimension.key, settings.hot_share))
-    return spread_left_join(facts, dimension)
+    return spread_left_join(facts, dimension, settings)

@@ -41,14 +41,15 @@ def inline_colors(spark: SparkSession) -> DataFrame:
     return _inline(spark, CAR_COLORS, "color_id, color_name")
 
 
-def _text_size(rows: list[tuple]) -> int:
-    return sum(len(str(value).encode()) for row in rows for value in row)
+def _inline_dimension(frame: DataFrame, key: str, rows: list[tuple]) -> Dimension:
+    """A dimension whose size is known without measuring; the keys are unique."""
+    sizes = [sum(len(str(value).encode()) for value in row) for row in rows]
+    return Dimension(frame, key, len(rows), sum(sizes), max(sizes))
 
 
 def model_dimension(spark: SparkSession) -> Dimension:
-    """The built-in models; their size is known without measuring."""
-    return Dimension(inline_models(spark), "model_id", len(CAR_MODELS), _text_size(CAR_MODELS))
+    return _inline_dimension(inline_models(spark), "model_id", CAR_MODELS)
 
 
 def color_dimension(spark: SparkSession) -> Dimension:
-    return Dimension(inline_colors(spark), "color_id", len(CAR_COLORS), _text_size(CAR_COLORS))
+    return _inline_dimension(inline_colors(spark), "color_id", CAR_COLORS)
