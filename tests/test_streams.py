@@ -4,6 +4,7 @@ from dataclasses import replace
 
 import pytest
 from conftest import MEDIUM, SMALL
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from torquelake import config
@@ -129,14 +130,33 @@ def test_large_dimension_in_a_stream(spark, settings):
 
 
 def test_dimensions_can_be_read_per_batch(spark, settings):
-    cars = given_cars(spark, SMALL)
-    for table, frame in ((tables.CARS, cars), (tables.MODELS, inline_models(spark)), (tables.COLORS, inline_colors(spark))):
-        frame.write.parquet(table.location(settings))
+    write_dims(spark, settings, given_cars(spark, SMALL))
     write_topic(messages(spark, SMALL), config.TOPIC_SENSORS, settings)
     jobs.finish(jobs.start_enrich_topic_fresh(spark, settings, once=True))
     assert same(topic_batch(spark, config.TOPIC_ENRICHED, settings), to_payload(zoned(enriched(spark, SMALL))))
 
 
+def write_dims(spark, settings, cars):
+    for table, frame in ((tables.CARS, cars), (tables.MODELS, inline_models(spark)), (tables.COLORS, inline_colors(spark))):
+        frame.write.mode("overwrite").parquet(table.location(settings))
+
+
+def test_running_stream_keeps_its_dimensions(spark, settings):
+    cars = given_cars(spark, SMALL)
+    write_dims(spark, settings, cars)
+    lines = messages(spark, SMALL).randomSplit([1.0, 1.0], seed=3)
+    write_topic(lines[0], config.TOPIC_SENSORS, settings)
+    query = jobs.start_enrich_topic(spark, settings)
+    try:
+        query.processAllAvailable()
+        write_dims(spark, settings, cars.limit(0))
+        write_topic(lines[1], config.TOPIC_SENSORS, settings)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert same(topic_batch(spark, config.TOPIC_ENRICHED, settings), to_payload(zoned(enriched(spark, SMALL))))
+
+
 def test_notifications_hold_one_message_per_closed_window(spark, settings):
     write_topic(to_payload(only_alerts(zoned(flagged(spark, SMALL)))), config.TOPIC_ALERTS, settings)
     jobs.finish(jobs.start_alert_notifications(spark, settings, once=True, starting="earliest"))
@@ -171,3 +191,10 @@ def test_empty_topic_can_be_read(spark, settings):
     ensure_topic(spark, config.TOPIC_SENSORS, settings)
     assert topic_source(spark, config.TOPIC_SENSORS, settings).isStreaming
     assert topic_batch(spark, config.TOPIC_SENSORS, settings).count() == 0
+
+
+def test_kafka_is_used_when_chosen(spark, settings):
+    kafka = replace(settings, topic_format="kafka", kafka_servers="broker:9092")
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        topic_source(spark, config.TOPIC_SENSORS, kafka)
+    ensure_topic(spark, config.TOPIC_SENSORS, kafka)

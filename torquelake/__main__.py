@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 from datetime import UTC, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import SCHEMA_DIMS, SCHEMA_RAW, Settings, configure
 from torquelake.plans import explore
@@ -56,6 +56,11 @@ def arguments() -> argparse.ArgumentParser:
     return parser
 
 
+def _print_lines(names: DataFrame) -> None:
+    for row in names.toLocalIterator():
+        print(row[0])
+
+
 def run(spark: SparkSession, settings: Settings, args: argparse.Namespace) -> None:
     match args.command:
         case "init":
@@ -87,10 +92,10 @@ def run(spark: SparkSession, settings: Settings, args: argparse.Namespace) -> No
             now = datetime.now(UTC).replace(tzinfo=None)
             maintain(spark, table, settings, now, args.apply).show(truncate=False)
         case "schemas":
-            explore.list_schemas(spark).show(truncate=False)
+            _print_lines(explore.list_schemas(spark))
         case "tables":
             limit = explore.TABLES_SHOWN if args.short else None
-            explore.list_tables(spark, args.schema, limit).show(n=1000, truncate=False)
+            _print_lines(explore.list_tables(spark, args.schema, limit))
         case "count":
             explore.count_table(spark, args.table).show(truncate=False)
         case "preview":

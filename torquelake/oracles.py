@@ -116,6 +116,7 @@ def _unmatched(check: str, facts: str, dim: str, key: str) -> str:
 def oracle_sql() -> dict[str, str]:
     flagged, enriched = f"SELECT {ENRICHED_COLUMNS}, is_alert FROM flagged", f"SELECT {ENRICHED_COLUMNS} FROM enriched"
     millis_flagged = _with(FLAGGED, f"SELECT {MILLIS} FROM flagged")
+    raw = _with(SENSORS, f"SELECT {SENSOR_JSON} AS json_data, true AS has_id, true AS has_timestamp FROM sensors")
     cars_per = (
         "SELECT d.*, count(c.car_id) AS num_of_cars FROM {dim} d LEFT JOIN cars c ON c.{key} = d.{key} GROUP BY ALL"
     )
@@ -124,7 +125,7 @@ def oracle_sql() -> dict[str, str]:
         "topic_source_parse": _with(SENSORS, f"SELECT {MILLIS} FROM sensors"),
         "topic_roundtrip_enriched": _with(ENRICHED, f"SELECT {MILLIS} FROM enriched"),
         "stream_enriched_table": millis_flagged,
-        "stream_raw_table": _with(SENSORS, f"SELECT {SENSOR_JSON} AS json_data, true AS has_id, 1 AS days FROM sensors"),
+        "stream_raw_table": raw,
         "scan_cars": _with(CARS, "SELECT car_id, driver_id, model_id, color_id FROM cars"),
         "scan_car_models": _with(("car_models", "cars"), cars_per.format(dim="car_models", key="model_id")),
         "load_dims_reload": _with(
@@ -144,9 +145,7 @@ def oracle_sql() -> dict[str, str]:
         "enrich": _with(ENRICHED, enriched),
         "enrich_large_dimension": _with(ENRICHED, enriched),
         "parse_sensor_json": _with(SENSORS, f"SELECT {MILLIS} FROM sensors"),
-        "raw_capture": _with(
-            SENSORS, f"SELECT {SENSOR_JSON} AS json_data, true AS has_id, true AS has_timestamp FROM sensors"
-        ),
+        "raw_capture": raw,
         "flag_alerts": _with(FLAGGED, flagged),
         "filter_alerts": _with(FLAGGED, f"SELECT {ENRICHED_COLUMNS} FROM flagged WHERE is_alert"),
         "alert_reasons": _with(
@@ -251,7 +250,7 @@ UNION ALL SELECT 'theta', count(*) FROM orders JOIN customer ON o_custkey = c_cu
         ),
         "sql_top_speed_per_car": _with(
             FLAGGED,
-            "SELECT car_id, event_id, speed, rank FROM (SELECT car_id, event_id, speed, row_number() OVER "
+            "SELECT car_id, event_id, speed, CAST(rank AS INTEGER) AS rank FROM (SELECT car_id, event_id, speed, row_number() OVER "
             "(PARTITION BY car_id ORDER BY speed DESC NULLS LAST, event_id) AS rank FROM flagged) WHERE rank <= 3",
         ),
         "sql_topk_rpm": _with(

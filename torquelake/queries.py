@@ -106,7 +106,9 @@ def stream_raw_table(spark: SparkSession, folder: str) -> DataFrame:
     write_topic(messages(spark, folder), config.TOPIC_SENSORS, settings)
     jobs.finish(jobs.start_raw_table(spark, settings, once=True))
     rows = tables.read_table(spark, tables.RAW, settings)
-    return rows.select("json_data", F.col("id").isNotNull().alias("has_id"), F.lit(1).alias("days"))
+    return rows.select(
+        "json_data", F.col("id").isNotNull().alias("has_id"), F.col("timestamp").isNotNull().alias("has_timestamp")
+    )
 
 
 def scan_cars(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,8 +8,8 @@ atomic together.
 from __future__ import annotations
 
 from contextlib import nullcontext
+from dataclasses import replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -61,6 +61,18 @@ def load_dimension(spark: SparkSession, settings: Settings) -> Dimension:
     return car_dimension(cars, measured(models, "model_id"), measured(colors, "color_id"), settings)
 
 
+def _kept_profile(spark: SparkSession, settings: Settings) -> Dimension:
+    """The profile as it is now, written next to the checkpoint.
+
+    The stream then neither notices a reload of the dimension tables nor depends on what
+    executors hold in memory.
+    """
+    profile = load_dimension(spark, settings)
+    location = settings.checkpoint_location(f"{ENRICH_TOPIC}-profile")
+    profile.frame.write.mode("overwrite").parquet(location)
+    return replace(profile, frame=spark.read.schema(profile.frame.schema).parquet(location))
+
+
 def enriched_stream(messages: DataFrame, profile: Dimension, settings: Settings) -> DataFrame:
     return enrich(parse_payload(messages, SENSOR_SCHEMA), profile, settings)
 
@@ -84,9 +96,7 @@ def start_enrich_topic(
 ) -> StreamingQuery:
     """Sensor topic to enriched topic. The dimensions are loaded once, at the start."""
     ensure_topic(spark, config.TOPIC_SENSORS, settings)
-    if profile is None:
-        profile = load_dimension(spark, settings)
-        profile.frame.persist(StorageLevel.MEMORY_AND_DISK)
+    profile = profile or _kept_profile(spark, settings)
     messages = topic_source(spark, config.TOPIC_SENSORS, settings)
     payload = to_payload(enriched_stream(messages, profile, settings))
     return _paced(topic_sink(payload, config.TOPIC_ENRICHED, settings, ENRICH_TOPIC), once).start()
