@@ -11,7 +11,8 @@ CORRUPT = "_corrupt_record"
 
 def parse_payload(messages: DataFrame, schema: StructType) -> DataFrame:
     """Columns of the JSON in ``value``. What cannot be read becomes NULL; no row is lost."""
-    return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("data")).select("data.*")
+    text = F.col("value").cast("string")
+    return messages.select(F.from_json(text, schema).alias("parsed")).select("parsed.*")
 
 
 def corrupt_payloads(messages: DataFrame, schema: StructType) -> DataFrame:
@@ -33,8 +34,6 @@ def to_payload(frame: DataFrame) -> DataFrame:
 
 def raw_capture(messages: DataFrame) -> DataFrame:
     """Audit rows: the payload as text, with a new id and the time of the (micro-)batch."""
-    return messages.select(
-        F.expr("uuid()").alias("id"),
-        F.col("value").cast("string").alias("json_data"),
-        F.current_timestamp().alias("timestamp"),
+    return messages.selectExpr(
+        "uuid() AS id", "CAST(value AS STRING) AS json_data", "current_timestamp() AS timestamp"
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,8 @@ def rule_columns(rules: AlertRules) -> dict[str, Column]:
 
 def flag_alerts(enriched: DataFrame, rules: AlertRules) -> DataFrame:
     """Add ``is_alert``: true if any rule holds, false otherwise, never NULL."""
-    speeding, wrong_gear, high_rpm = rule_columns(rules).values()
-    return enriched.withColumn("is_alert", F.when(speeding | wrong_gear | high_rpm, True).otherwise(False))
+    any_rule = reduce(Column.__or__, rule_columns(rules).values())
+    return enriched.withColumn("is_alert", F.coalesce(any_rule, F.lit(False)))
 
 
 def only_alerts(flagged: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ class Dimension:
     """A dimension, its join key and its size, which decides how facts are joined to it.
 
     ``size`` is in bytes; ``largest`` is the part of it that the most frequent key has.
+    ``hot_keys`` are keys with many facts, None as long as nobody has looked for them.
     """
 
     frame: DataFrame
@@ -23,7 +24,7 @@ class Dimension:
     rows: int
     size: int
     largest: int
-    hot_keys: tuple = ()
+    hot_keys: tuple | None = None
 
     def fits_broadcast(self, settings: Settings) -> bool:
         return self.rows <= settings.broadcast_rows and self.size <= settings.broadcast_bytes

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _color_count(color: str) -> Column:
-    return F.sum(F.when(F.col("color_name") == color, 1).otherwise(0))
+def _cars_of(color: str) -> Column:
+    return F.count_if(F.col("color_name") == color)
 
 
 def alert_window_agg(alerts: DataFrame, width: str = "1 minute", delay: str = "10 seconds") -> DataFrame:
@@ -22,10 +22,10 @@ def alert_window_agg(alerts: DataFrame, width: str = "1 minute", delay: str = "1
         alerts.groupBy(F.window("event_time", width))
         .agg(
             F.count("*").alias("num_of_rows"),
-            _color_count("Black").alias("num_of_black"),
-            _color_count("White").alias("num_of_white"),
+            _cars_of("Black").alias("num_of_black"),
+            _cars_of("White").alias("num_of_white"),
             # The gray cars: users know this column as silver, and there is no color of that name.
-            _color_count("Gray").alias("num_of_silver"),
+            _cars_of("Gray").alias("num_of_silver"),
             F.max("speed").alias("maximum_speed"),
             F.max("gear").alias("maximum_gear"),
             F.max("rpm").alias("maximum_rpm"),

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +16,10 @@ from torquelake.config import Settings, prepare_session, scratch_folder
 from torquelake.functions.payload import parse_payload, raw_capture, to_payload
 from torquelake.operators import reports
 from torquelake.operators.alerts import alert_reasons, flag_alerts, only_alerts
-from torquelake.operators.dimension import measured
+from torquelake.operators.dimension import Dimension, measured
 from torquelake.operators.enrich import enrich
 from torquelake.operators.integrity import dim_integrity
-from torquelake.operators.joins import left_join_dimension
+from torquelake.operators.joins import hot_keys, left_join_dimension
 from torquelake.operators.windows import alert_window_agg
 from torquelake.plans import explore, maintenance
 from torquelake.schemas import ENRICHED_SCHEMA, SENSOR_SCHEMA
@@ -43,9 +43,17 @@ def flagged(spark: SparkSession, folder: str) -> DataFrame:
     return flag_alerts(enriched(spark, folder), SETTINGS.rules)
 
 
-def enriched(spark: SparkSession, folder: str, settings: Settings = SETTINGS) -> DataFrame:
+@lru_cache(maxsize=64)
+def car_profile(spark: SparkSession, folder: str, settings: Settings = SETTINGS) -> Dimension:
+    """The measured car profile; if it is too large to broadcast, with the hot cars of the events."""
     profile = given.given_dimension(spark, folder, settings)
-    return enrich(given.given_sensors(spark, folder), profile, settings)
+    if profile.fits_broadcast(settings):
+        return profile
+    return profile.with_hot_keys(hot_keys(given.given_sensors(spark, folder), profile.key, settings.hot_share))
+
+
+def enriched(spark: SparkSession, folder: str, settings: Settings = SETTINGS) -> DataFrame:
+    return enrich(given.given_sensors(spark, folder), car_profile(spark, folder, settings), settings)
 
 
 def zoned(frame: DataFrame) -> DataFrame:
@@ -85,7 +93,7 @@ def topic_source_parse(spark: SparkSession, folder: str) -> DataFrame:
 def topic_roundtrip_enriched(spark: SparkSession, folder: str) -> DataFrame:
     settings = run_settings(spark, "topic-roundtrip")
     write_topic(messages(spark, folder), config.TOPIC_SENSORS, settings)
-    profile = given.given_dimension(spark, folder, SETTINGS)
+    profile = car_profile(spark, folder)
     stream = jobs.enriched_stream(topic_source(spark, config.TOPIC_SENSORS, settings), profile, settings)
     writer = topic_sink(to_payload(stream), config.TOPIC_ENRICHED, settings, jobs.ENRICH_TOPIC)
     jobs.finish(writer.trigger(availableNow=True).start())
@@ -95,7 +103,7 @@ def topic_roundtrip_enriched(spark: SparkSession, folder: str) -> DataFrame:
 def stream_enriched_table(spark: SparkSession, folder: str) -> DataFrame:
     settings = run_settings(spark, "enriched-table")
     write_topic(messages(spark, folder), config.TOPIC_SENSORS, settings)
-    profile = given.given_dimension(spark, folder, SETTINGS)
+    profile = car_profile(spark, folder)
     jobs.finish(jobs.start_enrich_topic(spark, settings, profile, once=True))
     jobs.finish(jobs.start_flag_table(spark, settings, once=True))
     return unzoned(tables.read_table(spark, tables.ENRICHED, settings))
@@ -278,7 +286,7 @@ def stream_notifications(spark: SparkSession, folder: str) -> DataFrame:
 def stream_chain_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     settings = run_settings(spark, "chain")
     write_topic(messages(spark, folder), config.TOPIC_SENSORS, settings)
-    jobs.run_chain_once(spark, settings, given.given_dimension(spark, folder, SETTINGS))
+    jobs.run_chain_once(spark, settings, car_profile(spark, folder))
     return unzoned(tables.read_table(spark, tables.SUMMARY, settings))
 
 
