@@ -67,3 +67,9 @@ def test_raw_capture_keeps_text_and_makes_ids(spark):
     assert [row.json_data for row in rows] == ["x", "x"]
     assert rows[0].id != rows[1].id
     assert rows[0].timestamp == rows[1].timestamp
+
+
+def test_text_is_parsed_once_whatever_is_filtered(spark, capsys):
+    frame = spark.range(3).selectExpr("string(id) AS value")
+    parse_payload(frame, SENSOR_SCHEMA).filter("speed > 1 OR rpm > gear").select("event_id").explain()
+    assert capsys.readouterr().out.count("from_json") == 1

@@ -10,9 +10,13 @@ CORRUPT = "_corrupt_record"
 
 
 def parse_payload(messages: DataFrame, schema: StructType) -> DataFrame:
-    """Columns of the JSON in ``value``. What cannot be read becomes NULL; no row is lost."""
-    text = F.col("value").cast("string")
-    return messages.select(F.from_json(text, schema).alias("parsed")).select("parsed.*")
+    """Columns of the JSON in ``value``. What cannot be read becomes NULL; no row is lost.
+
+    The one parsed struct is unfolded by a generator. Filters on its fields then stay above
+    the parsing; pushed below a projection, each would parse the text once more per field.
+    """
+    parsed = F.from_json(F.col("value").cast("string"), schema)
+    return messages.select(F.inline(F.array(parsed)))
 
 
 def corrupt_payloads(messages: DataFrame, schema: StructType) -> DataFrame:
