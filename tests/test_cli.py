@@ -42,6 +42,8 @@ def test_commands(spark, command, tmp_path):
     windows = call("query", "SELECT count(*) AS n FROM dims.notifications")
     assert windows.strip().splitlines()[-1] == "905"
     assert "folders to merge" in call("maintain", "dims", "cars_enriched")
+    both = call("maintain")
+    assert both.index("dims.cars_enriched") < both.index("cars_raw.cars_raw")
     call("init")
     assert "*7* rows" in call("count", "dims.car_models")
     assert "*1,000* rows" in call("count", "dims.cars_enriched")

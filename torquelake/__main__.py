@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import SCHEMA_DIMS, SCHEMA_RAW, Settings, configure
 from torquelake.plans import explore
-from torquelake.plans.maintenance import maintain
+from torquelake.plans.maintenance import maintain_all
 from torquelake.sources import tables
 from torquelake.sources.dims import inline_colors, inline_models
 from torquelake.streaming import jobs
@@ -42,9 +42,9 @@ def arguments() -> argparse.ArgumentParser:
         job = command.add_parser(name, help="run a streaming job")
         job.add_argument("--once", action="store_true", help="handle what is there, then end")
         job.add_argument("--starting", default="latest", help="first offsets of the aggregation")
-    upkeep = command.add_parser("maintain", help="maintain a table")
-    upkeep.add_argument("schema")
-    upkeep.add_argument("table")
+    upkeep = command.add_parser("maintain", help="maintain a table, or the fact and the raw table")
+    upkeep.add_argument("schema", nargs="?")
+    upkeep.add_argument("table", nargs="?")
     upkeep.add_argument("--apply", action="store_true", help="act, instead of telling what would be done")
     command.add_parser("schemas")
     listing = command.add_parser("tables")
@@ -88,9 +88,9 @@ def run(spark: SparkSession, settings: Settings, args: argparse.Namespace) -> No
             else:
                 await_any(spark)
         case "maintain":
-            table = MAINTAINED[args.schema, args.table]
+            chosen = [MAINTAINED[args.schema, args.table]] if args.table else [tables.ENRICHED, tables.RAW]
             now = datetime.now(UTC).replace(tzinfo=None)
-            maintain(spark, table, settings, now, args.apply).show(truncate=False)
+            maintain_all(spark, chosen, settings, now, args.apply).show(truncate=False)
         case "schemas":
             _print_lines(explore.list_schemas(spark))
         case "tables":

@@ -9,6 +9,7 @@ import re
 import uuid
 from collections.abc import Iterable
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -251,3 +252,14 @@ def maintain(spark: SparkSession, table: Table, settings: Settings, as_of: datet
     if apply:
         remove_files(orphans)
     return spark.createDataFrame(lines, "step string, items bigint")
+
+
+def maintain_all(
+    spark: SparkSession, names: Iterable[Table], settings: Settings, as_of: datetime, apply: bool = False
+) -> DataFrame:
+    """Maintain tables one after another; an error ends the run before the next table."""
+    reports = [
+        maintain(spark, table, settings, as_of, apply).withColumn("table", F.lit(table.full_name(settings)))
+        for table in names
+    ]
+    return reduce(DataFrame.unionByName, reports).select("table", "step", "items")

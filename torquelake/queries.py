@@ -72,9 +72,10 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_settings(spark: SparkSession, name: str) -> Settings:
-    """A storage root of its own for one run; state is spread over all cores."""
-    parallel = spark.sparkContext.defaultParallelism
-    return replace(SETTINGS, root=scratch_folder(spark, name), state_partitions=parallel)
+    """A storage root of its own for one run; on one machine, state is spread over its cores only."""
+    context = spark.sparkContext
+    partitions = context.defaultParallelism if context.master.startswith("local") else None
+    return replace(SETTINGS, root=scratch_folder(spark, name), state_partitions=partitions)
 
 
 # Sources, sinks, tables
