@@ -157,6 +157,17 @@ def test_running_stream_keeps_its_dimensions(spark, settings):
     assert same(topic_batch(spark, config.TOPIC_ENRICHED, settings), to_payload(zoned(enriched(spark, SMALL))))
 
 
+def test_hot_cars_come_from_the_fact_table(spark, settings):
+    large = replace(settings, broadcast_rows=0)
+    assert jobs.known_hot_cars(spark, large) is None
+    tables.write_load(zoned(flagged(spark, SMALL)), tables.ENRICHED, large, "history")
+    assert set(range(15)) >= set(jobs.known_hot_cars(spark, large)) > set()
+    write_dims(spark, large, given_cars(spark, SMALL))
+    write_topic(messages(spark, SMALL), config.TOPIC_SENSORS, large)
+    jobs.finish(jobs.start_enrich_topic(spark, large, once=True))
+    assert same(topic_batch(spark, config.TOPIC_ENRICHED, large), to_payload(zoned(enriched(spark, SMALL))))
+
+
 def test_notifications_hold_one_message_per_closed_window(spark, settings):
     write_topic(to_payload(only_alerts(zoned(flagged(spark, SMALL)))), config.TOPIC_ALERTS, settings)
     jobs.finish(jobs.start_alert_notifications(spark, settings, once=True, starting="earliest"))

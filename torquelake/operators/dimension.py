@@ -33,7 +33,7 @@ class Dimension:
         """Whether every task's part is small, also that of the task with the most frequent key."""
         return self.size / partitions + self.largest <= settings.hash_join_bytes
 
-    def with_hot_keys(self, keys: tuple) -> Dimension:
+    def with_hot_keys(self, keys: tuple | None) -> Dimension:
         return replace(self, hot_keys=keys)
 
 

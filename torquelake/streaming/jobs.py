@@ -10,6 +10,7 @@ from __future__ import annotations
 from contextlib import nullcontext
 from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -20,6 +21,7 @@ from torquelake.functions.payload import parse_payload, raw_capture, to_payload
 from torquelake.operators.alerts import flag_alerts, only_alerts
 from torquelake.operators.dimension import Dimension, measured
 from torquelake.operators.enrich import car_dimension, enrich
+from torquelake.operators.joins import hot_keys
 from torquelake.operators.windows import alert_window_agg
 from torquelake.schemas import ENRICHED_SCHEMA, SENSOR_SCHEMA
 from torquelake.sources.tables import (
@@ -61,6 +63,15 @@ def load_dimension(spark: SparkSession, settings: Settings) -> Dimension:
     return car_dimension(cars, measured(models, "model_id"), measured(colors, "color_id"), settings)
 
 
+def known_hot_cars(spark: SparkSession, settings: Settings) -> tuple | None:
+    """Cars with many events in the fact table so far; None if there is no such table yet."""
+    try:
+        history = read_table(spark, ENRICHED, settings)
+    except AnalysisException:
+        return None
+    return hot_keys(history, "car_id", settings.hot_share)
+
+
 def _kept_profile(spark: SparkSession, settings: Settings) -> Dimension:
     """The profile as it is now, written next to the checkpoint.
 
@@ -70,6 +81,8 @@ def _kept_profile(spark: SparkSession, settings: Settings) -> Dimension:
     profile = load_dimension(spark, settings)
     location = settings.checkpoint_location(f"{ENRICH_TOPIC}-profile")
     profile.frame.write.mode("overwrite").parquet(location)
+    if not profile.fits_broadcast(settings):
+        profile = profile.with_hot_keys(known_hot_cars(spark, settings))
     return replace(profile, frame=spark.read.schema(profile.frame.schema).parquet(location))
 
 
