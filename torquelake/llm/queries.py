@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import prepare_session
-from torquelake.llm import line_dedup, mixing
+from torquelake.llm import line_dedup, mixing, token_files
 from torquelake.llm.common import table
 
+#: The tokenizer file of the contracts.
+TOKENIZER = "byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -22,9 +26,14 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_digest(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 REGISTERED: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mix": op2_source_mix,
+    "op10_token_files": op10_token_files,
 }
 
 
