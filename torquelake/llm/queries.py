@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import prepare_session
-from torquelake.llm import line_dedup, mixing, token_files
+from torquelake.llm import line_dedup, mixing, secret_scan, token_files
 from torquelake.llm.common import table
 
 #: The tokenizer file of the contracts.
@@ -30,9 +30,14 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_digest(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, folder, "documents"))
+
+
 REGISTERED: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mix": op2_source_mix,
+    "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
 }
 
