@@ -57,7 +57,56 @@ near AS (
   FROM gaps)
 SELECT doc_id, size, source_size, target, ((certain + (chosen OR added)::BIGINT) * size)::BIGINT AS taken FROM near"""
 
+QUALITY = f"""
+WITH base AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, {WORDS.format(x="coalesce(text, '')")} AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, [w[i], w[i + 1], w[i + 2]] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM base WHERE len(w) >= 3)),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM base)
+  WHERE trim(line, {SPACES}) <> '' GROUP BY doc_id),
+counts AS (
+  SELECT b.doc_id, lang AS stratum, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+         coalesce(r.n, 0) AS n_repeat_words, coalesce(l.n, 0) AS n_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper
+  FROM base b LEFT JOIN repeats r USING (doc_id) LEFT JOIN lines l ON l.doc_id = b.doc_id),
+measures AS (
+  SELECT *, unnest([
+    {{'m': 'symbols', 'v': CASE WHEN word_chars > 0 THEN n_symbols::DOUBLE / word_chars ELSE 0 END}},
+    {{'m': 'repeats', 'v': CASE WHEN n_words > 0 THEN n_repeat_words::DOUBLE / n_words ELSE 0 END}},
+    {{'m': 'dup_lines', 'v': CASE WHEN n_lines > 0 THEN n_dup_lines::DOUBLE / n_lines ELSE 0 END}},
+    {{'m': 'short', 'v': 1 / (n_words + 1)::DOUBLE}},
+    {{'m': 'word_length', 'v': CASE WHEN n_words > 0 THEN (word_chars::DOUBLE / n_words) / 64 ELSE 0 END}},
+    {{'m': 'upper', 'v': CASE WHEN word_chars > 0 THEN n_upper::DOUBLE / word_chars ELSE 0 END}}]) AS x
+  FROM counts),
+placed AS (SELECT doc_id, stratum, x.m AS measure, floor(sqrt(least(x.v, 1.0)) * 64)::INT AS place FROM measures),
+held AS (
+  SELECT stratum, measure, place, l.quality = 1 AS good FROM placed p JOIN labels l USING (doc_id) WHERE l.quality IS NOT NULL),
+tried AS (
+  SELECT stratum, measure, c.place, count(*) FILTER (WHERE good) AS n,
+         count(*) FILTER (WHERE good AND h.place >= c.place) AS k, count(*) FILTER (WHERE NOT good AND h.place >= c.place) AS bad
+  FROM held h, (SELECT unnest(range(1, 65)) AS place) c GROUP BY ALL),
+tested AS (
+  SELECT *, (SELECT sum(exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0) + j * ln(0.005) + (n - j) * ln(0.995)))
+             FROM (SELECT unnest(range(0, k + 1)) AS j)) AS p
+  FROM tried WHERE bad > k AND k < n * 0.005),
+limits AS (
+  SELECT stratum, measure, min(place) AS place FROM tested
+  WHERE p <= 0.05 / ((SELECT count(*) FROM (SELECT DISTINCT lang FROM documents)) * 6 * 64) GROUP BY ALL),
+rejected AS (
+  SELECT DISTINCT doc_id FROM placed p JOIN limits l
+    ON p.stratum IS NOT DISTINCT FROM l.stratum AND p.measure = l.measure AND p.place >= l.place),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
+FROM failed"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_source_mix": SOURCE_MIX,
+    "op6_quality_rules": QUALITY,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import prepare_session
-from torquelake.llm import line_dedup, mixing, secret_scan, token_files
+from torquelake.llm import line_dedup, mixing, quality, secret_scan, token_files
 from torquelake.llm.common import table
 
 #: The tokenizer file of the contracts.
@@ -34,9 +34,15 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, folder, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.quality_filter(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.drop("reasons")
+
+
 REGISTERED: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mix": op2_source_mix,
+    "op6_quality_rules": op6_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
 }
