@@ -105,8 +105,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
 FROM failed"""
 
+CONTAMINATION = f"""
+WITH items AS (
+  SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, w
+  FROM (SELECT item_id, {TERMS.format(x=LOWER_AZ.format(x="coalesce(text, '')"))} AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item, w[i:i + least(len(w), 10) - 1] AS g
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items)),
+docs AS (SELECT doc_id, {TERMS.format(x=LOWER_AZ.format(x="coalesce(text, '')"))} AS w FROM documents),
+lens AS (SELECT DISTINCT len(g) AS n FROM windows),
+runs AS (
+  SELECT doc_id, i, n, w[i:i + n - 1] AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lens WHERE len(w) >= n)),
+found AS (SELECT r.doc_id, r.i, r.n, v.item FROM runs r JOIN windows v ON r.g = v.g),
+hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(m.n, 0) AS n_items,
+       sha256(coalesce(m.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hits h USING (doc_id) LEFT JOIN named m USING (doc_id)"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_source_mix": SOURCE_MIX,
     "op6_quality_rules": QUALITY,
+    "op7_benchmark_contamination": CONTAMINATION,
 }

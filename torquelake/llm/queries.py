@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import prepare_session
-from torquelake.llm import line_dedup, mixing, quality, secret_scan, token_files
+from torquelake.llm import decontaminate, line_dedup, mixing, quality, secret_scan, token_files
 from torquelake.llm.common import table
 
 #: The tokenizer file of the contracts.
@@ -39,10 +39,16 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("reasons")
 
 
+def op7_benchmark_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.contamination_digest(documents, items, size=10)
+
+
 REGISTERED: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mix": op2_source_mix,
     "op6_quality_rules": op6_quality_rules,
+    "op7_benchmark_contamination": op7_benchmark_contamination,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
 }
