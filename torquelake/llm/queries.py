@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import prepare_session
-from torquelake.llm import decontaminate, line_dedup, mixing, quality, secret_scan, token_files
+from torquelake.llm import decontaminate, licenses, line_dedup, mixing, quality, secret_scan, token_files
 from torquelake.llm.common import table
 
 #: The tokenizer file of the contracts.
@@ -44,9 +44,14 @@ def op7_benchmark_contamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination_digest(documents, items, size=10)
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(table(spark, folder, "documents"))
+
+
 REGISTERED: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mix": op2_source_mix,
+    "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_benchmark_contamination": op7_benchmark_contamination,
     "op9_secret_scan": op9_secret_scan,
