@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import prepare_session
-from torquelake.llm import decontaminate, licenses, line_dedup, mixing, quality, secret_scan, token_files
+from torquelake.llm import decontaminate, licenses, line_dedup, mixing, quality, secret_scan, token_files, toxicity
 from torquelake.llm.common import table
 
 #: The tokenizer file of the contracts.
@@ -48,9 +48,14 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(table(spark, folder, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_digest(table(spark, folder, "documents"), table(spark, folder, "labels"), fold=0)
+
+
 REGISTERED: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mix": op2_source_mix,
+    "op4_toxicity": op4_toxicity,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_benchmark_contamination": op7_benchmark_contamination,
