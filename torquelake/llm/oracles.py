@@ -126,9 +126,29 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n, 0) AS n_hit, coalesc
        sha256(coalesce(m.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hits h USING (doc_id) LEFT JOIN named m USING (doc_id)"""
 
+JACCARD = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, {WORDS.format(x=LOWER_AZ.format(x="coalesce(text, '')"))} AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, w[i:i + {{n}} - 1] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {{n}} + 1, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n, md5(string_agg(array_to_string(g, ' '), chr(10) ORDER BY g)) AS same FROM grams GROUP BY doc_id),
+reps AS (SELECT same, min(doc_id) AS rep, any_value(n) AS n FROM sizes GROUP BY same),
+rep_grams AS (SELECT r.rep, r.n, g.g FROM reps r JOIN grams g ON g.doc_id = r.rep),
+shared AS (
+  SELECT a.rep AS a, b.rep AS b, count(*) AS o, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM rep_grams a JOIN rep_grams b ON a.g = b.g AND a.rep < b.rep GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared WHERE {{den}} * o >= {{num}} * (na + nb - o)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT rep AS node, rep AS root FROM reps UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node),
+least AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN reps r USING (same) LEFT JOIN least l ON l.node = r.rep"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_source_mix": SOURCE_MIX,
+    "op3_ngram_jaccard": JACCARD.format(n=3, num=90, den=100),
     "op6_quality_rules": QUALITY,
     "op7_benchmark_contamination": CONTAMINATION,
 }

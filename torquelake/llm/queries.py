@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import prepare_session
-from torquelake.llm import decontaminate, licenses, line_dedup, mixing, quality, secret_scan, token_files, toxicity
+from torquelake.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, quality, secret_scan, token_files, toxicity
 from torquelake.llm.common import table
 
 #: The tokenizer file of the contracts.
@@ -52,9 +52,14 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_digest(table(spark, folder, "documents"), table(spark, folder, "labels"), fold=0)
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.component_digest(table(spark, folder, "documents"), ngram_join.Similar(3, 90, 100))
+
+
 REGISTERED: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mix": op2_source_mix,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_toxicity": op4_toxicity,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
