@@ -6,8 +6,12 @@ same document: they get the same result, each of them. A null id is an id like a
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
 from functools import reduce
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,15 +42,29 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, partition_by: tuple[str, ...] = (), compression: str = "snappy") -> DataFrame:
     """Write a stage to the shared folder and read it back: lost executors lose nothing of it."""
     spark = frame.sparkSession
     folder = scratch_folder(spark, name)
     schema = frame.schema
-    frame.write.parquet(folder)
+    frame.write.partitionBy(*partition_by).option("compression", compression).parquet(folder)
     return spark.read.schema(schema).parquet(folder)
 
 
+def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table | None], Any]) -> Any:
+    """Fit a model in one task, on a sample whose bound the caller states; None stands for no rows.
+
+    The driver gets the model only, and a lost executor costs a new attempt.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [b for b in batches if b.num_rows]
+        model = fit(pa.Table.from_batches(found) if found else None)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    return pickle.loads(sample.repartition(1).mapInArrow(run, "model binary").first()["model"])
+
+
 def match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join by keys of the same names, null equal to null; the keys of the left side stay."""
     if how in ("left_semi", "left_anti"):
@@ -82,5 +100,10 @@ def match_few(left: DataFrame, right: DataFrame, keys: list[str], n_right: int,
     return match(salted, right.withColumn("_salt", salts), [*keys, "_salt"], how).drop("_salt")
 
 
+def in_fold(ident: str, fold: int) -> Column:
+    """Whether crc32 of the id as text leaves this remainder by 5; a null id is in none."""
+    return F.coalesce(F.crc32(F.col(ident).cast("string").cast("binary")) % 5 == fold, F.lit(False))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

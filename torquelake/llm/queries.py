@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import prepare_session
-from torquelake.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, quality, secret_scan, token_files, toxicity
-from torquelake.llm.common import table
+from torquelake.llm import decontaminate, licenses, line_dedup, lm, mixing, ngram_join, quality, secret_scan, token_files, toxicity
+from torquelake.llm.common import in_fold, table
 
 #: The tokenizer file of the contracts.
 TOKENIZER = "byte_bpe_50k.json"
@@ -56,6 +56,11 @@ def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.component_digest(table(spark, folder, "documents"), ngram_join.Similar(3, 90, 100))
 
 
+def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return lm.score_texts(docs, in_fold("doc_id", 1), public_tokenizers.path(TOKENIZER), end_id=50256)
+
+
 REGISTERED: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mix": op2_source_mix,
@@ -64,6 +69,7 @@ REGISTERED: dict[str, Query] = {
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_benchmark_contamination": op7_benchmark_contamination,
+    "op8_lm_score": op8_lm_score,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
 }
