@@ -115,7 +115,7 @@ def decontaminate(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, n_words, n_hit, items, contaminated`` for every row of ``docs``.
+    """``doc_id, _h, n_words, n_hit, items, contaminated`` for every row of ``docs``; ``_h`` is the text's hash.
 
     ``n_hit`` counts the words inside any place of a window, each once; ``items`` are the ids of the
     items found, as sorted strings. A null or empty text has no words. Rows that repeat id and text
@@ -139,6 +139,7 @@ def decontaminate(
     rows = match(match(rows, hit, DOC, "left"), named, DOC, "left")
     return rows.select(
         F.col("_id").alias("doc_id"),
+        "_h",
         F.col("_n_words").cast("bigint").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -146,6 +147,15 @@ def decontaminate(
     )
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no window of an item stands."""
+    found = decontaminate(docs, items, size, id_col, text_col).filter("contaminated")
+    gone = stored(found.select(F.col("doc_id").alias("_id"), "_h").distinct(), "contaminated")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keys = docs.withColumns({"_id": F.col(id_col), "_h": F.xxhash64(text)})
+    return match_few(keys, gone, DOC, gone.count(), "left_anti").select(docs.columns)
+
+
 def contamination_digest(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     rows = decontaminate(docs, items, size)
     joined = F.sha2(F.concat_ws(",", "items"), 256)

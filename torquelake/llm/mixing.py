@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from torquelake.llm.common import WORD, match_few, stored
+from torquelake.llm.common import WORD, match, match_few, stored
 
 #: Buckets in a unit of log2 q, and parts of a bucket.
 FINE, FINER = 64, 4096
@@ -81,7 +81,7 @@ def mix_sources(
     """How often each document is taken.
 
     Returns ``doc_id, source, size`` (words; null text: 0), ``source_size, target, copies, taken``
-    (``copies * size``) for every row. Taking in order ends before the target would be passed; then
+    (``copies * size``) and ``_h``, the text's hash, for every row. Taking in order ends before the target would be passed; then
     the document whose size is nearest to what is missing is added, if that brings the source
     closer. A source without words has target 0 and no copies. Rows that repeat id and size are
     taken alike. An empty table gives an empty result; columns of other names are left out.
@@ -89,6 +89,7 @@ def mix_sources(
     rows = stored(
         docs.select(
             F.col(id_col).alias("doc_id"),
+            F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("_h"),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
             random_unit(seed, F.col(id_col)).alias("_u"),
@@ -123,7 +124,7 @@ def mix_sources(
     # Without an end all that are ranked fit.
     before = F.expr("_q IS NOT NULL AND (_end_b IS NULL OR _b < _end_b OR (_b = _end_b AND (_end_f IS NULL OR _f < _end_f)))")
     drawn = stored(others.withColumn("_in", before).unionByName(last.drop("_sum")).select(
-        "doc_id", "source", "size", "source_size", "target", "_certain", "_p", "_in"), "mix-drawn")
+        "doc_id", "_h", "source", "size", "source_size", "target", "_certain", "_p", "_in"), "mix-drawn")
 
     got = drawn.groupBy("source").agg(F.sum((F.col("_certain") + F.col("_in").cast("bigint")) * F.col("size")).alias("_got"))
     drawn = few(drawn, got)
@@ -133,10 +134,20 @@ def mix_sources(
     drawn = few(drawn, nearest)
     added = F.expr("NOT _in AND _p > 0 AND _near.off < _near.gap AND size = _near.size AND doc_id <=> _near.id")
     copies = F.col("_certain") + (F.col("_in") | F.coalesce(added, F.lit(False))).cast("bigint")
-    return drawn.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies")).withColumn(
+    return drawn.select("doc_id", "_h", "source", "size", "source_size", "target", copies.alias("copies")).withColumn(
         "taken", F.col("copies") * F.col("size"))
 
 
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 20) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them."""
+    copies = mix_sources(docs, weights, most, seed).select(F.col("doc_id").alias("_id"), "_h", F.col("source").alias("_source"), "copies")
+    wanted = stored(copies.filter("copies > 0").distinct(), "mix-copies")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keys = docs.withColumns({"_id": F.col("doc_id"), "_h": F.xxhash64(text), "_source": F.col("source")})
+    taken = match(keys, wanted, ["_id", "_h", "_source"])
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(docs.columns)
+
+
 def _end(ranked: DataFrame, rest: DataFrame, bucket: str, few) -> DataFrame:
     """For each source the bucket where the words of ``_rest`` end and what is left for it there."""
     counted = ranked.groupBy("source", bucket).agg(F.sum("size").alias("_words"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from torquelake.llm.common import identified, match, match_few, match_hot, stored
+from torquelake.llm.common import WORD, identified, match, match_few, match_hot, stored
 from torquelake.llm.components import connected_components
 from torquelake.llm.wordhash import U64, mix, word_hashes
 
@@ -299,9 +299,9 @@ def _linked_nodes(blocks: DataFrame, similar: Similar, rows: DataFrame) -> DataF
 
 
 def ngram_components(docs: DataFrame, similar: Similar = Similar(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``_id, _h, n_shingles, component_id`` for every row; ``component_id`` is the smallest linked id.
+    """``_id, _h, n_shingles, component_id, group`` for every row.
 
-    Null and empty texts, and those without words, have no n-grams and are linked with nothing; with
+    ``component_id`` is the smallest linked id; ``group`` names the component, null without words. Null and empty texts, and those without words, have no n-grams and are linked with nothing; with
     fewer words than an n-gram the whole sequence is one. Rows that repeat are linked as equal texts
     are. Null ids never become a component's id unless it has no other. An empty table gives an
     empty result; other columns are left out.
@@ -337,10 +337,24 @@ def ngram_components(docs: DataFrame, similar: Similar = Similar(), id_col: str
     grouped = stored(grouped.withColumn("_group", F.coalesce("_group", "node")).drop("node"), "ngram-groups")
     smallest = grouped.filter("n_shingles > 0").groupBy("_group").agg(F.min("_id").alias("component_id"), F.count("*").alias("_rows"))
     linked = match_hot(grouped.filter("n_shingles > 0"), smallest, ["_group"], F.col("_rows"), n_docs)
-    alone = grouped.filter("n_shingles = 0").withColumn("component_id", F.col("_id"))
-    columns = [*DOC, "n_shingles", "component_id"]
+    alone = grouped.filter("n_shingles = 0").withColumn("component_id", F.col("_id")).withColumn("_group", F.lit(None).cast("string"))
+    columns = [*DOC, "n_shingles", "component_id", F.col("_group").alias("group")]
     return linked.select(columns).unionByName(alone.select(columns))
 
 
+def keep_one(docs: DataFrame, similar: Similar, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, of each component the document with the smallest id (null first).
+
+    Rows without words are linked with nothing and all stay; of rows that repeat id and text one stays.
+    """
+    linked = ngram_components(docs, similar, id_col, text_col).filter("group IS NOT NULL")
+    first = stored(linked.groupBy("group").agg(F.min(F.struct(*DOC)).alias("_first")).select("_first._id", "_first._h"), "kept-documents")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    worded = text.rlike(WORD)
+    keys = docs.filter(worded).withColumns({"_id": F.col(id_col), "_h": F.xxhash64(text)})
+    kept = match(keys, first, DOC, "left_semi").dropDuplicates(DOC)
+    return kept.select(docs.columns).unionByName(docs.filter(~worded))
+
+
 def component_digest(docs: DataFrame, similar: Similar) -> DataFrame:
     return ngram_components(docs, similar).select(F.col("_id").alias("doc_id"), "n_shingles", "component_id")
