@@ -2,7 +2,8 @@
 
 Output is in two steps: a class, which attention predicts, and the id in its class by its share in the
 corpus. The most frequent ids are classes of their own; the rest is cut into classes of about equal
-weight. Texts are scored in overlapping windows; a token is scored once, in the first window that has it.
+weight. Texts are scored in overlapping windows; a token is scored once, where it is in the last part
+of a window, and the first part is context.
 """
 
 from __future__ import annotations
@@ -16,14 +17,14 @@ import numpy as np
 class Shape:
     """Sizes of the model and its fit."""
 
-    own_classes: int = 80  # ids that are classes of their own
-    shared_classes: int = 16  # classes for the rest
+    own_classes: int = 56  # ids that are classes of their own
+    shared_classes: int = 8  # classes for the rest
     own_inputs: int = 2047  # ids with an embedding of their own; the others have one together
     dims: int = 12
     window: int = 24
-    step: int = 16
+    step: int = 16  # places scored in a window, its last
     batch: int = 256  # windows
-    updates: int = 1500
+    updates: int = 1000
     rate: float = 0.01
     seed: int = 8
 
@@ -57,23 +58,23 @@ def vocabulary(counts: np.ndarray, shape: Shape) -> Vocabulary:
     return Vocabulary(class_of, share.astype(np.float32), input_of, prior)
 
 
-def windows(lengths: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """Places of all windows over texts that lie one behind the other, and which of them are scored.
+def windows(lengths: np.ndarray, shape: Shape) -> np.ndarray:
+    """Places of all windows over texts that lie one behind the other, -1 outside of the text.
 
-    ``lengths`` are numbers of inputs. -1 is behind the end of a text.
+    ``lengths`` are numbers of inputs. The last ``step`` places of the windows of a text are all its places.
     """
-    count = np.maximum(1, -(-(lengths - shape.window) // shape.step) + 1)
+    count = -(-lengths // shape.step)
     text = np.repeat(np.arange(len(lengths)), count)
     number = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    inside = number[:, None] * shape.step + np.arange(shape.window)
-    exists = inside < lengths[text][:, None]
-    first = np.where(number[:, None] == 0, 0, shape.window - shape.step)
-    scored = exists & (np.arange(shape.window) >= first)
+    inside = number[:, None] * shape.step + np.arange(shape.step - shape.window, shape.step)
     begin = (np.cumsum(lengths) - lengths)[text][:, None]
-    return np.where(exists, begin + inside, -1), scored
+    return np.where((inside >= 0) & (inside < lengths[text][:, None]), begin + inside, -1)
 
 
 class Attention:
+    #: Exponents are cut here instead of being shifted by their maximum.
+    MOST = np.float32(60)
+
     def __init__(self, shape: Shape, prior: np.ndarray):
         random = np.random.default_rng(shape.seed)
         d = shape.dims
@@ -81,41 +82,42 @@ class Attention:
         self.shape = shape
         self.p = {
             "embed": draw(shape.own_inputs + 1, d), "place": draw(shape.window, d) * 0.3,
-            "q": draw(d, d), "k": draw(d, d), "v": draw(d, d), "o": draw(d, d) * 0.3,
+            "q": draw(d, d) / np.float32(np.sqrt(d)), "k": draw(d, d), "v": draw(d, d), "o": draw(d, d) * 0.3,
             "out": draw(d, len(prior)) * 0.3, "bias": prior.copy(),
         }
-        self.mask = np.where(np.tri(shape.window, dtype=bool), 0, -1e9).astype(np.float32)
+        self.sees = np.tri(shape.window, dtype=np.float32)[-shape.step :]
 
-    def hidden(self, inputs: np.ndarray):
-        """Vectors behind each input, ``(windows, window, dims)``, and what the fit needs of the way."""
-        p = self.p
+    def hidden(self, inputs: np.ndarray, exists: np.ndarray):
+        """Vectors behind the last ``step`` inputs of each window, and what the fit needs of the way."""
+        p, d, step = self.p, self.shape.dims, self.shape.step
         x = p["embed"][inputs] + p["place"]
-        flat = x.reshape(-1, self.shape.dims)
-        q, k, v = ((flat @ p[n]).reshape(x.shape) for n in "qkv")
-        a = q @ k.transpose(0, 2, 1) / np.float32(np.sqrt(self.shape.dims)) + self.mask
-        a -= a.max(axis=2, keepdims=True)
+        flat = x.reshape(-1, d)
+        k, v = ((flat @ p[n]).reshape(x.shape) for n in "kv")
+        last = np.ascontiguousarray(x[:, -step:])
+        q = (last.reshape(-1, d) @ p["q"]).reshape(last.shape)
+        a = q @ k.transpose(0, 2, 1)
+        np.minimum(a, self.MOST, out=a)
         np.exp(a, out=a)
-        a /= a.sum(axis=2, keepdims=True)
+        a *= self.sees
+        a *= exists[:, None, :]
+        a /= a.sum(axis=2, keepdims=True) + np.float32(1e-30)
         c = a @ v
-        return x + (c.reshape(-1, self.shape.dims) @ p["o"]).reshape(x.shape), (x, q, k, v, a, c)
+        return last + (c.reshape(-1, d) @ p["o"]).reshape(c.shape), (x, last, q, k, v, a, c)
 
     def class_logs(self, hidden: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """Log probability of each class behind each vector."""
         z = hidden @ self.p["out"]
         z += self.p["bias"]
-        top = z.max(axis=1)
-        chosen = z[np.arange(len(z)), classes] - top
-        z -= top[:, None]
+        np.minimum(z, self.MOST, out=z)
+        chosen = z[np.arange(len(z)), classes]
         np.exp(z, out=z)
-        return chosen - np.log(z.sum(axis=1))
+        return chosen - np.log(z @ np.ones(z.shape[1], dtype=z.dtype))
 
-    def gradients(self, inputs: np.ndarray, targets: np.ndarray, use: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    def gradients(self, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray, use: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss in nats over the used places, and its gradients."""
-        p, d = self.p, self.shape.dims
-        h, (x, q, k, v, a, c) = self.hidden(inputs)
-        z = h @ p["out"] + p["bias"]
-        z -= z.max(axis=2, keepdims=True)
-        e = np.exp(z)
+        p, d, step = self.p, self.shape.dims, self.shape.step
+        h, (x, last, q, k, v, a, c) = self.hidden(inputs, exists)
+        e = np.exp(np.minimum(h @ p["out"] + p["bias"], self.MOST))
         e /= e.sum(axis=2, keepdims=True)
         n = max(int(use.sum()), 1)
         rows = np.nonzero(use)
@@ -128,19 +130,20 @@ class Attention:
         dc = dh @ p["o"].T
         dv = a.transpose(0, 2, 1) @ dc
         da = dc @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True)) / np.float32(np.sqrt(d))
+        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
         dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        flat = x.reshape(-1, d)
-        dx = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
-        for name, part in (("q", dq), ("k", dk), ("v", dv)):
-            g[name] = flat.T @ part.reshape(-1, d)
+        dx = dk @ p["k"].T + dv @ p["v"].T
+        dx[:, -step:] += dh + dq @ p["q"].T
+        g["q"] = last.reshape(-1, d).T @ dq.reshape(-1, d)
+        for name, part in (("k", dk), ("v", dv)):
+            g[name] = x.reshape(-1, d).T @ part.reshape(-1, d)
         g["place"] = dx.sum(axis=0)
         embed = np.zeros_like(p["embed"])
         np.add.at(embed, inputs.reshape(-1), dx.reshape(-1, d))
         g["embed"] = embed
         return float(loss), g
 
-    def fit(self, inputs: np.ndarray, targets: np.ndarray, use: np.ndarray) -> list[float]:
+    def fit(self, inputs: np.ndarray, targets: np.ndarray, places: np.ndarray) -> list[float]:
         """Adam over random batches of windows, the pace falling to zero."""
         shape = self.shape
         random = np.random.default_rng(shape.seed)
@@ -148,8 +151,9 @@ class Attention:
         second = {n: np.zeros_like(x) for n, x in self.p.items()}
         losses = []
         for t in range(1, shape.updates + 1):
-            chosen = random.integers(0, len(inputs), min(shape.batch, len(inputs)))
-            loss, g = self.gradients(inputs[chosen], targets[chosen], use[chosen])
+            place = places[random.integers(0, len(places), min(shape.batch, len(places)))]
+            at, scored = np.maximum(place, 0), place[:, -shape.step :]
+            loss, g = self.gradients(inputs[at], place >= 0, targets[at[:, -shape.step :]], scored >= 0)
             losses.append(loss)
             rate = shape.rate * (1 - (t - 1) / shape.updates)
             for n in self.p:
@@ -177,17 +181,19 @@ class Scorer:
     model: Attention
     end: int
 
-    def scores(self, texts: list[np.ndarray], together: int = 1024) -> np.ndarray:
+    def scores(self, texts: list[np.ndarray], together: int = 512) -> np.ndarray:
         """log10 probability of each text, its end included."""
         inputs, targets, lengths = sequences(texts, self.end)
-        places, scored = windows(lengths, self.model.shape)
+        places, step = windows(lengths, self.model.shape), self.model.shape.step
         rows = self.words.input_of[inputs]
         classes = self.words.class_of[targets]
         logs = self.words.log_share[targets].astype(np.float64)
         for at in range(0, len(places), together):
-            place, use = places[at : at + together], scored[at : at + together]
-            hidden, _ = self.model.hidden(rows[np.maximum(place, 0)])
-            mine = place[use]
+            place = places[at : at + together]
+            hidden, _ = self.model.hidden(rows[np.maximum(place, 0)], place >= 0)
+            mine = place[:, -step:]
+            use = mine >= 0
+            mine = mine[use]
             logs[mine] += self.model.class_logs(hidden[use], classes[mine])
         return np.add.reduceat(logs, np.cumsum(lengths) - lengths) / np.log(10) if len(texts) else np.zeros(0)
 
@@ -198,7 +204,5 @@ def train_scorer(texts: list[np.ndarray], counts: np.ndarray, end: int, shape: S
     model = Attention(shape, words.prior)
     if texts:
         inputs, targets, lengths = sequences(texts, end)
-        places, scored = windows(lengths, shape)
-        at = np.maximum(places, 0)
-        model.fit(words.input_of[inputs][at], words.class_of[targets][at], scored)
+        model.fit(words.input_of[inputs], words.class_of[targets], windows(lengths, shape))
     return Scorer(words, model, end)

@@ -25,14 +25,14 @@ from torquelake.llm.subwords import encoder
 from torquelake.llm.wordhash import word_hashes
 
 #: Share of the words in a look at some documents from which on a word is counted apart.
-HOT_WORDS = 0.0005
-LOOKED_AT = 400
+HOT_WORDS = 0.0001
+LOOKED_AT = 1000
 #: Training documents and subwords of the sample for the attention model, at most.
 SAMPLE_DOCS, SAMPLE_SUBWORDS = 3000, 1_500_000
 #: Sums of documents that a task keeps before it hands them on.
 KEPT = 2_000_000
 #: Documents of a block; a place in it needs 16 bits.
-BLOCK = 4096
+BLOCK = 2048
 WORD, DOC, SUBWORD, HOT = range(4)
 
 

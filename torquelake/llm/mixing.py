@@ -141,11 +141,11 @@ def mix_sources(
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 20) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them."""
     copies = mix_sources(docs, weights, most, seed).select(F.col("doc_id").alias("_id"), "_h", F.col("source").alias("_source"), "copies")
-    wanted = stored(copies.filter("copies > 0").distinct(), "mix-copies")
+    wanted = stored(copies.filter("copies > 0").withColumnRenamed("copies", "_copies").distinct(), "mix-copies")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keys = docs.withColumns({"_id": F.col("doc_id"), "_h": F.xxhash64(text), "_source": F.col("source")})
     taken = match(keys, wanted, ["_id", "_h", "_source"])
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(docs.columns)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
 
 
 def _end(ranked: DataFrame, rest: DataFrame, bucket: str, few) -> DataFrame:

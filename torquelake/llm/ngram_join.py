@@ -28,12 +28,13 @@ from pyspark.sql import functions as F
 
 from torquelake.llm.common import WORD, identified, match, match_few, match_hot, stored
 from torquelake.llm.components import connected_components
+from torquelake.llm.subwords import forget
 from torquelake.llm.wordhash import U64, mix, word_hashes
 
 #: An n-gram is frequent if it is counted in so many documents, or in this share of all.
 FREQUENT_DOCS, FREQUENT_SHARE = 50, 0.001
 #: Sets in a cut of a block.
-CUT = 2000
+CUT = 600
 #: N-grams that are worked on together.
 TOGETHER = 400_000
 DOC = ["_id", "_h"]
@@ -148,6 +149,7 @@ def frequent_ngrams(rows: DataFrame, similar: Similar, n_docs: int) -> np.ndarra
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             seen = [ngram_sets(g.column(0), similar.words)[0] for g in groups([batch], 0)]
             values, counts = np.unique(np.concatenate(seen) if seen else np.zeros(0, dtype=np.uint64), return_counts=True)
@@ -312,6 +314,7 @@ def ngram_components(docs: DataFrame, similar: Similar = Similar(), id_col: str
     id_type = rows.schema["_id"].dataType.simpleString()
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for part in groups(batches, 2):
             hashes, begin = ngram_sets(part.column(2), similar.words)
             low, high = node_ids(hashes, begin)

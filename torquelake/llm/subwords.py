@@ -6,10 +6,11 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 #: Pieces remembered in a worker, and characters of text that are encoded together.
-REMEMBERED = 800_000
-TOGETHER = 8_000_000
+REMEMBERED = 600_000
+TOGETHER = 4_000_000
 #: New pieces in a string for the tokenizer.
 JOINED = 256
 
@@ -86,3 +87,9 @@ class PieceEncoder:
 def encoder(path: str) -> PieceEncoder:
     """One for each tokenizer file in a Python worker."""
     return PieceEncoder(path)
+
+
+def forget() -> None:
+    """Give the memory of remembered pieces back; for workers that turn to other work."""
+    encoder.cache_clear()
+    pa.default_memory_pool().release_unused()
