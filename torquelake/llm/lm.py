@@ -133,11 +133,11 @@ def tokenized(rows: DataFrame, hot: np.ndarray, tokenizer: str, end_id: int) ->
     return stored(rows.select("_id", "_h", "_held", "_text").mapInArrow(pass_over, schema), "lm-tokens", ("kind",), "zstd")
 
 
-def word_sums(words: DataFrame) -> DataFrame:
+def word_sums(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``doc, total, known`` from rows of ``WORD``: log10(count + 0.5) and known words of each document.
 
-    A document is its block and place. One row with ``doc`` -1 for each task has its known words and
-    their training counts.
+    A document is its block and place. A task adds up what it has of each document and sends it by
+    block, packed. The second result is ``trained, distinct``: training counts and known words of each task.
     """
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +153,12 @@ def word_sums(words: DataFrame) -> DataFrame:
             pending = len(key)
 
         def handed_on() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(docs[0]), pa.array(totals[0]), pa.array(knowns[0])], names=["doc", "total", "known"])
+            block, place = docs[0] >> 16, (docs[0] & 0xFFFF).astype("<u2")
+            cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) if len(block) else np.zeros(1, dtype=np.int64)
+            spans = list(zip(cuts.tolist(), cuts[1:].tolist(), strict=False))
+            packed = [[x[a:b].tobytes() for a, b in spans] for x in (place, totals[0], knowns[0].astype("<u4"))]
+            empty = pa.nulls(len(spans), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(block[cuts[:-1]]), *(pa.array(x, pa.binary()) for x in packed), empty, empty], names=names)
 
         def work(table: pa.Table) -> None:
             nonlocal distinct, trained, pending
@@ -190,10 +195,23 @@ def word_sums(words: DataFrame) -> DataFrame:
             work(carried)
         fold()
         yield handed_on()
-        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([float(trained)]), pa.array([distinct])], names=["doc", "total", "known"])
-
+        none = pa.nulls(1, pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), none, none, none, pa.array([trained]), pa.array([distinct])], names=names)
+
+    def added(table: pa.Table) -> pa.Table:
+        raw = lambda column, kind: np.frombuffer(b"".join(table.column(column).to_pylist()), dtype=kind)
+        place = raw("places", "<u2").astype(np.int64)
+        used = np.flatnonzero(np.bincount(place))
+        total, known = np.bincount(place, weights=raw("totals", "<f8")), np.bincount(place, weights=raw("knowns", "<u4"))
+        block = table.column("block")[0].as_py()
+        return pa.table({"doc": block << 16 | used, "total": total[used], "known": known[used].astype(np.int64)})
+
+    names = ["block", "places", "totals", "knowns", "trained", "distinct"]
     by_word = words.select("key", "block", "n", "data").repartition("key").sortWithinPartitions("key")
-    return stored(by_word.mapInArrow(summed, "doc bigint, total double, known bigint"), "lm-sums")
+    parts = stored(by_word.mapInArrow(
+        summed, "block bigint, places binary, totals binary, knowns binary, trained bigint, distinct bigint"), "lm-sums")
+    sums = parts.filter("block IS NOT NULL").groupBy("block").applyInArrow(added, "doc bigint, total double, known bigint")
+    return sums, parts.filter("block IS NULL").select("trained", "distinct")
 
 
 def score_texts(
@@ -221,8 +239,8 @@ def score_texts(
     tokens = tokenized(rows, hot, tokenizer, end_id)
     kind = lambda k: tokens.filter(F.col("kind") == k)
 
-    sums = word_sums(kind(WORD))
-    cold = sums.filter("doc = -1").agg(F.sum("total"), F.sum("known")).first()
+    sums, counted_words = word_sums(kind(WORD))
+    cold = counted_words.agg(F.sum("trained"), F.sum("distinct")).first()
     hot_counts = np.zeros(len(hot), dtype=np.int64)
     for r in kind(HOT).groupBy("key").agg(F.sum("n").alias("n")).collect():  # one row for each hot word
         hot_counts[r["key"]] = r["n"]
@@ -272,8 +290,7 @@ def score_texts(
 
     all_docs = kind(DOC).select("block", "key", "n", "data", "more", "_id", "_held").mapInArrow(
         scored, f"doc_id {id_type}, held_out boolean, doc bigint, n_tokens bigint, base double, hot_known bigint, score double")
-    own = sums.filter("doc <> -1").groupBy("doc").agg(F.sum("total").alias("total"), F.sum("known").alias("known"))
-    joined = match(all_docs, own, ["doc"], "left")
+    joined = match(all_docs, sums, ["doc"], "left")
     return joined.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("hot_known") + F.coalesce("known", F.lit(0)) + F.lit(int(n_train > 0))).alias("n_known"),
