@@ -132,6 +132,67 @@ def test_maintenance_merges_then_removes(spark, fragmented):
     before.unpersist()
 
 
+@pytest.mark.parametrize("lost", ["SET", "ADD", "DROP", "UNSET"])
+def test_lost_compaction_is_completed_by_the_next(spark, fragmented, monkeypatch, lost):
+    """The run ends right after one of its statements, the first time that it is made."""
+    table, settings = fragmented
+    monkeypatch.setattr(maintenance, "STATEMENT_PARTITIONS", 40)  # several batches, and several statements for each
+    before = unzoned(tables.read_table(spark, table, settings)).cache()
+    before.count()
+
+    class Losing:
+        def __init__(self):
+            self.lost = False
+
+        def __getattr__(self, name):
+            return getattr(spark, name)
+
+        def sql(self, text):
+            result = spark.sql(text)
+            if text.startswith("ALTER") and f" {lost} " in text and not self.lost:
+                self.lost = True
+                raise ConnectionError("lost")
+            return result
+
+    losing = Losing()
+    with pytest.raises(ConnectionError):
+        maintenance.compact(losing, table, settings)
+    later = datetime.now() + timedelta(days=2)
+    unfinished = maintenance.open_compaction(spark, table, settings)
+    assert (unfinished is None) == (lost == "UNSET")
+    if unfinished:  # its files are no orphans, registered or not
+        orphans = maintenance.table_orphans(spark, table, settings, later)
+        assert orphans.filter(F.col("path").contains(unfinished)).count() == 0
+    maintenance.compact(spark, table, settings)
+    assert maintenance.open_compaction(spark, table, settings) is None
+    after = unzoned(tables.read_table(spark, table, settings))
+    assert after.count() == 3000 and after.exceptAll(before).count() == 0 and before.exceptAll(after).count() == 0
+    before.unpersist()
+
+
+def test_small_files_beside_large_ones_are_merged(spark, tmp_path):
+    settings = Settings(root=str(tmp_path), compact_min_bytes=20_000, compact_target_bytes=40_000)
+    table = replace(tables.RAW, schema="upkeep_mixed")
+    tables.create_schema(spark, table.schema, settings)
+    tables.create_table(spark, table, settings)
+    time = F.lit("2024-03-01 12:00:00").cast("timestamp")
+    text = F.concat_ws(" ", *[F.md5(F.concat_ws("-", "id", F.lit(k))) for k in range(4)])
+    rows = spark.range(1003).select(F.col("id").cast("string").alias("id"), text.alias("json_data"), time.alias("timestamp"))
+    location = tables.load_location(table, settings, "batch")
+    # One large file and three small ones in the same folder.
+    by_file = F.when(F.col("id") < 1000, 0).otherwise(F.col("id").cast("int") - 999)
+    dealt = tables.with_day(rows, table).repartitionByRange(4, by_file)
+    dealt.write.partitionBy(table.day_column).parquet(location)
+    spark.sql(f"MSCK REPAIR TABLE {table.full_name(settings)}")
+    small = lambda: maintenance.table_listing(spark, table, settings).join(
+        maintenance.registered_folders(spark, table, settings), "folder", "left_semi").filter("bytes < 20000").count()
+    assert small() == 3
+    assert maintenance.compact(spark, table, settings) == 1
+    assert small() <= 1 and maintenance.folders_to_merge(spark, table, settings).count() == 0
+    assert tables.read_table(spark, table, settings).select("id").distinct().count() == 1003
+    assert tables.read_table(spark, table, settings).count() == 1003
+
+
 def test_nothing_to_merge(spark, tmp_path):
     settings = Settings(root=str(tmp_path))
     table = replace(tables.RAW, schema="upkeep_empty")

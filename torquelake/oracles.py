@@ -17,9 +17,10 @@ PARTS = {
   SELECT c_custkey AS car_id, 100000000 + c_custkey AS driver_id,
          CAST(1 + c_custkey % 7 AS INTEGER) AS model_id,
          CAST(1 + FLOOR(c_custkey / 7) % 7 AS INTEGER) AS color_id
-  FROM customer WHERE c_custkey % 10 <> 0)""",
+  FROM customer)""",
     "sensors": """sensors AS (
-  SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_time, user_id AS car_id,
+  SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_time,
+         CASE WHEN user_id % 10 = 0 THEN user_id + 1000000000000 ELSE user_id END AS car_id,
          CASE WHEN event_id % 53 = 0 THEN NULL ELSE CAST((event_id * 37) % 161 AS INTEGER) END AS speed,
          CASE WHEN event_id % 59 = 0 THEN NULL ELSE CAST((event_id * 7919) % 8001 AS INTEGER) END AS rpm,
          CAST(1 + CAST(json_extract_string(props, '$.k') AS INTEGER) % 7 AS INTEGER) AS gear
@@ -233,8 +234,7 @@ def oracle_sql() -> dict[str, str]:
         "plan_orphans": _with(
             ("files",),
             "SELECT path, bytes, modified_at FROM files f WHERE modified_at < TIMESTAMP '2001-08-01' - INTERVAL 1 DAY "
-            "AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_returnflag = 'R' "
-            "AND CAST(l.l_orderkey AS VARCHAR) = f.path)",
+            "AND NOT EXISTS (SELECT 1 FROM events e WHERE CAST(e.event_id AS VARCHAR) = f.path)",
         ),
         # What ad-hoc SQL can do
         "sql_join_kinds": """SELECT 'inner' AS kind, count(*) AS num_of_rows FROM orders JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0
@@ -248,6 +248,26 @@ UNION ALL SELECT 'theta', count(*) FROM orders JOIN customer ON o_custkey = c_cu
             "count(*) AS num_of_rows, count(*) FILTER (WHERE is_alert) AS num_of_alerts "
             "FROM flagged GROUP BY ROLLUP (color_name, model_name)",
         ),
+        "sql_cube_grouping_sets": _with(
+            FLAGGED,
+            "SELECT 'cube' AS kind, color_name, brand_name, CAST(grouping(color_name, brand_name) AS BIGINT) AS level, "
+            "count(*) AS num_of_rows, max(speed) AS maximum_speed FROM flagged GROUP BY CUBE (color_name, brand_name) "
+            "UNION ALL SELECT 'sets', color_name, brand_name, CAST(grouping(color_name, brand_name) AS BIGINT), "
+            "count(*), max(speed) FROM flagged GROUP BY GROUPING SETS ((color_name), (brand_name), ())",
+        ),
+        "sql_distinct_aggregates": _with(
+            FLAGGED,
+            "SELECT color_name, count(DISTINCT car_id) AS num_of_cars, count(DISTINCT gear) AS num_of_gears, "
+            "CAST(sum(DISTINCT gear) AS BIGINT) AS sum_of_gears, count(*) AS num_of_rows FROM flagged GROUP BY color_name "
+            "UNION ALL SELECT DISTINCT brand_name, 0, 0, 0, 0 FROM flagged",
+        ),
+        "sql_moving_frame": _with(
+            SENSORS,
+            "SELECT event_id, car_id, count(speed) OVER w AS num_of_speeds, max(speed) OVER w AS maximum_speed, "
+            "CAST(sum(rpm) OVER w AS BIGINT) AS sum_of_rpm FROM sensors WINDOW w AS (PARTITION BY car_id, "
+            "CAST(event_time AS DATE) ORDER BY event_time, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)",
+        ),
+        "compacted_table": millis_flagged.replace("date_trunc('millisecond', event_time)", "event_time"),
         "sql_top_speed_per_car": _with(
             FLAGGED,
             "SELECT car_id, event_id, speed, CAST(rank AS INTEGER) AS rank FROM (SELECT car_id, event_id, speed, row_number() OVER "

@@ -7,19 +7,21 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from torquelake.config import Settings, session_options
+from torquelake.config import Settings
 from torquelake.functions.scalars import cutoff
 from torquelake.sources.tables import BATCH_DIGITS, LOAD, Table, load_location
 
 # Partitions named in one catalog statement.
 STATEMENT_PARTITIONS = 500
+# Property of a table while a merged load takes the place of others.
+OPEN_COMPACTION = "torquelake.compaction.open"
 # Folder name of rows without a day.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
@@ -134,7 +136,7 @@ def registered_folders(spark: SparkSession, table: Table, settings: Settings) ->
 
 
 def compactable_files(spark: SparkSession, table: Table, settings: Settings) -> DataFrame:
-    """Files of folders that are small on average and will not be written again.
+    """Files of registered folders that will not be written again.
 
     The newest load of each streaming query is left out, as the query may repeat it.
     """
@@ -149,22 +151,30 @@ def compactable_files(spark: SparkSession, table: Table, settings: Settings) ->
         .agg(F.max(LOAD).alias(LOAD))
         .select(LOAD)
     )
-    files = table_listing(spark, table, settings).join(folders, "folder", "left_semi").join(newest, LOAD, "left_anti")
-    small_folders = (
-        files.groupBy("folder").agg(F.avg("bytes").alias("mean")).filter(F.col("mean") < settings.compact_min_bytes)
-    )
-    return files.join(small_folders.select("folder"), "folder", "left_semi")
+    return table_listing(spark, table, settings).join(folders, "folder", "left_semi").join(newest, LOAD, "left_anti")
 
 
-def folders_to_merge(spark: SparkSession, table: Table, settings: Settings) -> list[Row]:
-    """Load and day of the folders in days where a bin has more than one file.
+def files_to_merge(spark: SparkSession, table: Table, settings: Settings) -> DataFrame:
+    """``path, load, partition, bin`` of all files in the folders that are rewritten.
 
-    This is partition metadata, which the catalog statements have to name one by one.
+    A small file is merged if its bin has others. The catalog knows folders only, so the other
+    files of its folder are rewritten with it, each as it is: their ``bin`` is their path.
     """
     files = compactable_files(spark, table, settings)
     plan = plan_compaction(files, settings.compact_target_bytes, settings.compact_min_bytes)
-    days = plan.groupBy("partition", "bin").count().filter("count > 1").select("partition").distinct()
-    return files.join(days, "partition", "left_semi").select(LOAD, "partition").distinct().collect()
+    shared = Window.partitionBy(F.coalesce(F.col("partition"), F.lit("")), "bin")
+    several = plan.withColumn("_files", F.count("*").over(shared)).filter("_files > 1")
+    bins = several.select("path", F.col("bin").cast("string").alias("_bin"))
+    chosen = files.join(bins, "path", "left")
+    folders = chosen.filter(F.col("_bin").isNotNull()).select("folder").distinct()
+    return chosen.join(folders, "folder", "left_semi").select(
+        "path", LOAD, "partition", F.coalesce("_bin", "path").alias("bin")
+    )
+
+
+def folders_to_merge(spark: SparkSession, table: Table, settings: Settings) -> DataFrame:
+    """``load, partition`` of the folders that are rewritten."""
+    return files_to_merge(spark, table, settings).select(LOAD, "partition").distinct()
 
 
 def _alter(spark: SparkSession, name: str, action: str, specs: list[str], separator: str) -> None:
@@ -177,40 +187,103 @@ def _partition_spec(table: Table, load: str, day: str) -> str:
     return f"PARTITION ({LOAD} = '{load}', {table.day_column} = {value})"
 
 
+def _intent_location(table: Table, settings: Settings, load: str) -> str:
+    """Which folders a merged load replaces; outside of the table, so it is no file of it."""
+    return f"{settings.root.rstrip('/')}/maintenance/{table.schema}/{table.name}/{load}"
+
+
+def open_compaction(spark: SparkSession, table: Table, settings: Settings) -> str | None:
+    """The merged load whose registration has begun and not ended."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table.full_name(settings)}").filter(F.col("key") == OPEN_COMPACTION)
+    found = rows.first()
+    return found.value if found else None
+
+
+def finish_compaction(spark: SparkSession, table: Table, settings: Settings) -> int:
+    """Complete an open compaction: register the merged load, drop what it replaces; both may be repeated.
+
+    The merged rows were complete when the intent was written, so going forward is always right.
+    """
+    load, name = open_compaction(spark, table, settings), table.full_name(settings)
+    if load is None:
+        return 0
+    replaced = spark.read.parquet(_intent_location(table, settings, load)).collect()  # a batch of folders
+    days = sorted({row.partition for row in replaced})
+    _alter(spark, name, "ADD IF NOT EXISTS", [_partition_spec(table, load, day) for day in days], " ")
+    _alter(spark, name, "DROP IF EXISTS", [_partition_spec(table, r[LOAD], r.partition) for r in replaced], ", ")
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{OPEN_COMPACTION}')")
+    return len(replaced)
+
+
+def _batches_of_days(folders: DataFrame) -> Iterator[list[Row]]:
+    """Whole days, up to ``STATEMENT_PARTITIONS`` folders together unless one day has more."""
+    days = folders.groupBy("partition").agg(F.collect_list(LOAD).alias("loads"))
+    batch: list[Row] = []
+    for day in days.toLocalIterator():
+        if batch and sum(len(d.loads) for d in batch) + len(day.loads) > STATEMENT_PARTITIONS:
+            yield batch
+            batch = []
+        batch.append(day)
+    if batch:
+        yield batch
+
+
 def compact(spark: SparkSession, table: Table, settings: Settings) -> int:
-    """Merge the small folders of a Parquet table day by day; return how many were merged.
+    """Merge small files of a Parquet table, some days at a time; return how many folders were merged.
 
-    The merged rows are written to a new load that the catalog does not know yet. If their
-    number is right, the new load is registered and the old folders are dropped from the
-    catalog. The old files stay on storage until they are removed as orphans.
+    The rows of each bin are written to one file of a new load that the catalog does not know
+    yet. If their number is right, the folders that it replaces are written down, and the table
+    gets a note that their exchange has begun. Then the new load is registered, the old folders are
+    dropped from the catalog, and the note is taken away. A run that is lost in between is completed by
+    the next one. The old files stay on storage until they are removed as orphans.
     """
+    finish_compaction(spark, table, settings)
     name = table.full_name(settings)
-    merge = folders_to_merge(spark, table, settings)
-    if not merge:
-        return 0
-    # Only partition columns are compared, so the other folders are not even listed.
-    stored_day = F.coalesce(F.col(table.day_column).cast("string"), F.lit(NO_DAY))
-    chosen = F.concat_ws("/", LOAD, stored_day).isin([f"{row[LOAD]}/{row.partition}" for row in merge])
-    rows = spark.table(name).filter(chosen)
-    new_load = f"compacted-{uuid.uuid4().hex}"
-    location = load_location(table, settings, new_load)
-    with session_options(
-        spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(settings.compact_target_bytes)}
-    ):
-        merged = rows.drop(LOAD).hint("rebalance", table.day_column)
-        merged.write.mode("overwrite").partitionBy(table.day_column).parquet(location)
-
-    found, expected = spark.read.schema(table.columns).parquet(location).count(), rows.count()
-    if found != expected:
-        raise RuntimeError(f"compaction of {name} wrote {found} rows instead of {expected}; nothing was changed")
-    days = sorted({row.partition for row in merge})
-    _alter(spark, name, "ADD IF NOT EXISTS", [_partition_spec(table, new_load, day) for day in days], " ")
-    _alter(spark, name, "DROP IF EXISTS", [_partition_spec(table, r[LOAD], r.partition) for r in merge], ", ")
-    return len(merge)
+    plan_at = _intent_location(table, settings, f"plan-{uuid.uuid4().hex}")
+    files_to_merge(spark, table, settings).write.parquet(plan_at)
+    plan = spark.read.parquet(plan_at)
+    merged = 0
+    for days in _batches_of_days(plan.select(LOAD, "partition").distinct()):
+        merge = [(load, day.partition) for day in days for load in day.loads]
+        day_column = F.col(table.day_column)
+        named = [d.partition for d in days if d.partition != NO_DAY]
+        in_days = day_column.isin([F.lit(d).cast("date") for d in named]) if named else F.lit(False)
+        if len(named) < len(days):
+            in_days = in_days | day_column.isNull()
+        # Partition columns only: the catalog lists nothing but these folders.
+        rows = spark.table(name).filter(in_days & F.col(LOAD).isin(sorted({load for load, _ in merge})))
+        stored_day = F.coalesce(day_column.cast("string"), F.lit(NO_DAY))
+        rows = rows.withColumn("partition", stored_day).withColumn("path", _plain(F.col("_metadata.file_path")))
+        wanted = plan.select(_plain(F.col("path")).alias("path"), "bin")
+        rows = rows.join(wanted, "path").drop("path", LOAD)
+        load = f"compacted-{uuid.uuid4().hex}"
+        location = load_location(table, settings, load)
+        by_bin = rows.repartition("partition", "bin").drop("partition", "bin")
+        by_bin.write.mode("overwrite").partitionBy(table.day_column).parquet(location)
+        found, expected = spark.read.schema(table.columns).parquet(location).count(), rows.count()
+        before = spark.table(name).filter(
+            F.concat_ws("/", LOAD, stored_day).isin([f"{a}/{b}" for a, b in merge]) & in_days
+        )
+        if found != expected or expected != before.count():
+            raise RuntimeError(f"compaction of {name} wrote {found} rows instead of {expected}; nothing was changed")
+        replaced = spark.createDataFrame(merge, f"{LOAD} string, partition string").coalesce(1)
+        replaced.write.parquet(_intent_location(table, settings, load))
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{OPEN_COMPACTION}' = '{load}')")
+        merged += finish_compaction(spark, table, settings)
+    return merged
+
+
+def _plain(path: Column) -> Column:
+    """A path of one form, as listings and scans write local ones differently."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
 def table_orphans(spark: SparkSession, table: Table, settings: Settings, as_of: datetime) -> DataFrame:
+    """Orphans of a table; a load whose registration is open is in use."""
     listing = table_listing(spark, table, settings)
+    load = open_compaction(spark, table, settings)
+    if load is not None:
+        listing = listing.filter(F.col(LOAD) != load)
     referenced = listing.join(registered_folders(spark, table, settings), "folder", "left_semi")
     return plan_orphans(listing, referenced, as_of, settings.orphan_days)
 
@@ -246,11 +319,15 @@ def maintain(spark: SparkSession, table: Table, settings: Settings, as_of: datet
     if apply:
         lines.append(("folders merged", compact(spark, table, settings)))
     else:
-        lines.append(("folders to merge", len(folders_to_merge(spark, table, settings))))
+        lines.append(("folders to merge", folders_to_merge(spark, table, settings).count()))
     orphans = table_orphans(spark, table, settings, as_of)
-    lines.append(("orphan files removed" if apply else "orphan files", orphans.count()))
     if apply:
+        # Written down first: what is counted is what is removed.
+        planned = _intent_location(table, settings, f"orphans-{uuid.uuid4().hex}")
+        orphans.write.parquet(planned)
+        orphans = spark.read.parquet(planned)
         remove_files(orphans)
+    lines.append(("orphan files removed" if apply else "orphan files", orphans.count()))
     return spark.createDataFrame(lines, "step string, items bigint")
 
 

@@ -376,6 +376,59 @@ def sql_rollup_color_model(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sql_cube_grouping_sets(spark: SparkSession, folder: str) -> DataFrame:
+    return _sql(
+        spark,
+        """SELECT 'cube' AS kind, color_name, brand_name, grouping_id(color_name, brand_name) AS level,
+                  count(*) AS num_of_rows, max(speed) AS maximum_speed
+             FROM {flagged} GROUP BY CUBE (color_name, brand_name)
+           UNION ALL SELECT 'sets', color_name, brand_name, grouping_id(color_name, brand_name), count(*), max(speed)
+             FROM {flagged} GROUP BY GROUPING SETS ((color_name), (brand_name), ())""",
+        flagged=flagged(spark, folder),
+    )
+
+
+def sql_distinct_aggregates(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct values are combined in every task before the shuffle."""
+    return _sql(
+        spark,
+        """SELECT color_name, count(DISTINCT car_id) AS num_of_cars, count(DISTINCT gear) AS num_of_gears,
+                  sum(DISTINCT gear) AS sum_of_gears, count(*) AS num_of_rows
+             FROM {flagged} GROUP BY color_name
+           UNION ALL SELECT DISTINCT brand_name, 0, 0, 0, 0 FROM {flagged}""",
+        flagged=flagged(spark, folder),
+    )
+
+
+def sql_moving_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """The last five events of a car on a day; the day splits a car that has most of the events."""
+    return _sql(
+        spark,
+        """SELECT event_id, car_id, count(speed) OVER w AS num_of_speeds, max(speed) OVER w AS maximum_speed,
+                  sum(rpm) OVER w AS sum_of_rpm
+           FROM {sensors} WINDOW w AS (PARTITION BY car_id, CAST(event_time AS DATE)
+             ORDER BY event_time, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
+        sensors=given.given_sensors(spark, folder),
+    )
+
+
+def compacted_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The events in four small loads of a stream, compacted and read back."""
+    settings = replace(run_settings(spark, "compacted"), catalogued=True)
+    table = replace(tables.ENRICHED, schema=f"compacted_{uuid.uuid4().hex}")
+    tables.create_schema(spark, table.schema, settings)
+    tables.create_table(spark, table, settings)
+    rows = zoned(flagged(spark, folder))
+    for batch in range(4):
+        part = rows.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == batch)
+        tables.write_load(part, table, settings, tables.load_name("q", batch))
+    maintenance.compact(spark, table, settings)
+    out = f"{settings.root}/read-back"
+    unzoned(tables.read_table(spark, table, settings)).write.parquet(out)
+    spark.sql(f"DROP DATABASE {table.schema} CASCADE")
+    return spark.read.parquet(out)
+
+
 def sql_top_speed_per_car(spark: SparkSession, folder: str) -> DataFrame:
     """The rank is limited in every task before the shuffle, so a car with most events is no burden."""
     return _sql(
@@ -452,6 +505,10 @@ REGISTERED: dict[str, Query] = {
     "plan_orphans": plan_orphans,
     "sql_join_kinds": sql_join_kinds,
     "sql_rollup_color_model": sql_rollup_color_model,
+    "sql_cube_grouping_sets": sql_cube_grouping_sets,
+    "sql_distinct_aggregates": sql_distinct_aggregates,
+    "sql_moving_frame": sql_moving_frame,
+    "compacted_table": compacted_table,
     "sql_top_speed_per_car": sql_top_speed_per_car,
     "sql_topk_rpm": sql_topk_rpm,
     "sql_set_ops": sql_set_ops,

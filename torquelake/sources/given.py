@@ -14,6 +14,10 @@ from torquelake.operators.enrich import car_dimension
 from torquelake.sources.dims import color_dimension, model_dimension
 
 
+#: Added to the key of a user that stands for an unknown car.
+UNKNOWN_CARS = 1_000_000_000_000
+
+
 @lru_cache(maxsize=256)
 def _stored_schema(spark: SparkSession, path: str) -> StructType:
     return spark.read.parquet(path).schema
@@ -26,27 +30,26 @@ def given_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def given_cars(spark: SparkSession, folder: str) -> DataFrame:
-    """Cars from customers. Every tenth is left out, so that some events have no car."""
+    """A car for every customer."""
     key = F.col("c_custkey")
-    return (
-        given_table(spark, folder, "customer")
-        .filter(key % 10 != 0)
-        .select(
-            key.alias("car_id"),
-            (key + 100000000).alias("driver_id"),
-            (key % 7 + 1).cast("int").alias("model_id"),
-            (F.floor(key / 7) % 7 + 1).cast("int").alias("color_id"),
-        )
+    return given_table(spark, folder, "customer").select(
+        key.alias("car_id"),
+        (key + 100000000).alias("driver_id"),
+        (key % 7 + 1).cast("int").alias("model_id"),
+        (F.floor(key / 7) % 7 + 1).cast("int").alias("color_id"),
     )
 
 
 def given_sensors(spark: SparkSession, folder: str) -> DataFrame:
-    """Sensor events from the event table, with some missing speeds and rpms."""
-    key = F.col("event_id")
+    """Sensor events from the event table, with some missing speeds and rpms.
+
+    Every tenth user's key is shifted out of the range of the cars, so some events have no car.
+    """
+    key, user = F.col("event_id"), F.col("user_id")
     return given_table(spark, folder, "events").select(
         key.cast("string").alias("event_id"),
         F.col("ts").alias("event_time"),
-        F.col("user_id").alias("car_id"),
+        F.when(user % 10 == 0, user + UNKNOWN_CARS).otherwise(user).alias("car_id"),
         F.when(key % 53 != 0, (key * 37 % 161).cast("int")).alias("speed"),
         F.when(key % 59 != 0, (key * 7919 % 8001).cast("int")).alias("rpm"),
         (F.get_json_object("props", "$.k").cast("int") % 7 + 1).alias("gear"),
@@ -81,9 +84,5 @@ def given_snapshots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def given_referenced(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths still in use: orders with a returned line."""
-    return (
-        given_table(spark, folder, "lineitem")
-        .filter(F.col("l_returnflag") == "R")
-        .select(F.col("l_orderkey").cast("string").alias("path"))
-    )
+    """Paths still in use: orders whose key is the key of an event."""
+    return given_table(spark, folder, "events").select(F.col("event_id").cast("string").alias("path"))

@@ -17,7 +17,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from torquelake import config
-from torquelake.config import Settings
+from torquelake.config import Settings, session_options
 from torquelake.schemas import (
     CAR_SCHEMA,
     COLOR_SCHEMA,
@@ -119,9 +119,19 @@ def write_load(frame: DataFrame, table: Table, settings: Settings, load: str) ->
     """Write one load of a day-partitioned Parquet table, replacing an earlier try of it.
 
     Rows are gathered per day into files of moderate size; a crowded day is split further
-    by adaptive execution, so no task receives a whole day. The load is fixed in the
-    statement, so the catalog is asked for the partitions of this load only.
+    by adaptive execution, so no task receives a whole day. A micro-batch with state comes
+    with adaptive execution off; its rows are computed by then, so the write turns it on.
+    The load is fixed in the statement, so the catalog is asked for the partitions of this
+    load only.
     """
+    with session_options(frame.sparkSession, {"spark.sql.adaptive.enabled": "true"}):
+        _write_load(frame, table, settings, load)
+
+
+def _write_load(frame: DataFrame, table: Table, settings: Settings, load: str) -> None:
+    if settings.table_format == "iceberg":  # its own partitions, snapshots instead of loads
+        frame.select(*table.columns.fieldNames()).writeTo(table.full_name(settings)).append()
+        return
     rows = with_day(frame, table).hint("rebalance", table.day_column)
     if not settings.catalogued:
         location = load_location(table, settings, load)
