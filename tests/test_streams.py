@@ -15,7 +15,7 @@ from torquelake.operators.windows import alert_window_agg
 from torquelake.queries import enriched, flagged, messages, unzoned, zoned
 from torquelake.sources import tables
 from torquelake.sources.dims import inline_colors, inline_models
-from torquelake.sources.given import given_cars, given_dimension, given_table
+from torquelake.sources.given import UNKNOWN_CARS, given_cars, given_dimension, given_table
 from torquelake.sources.topics import ensure_topic, topic_batch, topic_source, write_topic
 from torquelake.streaming import control, jobs
 
