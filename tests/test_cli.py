@@ -35,6 +35,7 @@ def test_commands(spark, command, tmp_path):
     assert "dims" in call("schemas")
     assert "cars_enriched" in call("tables", "dims")
     assert "*150* rows" in call("count", "dims.cars")
+    assert "*150* rows" in call("count", "cars")
     assert "*1,000* rows" in call("count", "cars_raw.cars_raw")
     assert "Picanto" in call("preview", "dims.car_models") or "Mazda" in call("preview", "dims.car_models")
     counted = call("query", "SELECT", "count(*)", "AS", "n", "FROM", "dims.cars_enriched", "WHERE", "is_alert")

@@ -61,5 +61,9 @@ def test_schemas_tables_and_counts(spark, tmp_path):
     assert [row.tableName for row in explore.list_tables(spark, "looked_at").collect()] == ["t0", "t1", "t2"]
     assert explore.list_tables(spark, "looked_at", 2).count() == 2
     assert explore.count_table(spark, "looked_at.t0").first().message == "📊 Table `looked_at.t0` has *1,234* rows"
-    with pytest.raises(ValueError, match="schema.table"):
-        explore.count_table(spark, "t0")
+    assert explore.count_table(spark, "t0").first().message == "📊 Table `looked_at.t0` has *1,234* rows"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS looked_at_too LOCATION '{tmp_path}/looked_at_too'")
+    spark.range(1).write.mode("overwrite").saveAsTable("looked_at_too.t0")
+    for name in ("t0", "nowhere"):  # in two schemas, in none
+        with pytest.raises(ValueError, match="schema.table"):
+            explore.count_table(spark, name)

@@ -209,3 +209,29 @@ def test_kafka_is_used_when_chosen(spark, settings):
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         topic_source(spark, config.TOPIC_SENSORS, kafka)
     ensure_topic(spark, config.TOPIC_SENSORS, kafka)
+
+
+def test_one_aggregate_feeds_both_tables(spark, settings):
+    from torquelake.sources.tables import NOTIFICATIONS, SUMMARY
+
+    write_topic(to_payload(zoned(flagged(spark, SMALL)).filter("is_alert")), config.TOPIC_ALERTS, settings)
+    query = jobs.start_alert_outputs(spark, settings, once=True, starting="earliest")
+    jobs.finish(query)
+    assert len([o for o in query.lastProgress.stateOperators]) == 1
+    windows = tables.read_table(spark, SUMMARY, settings).select("window_start", "window_end")
+    told = tables.read_table(spark, NOTIFICATIONS, settings).select("window_start", "window_end")
+    assert windows.count() > 0 and same(windows, told)
+
+
+def test_triggers(spark, monkeypatch):
+    made = []
+
+    class Writer:
+        def trigger(self, **how):
+            made.append(how)
+            return self
+
+    jobs._paced(Writer(), once=False, every="1 minute")
+    jobs._paced(Writer(), once=True, every="1 minute")
+    jobs._paced(Writer(), once=False)
+    assert made == [{"processingTime": "1 minute"}, {"availableNow": True}]

@@ -7,7 +7,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from torquelake.config import SCHEMA_DIMS, SCHEMA_RAW, Settings, configure
+from torquelake.config import SCHEMA_DIMS, SCHEMA_RAW, AlertRules, Settings, configure
 from torquelake.plans import explore
 from torquelake.plans.maintenance import maintain_all
 from torquelake.sources import tables
@@ -17,6 +17,13 @@ from torquelake.streaming.control import await_any, streaming_status
 
 MAINTAINED = {(table.schema, table.name): table for table in tables.ALL_TABLES if table.day_column}
 
+# Settings that the command line takes by their names.
+TUNABLE = (
+    "window watermark trigger table_trigger max_files_per_trigger max_offsets_per_trigger state_partitions "
+    "broadcast_rows broadcast_bytes compact_target_bytes compact_min_bytes expire_days expire_retain_last orphan_days"
+).split()
+RULES = ("max_speed", "max_rpm", "speed_per_gear")
+
 
 def create_all(spark: SparkSession, settings: Settings) -> None:
     """Make the schemas and tables that are absent, and load the built-in dimensions."""
@@ -35,6 +42,14 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--catalog", default="spark_catalog")
     parser.add_argument("--topic-format", choices=["files", "kafka"], default="files")
     parser.add_argument("--kafka-servers", default="")
+    parser.add_argument("--rocksdb", action="store_true", help="keep streaming state in RocksDB")
+    defaults = Settings()
+    for name in TUNABLE:
+        value = getattr(defaults, name)
+        kind = str if isinstance(value, str) or name == "table_trigger" else int
+        parser.add_argument(f"--{name.replace('_', '-')}", type=kind, default=value)
+    for name in RULES:
+        parser.add_argument(f"--{name.replace('_', '-')}", type=int, default=getattr(defaults.rules, name))
     command = parser.add_subparsers(dest="command", required=True)
     command.add_parser("init", help="make schemas and tables, load models and colors")
     command.add_parser("load-cars", help="replace the cars").add_argument("parquet")
@@ -77,10 +92,7 @@ def run(spark: SparkSession, settings: Settings, args: argparse.Namespace) -> No
                     jobs.start_flag_table(spark, settings, once=args.once),
                     jobs.start_alert_topic(spark, settings, once=args.once),
                 ],
-                "aggregate": lambda: [
-                    jobs.start_alert_summary(spark, settings, args.once, args.starting),
-                    jobs.start_alert_notifications(spark, settings, args.once, args.starting),
-                ],
+                "aggregate": lambda: [jobs.start_alert_outputs(spark, settings, args.once, args.starting)],
             }[args.command]()
             streaming_status(spark).show(truncate=False)
             if args.once:
@@ -112,9 +124,11 @@ def main() -> None:
         catalog=args.catalog,
         topic_format=args.topic_format,
         kafka_servers=args.kafka_servers,
+        rules=AlertRules(**{name: getattr(args, name) for name in RULES}),
+        **{name: getattr(args, name) for name in TUNABLE},
     )
     # A file topic outlives the session, and so should the tables: the catalog is Hive's.
-    builder = configure(SparkSession.builder.appName("torquelake"), settings).enableHiveSupport()
+    builder = configure(SparkSession.builder.appName("torquelake"), settings, args.rocksdb).enableHiveSupport()
     spark = builder.getOrCreate()
     try:
         run(spark, settings, args)

@@ -31,9 +31,13 @@ def list_tables(spark: SparkSession, schema: str, limit: int | None = None) -> D
 
 
 def count_table(spark: SparkSession, name: str) -> DataFrame:
-    """Rows of ``schema.table``; a name without a schema is refused."""
+    """Rows of ``schema.table``; of a name alone if one schema has such a table, else it is refused."""
     if "." not in name:
-        raise ValueError("name the table as schema.table")
+        schemas = [row[0] for row in list_schemas(spark).collect()]
+        found = [s for s in schemas if not list_tables(spark, s).filter(F.col("tableName") == name.lower()).isEmpty()]
+        if len(found) != 1:
+            raise ValueError("name the table as schema.table")
+        name = f"{found[0]}.{name}"
     return count_text(spark.table(name), name)
 
 
@@ -103,7 +107,9 @@ def run_select(spark: SparkSession, sql: str, max_rows: int = ROWS_SHOWN) -> Sel
 
 
 def select_bounded(spark: SparkSession, sql: str, max_rows: int = ROWS_SHOWN) -> DataFrame:
-    """The first rows of a SELECT as a DataFrame, each with the number of rows left out."""
+    """The first rows of a SELECT, each with the number of rows left out; the count is part of the plan."""
     frame = spark.sql(select_only(sql))
-    left_out = max(frame.count() - max_rows, 0)
-    return frame.limit(max_rows).withColumn("more_rows", F.lit(left_out).cast("bigint"))
+    left_out = F.greatest(F.count("*") - max_rows, F.lit(0)).alias("more_rows")
+    counted = frame.agg(left_out).withColumn("_all", F.lit(1))
+    head = frame.limit(max_rows).withColumn("_all", F.lit(1))
+    return head.join(F.broadcast(counted), "_all").drop("_all")  # one row

@@ -280,7 +280,7 @@ def stream_alert_window_agg(spark: SparkSession, folder: str) -> DataFrame:
 def stream_notifications(spark: SparkSession, folder: str) -> DataFrame:
     settings = run_settings(spark, "notifications")
     _alert_topic(spark, folder, settings)
-    jobs.finish(jobs.start_alert_notifications(spark, settings, once=True, starting="earliest"))
+    jobs.finish(jobs.start_alert_outputs(spark, settings, once=True, starting="earliest"))
     return unzoned(tables.read_table(spark, tables.NOTIFICATIONS, settings))
 
 

@@ -33,9 +33,11 @@ from torquelake.sources.tables import (
     RAW,
     SUMMARY,
     create_table,
+    load_name,
     read_table,
     start_table_sink,
     table_sink,
+    write_load,
 )
 from torquelake.sources.topics import ensure_topic, topic_sink, topic_source, write_topic
 from torquelake.streaming.notify import notification_rows
@@ -47,7 +49,8 @@ FLAG_TABLE = "flag-table"
 ALERT_TOPIC = "alert-topic"
 ALERT_SUMMARY = "alert-summary"
 ALERT_NOTIFICATIONS = "alert-notifications"
-QUERY_NAMES = (ENRICH_TOPIC, RAW_TABLE, FLAG_TABLE, ALERT_TOPIC, ALERT_SUMMARY, ALERT_NOTIFICATIONS)
+ALERT_OUTPUTS = "alert-outputs"
+QUERY_NAMES = (ENRICH_TOPIC, RAW_TABLE, FLAG_TABLE, ALERT_TOPIC, ALERT_SUMMARY, ALERT_NOTIFICATIONS, ALERT_OUTPUTS)
 
 
 def _paced(writer: DataStreamWriter, once: bool, every: str | None = None) -> DataStreamWriter:
@@ -195,6 +198,37 @@ def start_alert_notifications(
         return start_table_sink(_paced(sink, once, settings.trigger), NOTIFICATIONS, settings)
 
 
+def start_alert_outputs(
+    spark: SparkSession, settings: Settings, once: bool = False, starting: str = "latest"
+) -> StreamingQuery:
+    """Alert topic to the summary and the notification table, from one aggregate.
+
+    Both writes of a micro-batch are loads of its name, so a repeated micro-batch replaces both.
+    """
+    for table in (SUMMARY, NOTIFICATIONS):
+        _make_table(spark, table, settings)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load = load_name(query_id, batch_id)
+        windows = batch.persist()  # closed windows only; computed again if an executor is lost
+        try:
+            write_load(windows, SUMMARY, settings, load)
+            write_load(notification_rows(windows), NOTIFICATIONS, settings, load)
+        finally:
+            windows.unpersist()
+
+    writer = (
+        _alert_windows(spark, settings, starting)
+        .writeStream.queryName(ALERT_OUTPUTS)
+        .outputMode("append")
+        .option("checkpointLocation", settings.checkpoint_location(ALERT_OUTPUTS))
+        .foreachBatch(write_batch)
+    )
+    with _state_options(settings)(spark):
+        return _paced(writer, once, settings.trigger).start()
+
+
 def finish(*queries: StreamingQuery) -> None:
     """Wait for queries started with ``once``; a failure is raised here."""
     for query in queries:
