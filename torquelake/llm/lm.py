@@ -24,9 +24,10 @@ from torquelake.llm.common import ascii_lower, fit_in_task, match, stored
 from torquelake.llm.subwords import encoder
 from torquelake.llm.wordhash import word_hashes
 
-#: Share of the words in a look at some documents from which on a word is counted apart.
+#: Share of the words in a look at some documents from which on a word is counted apart, and their number.
 HOT_WORDS = 0.0001
 LOOKED_AT = 1000
+MOST_HOT = 1000
 #: Training documents and subwords of the sample for the attention model, at most.
 SAMPLE_DOCS, SAMPLE_SUBWORDS = 3000, 1_500_000
 #: Sums of documents that a task keeps before it hands them on.
@@ -37,16 +38,23 @@ WORD, DOC, SUBWORD, HOT = range(4)
 
 
 def hot_words(rows: DataFrame) -> np.ndarray:
-    """Sorted hashes of words that are frequent in some documents; what is chosen changes no result."""
+    """Sorted hashes of words that are frequent in some documents; what is chosen changes no result.
+
+    Only the first documents of a partition are looked at, and of further partitions only if
+    that one has none.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, counts = np.unique(word_hashes(batch.column(0))[0], return_counts=True)
-            often = counts > HOT_WORDS * counts.sum()
+            values, counts = np.unique(word_hashes(batch.column(0).slice(0, LOOKED_AT))[0], return_counts=True)
+            often = np.flatnonzero(counts > HOT_WORDS * counts.sum())
+            often = often[np.argsort(-counts[often], kind="stable")]
             yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64))], names=["word"])
+            if len(often):
+                return
 
-    few = rows.select("_text").limit(LOOKED_AT).mapInArrow(counted, "word bigint").distinct().toArrow()
-    return np.sort(few.column("word").to_numpy().view(np.uint64)) if few.num_rows else np.zeros(0, dtype=np.uint64)
+    found = rows.select("_text").mapInArrow(counted, "word bigint").take(MOST_HOT)
+    return np.unique(np.array([r["word"] for r in found], dtype=np.int64).view(np.uint64))
 
 
 def tokenized(rows: DataFrame, hot: np.ndarray, tokenizer: str, end_id: int) -> DataFrame:
