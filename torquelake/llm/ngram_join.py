@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from torquelake.llm.common import WORD, identified, match, match_few, match_hot, stored
+from torquelake.llm.common import identified, match, match_few, match_hot, stored
 from torquelake.llm.components import connected_components
 from torquelake.llm.subwords import forget
 from torquelake.llm.wordhash import U64, mix, word_hashes
@@ -34,7 +34,7 @@ from torquelake.llm.wordhash import U64, mix, word_hashes
 #: An n-gram is frequent if it is counted in so many documents, or in this share of all.
 FREQUENT_DOCS, FREQUENT_SHARE = 50, 0.001
 #: Sets in a cut of a block.
-CUT = 600
+CUT = 4000
 #: N-grams that are worked on together.
 TOGETHER = 400_000
 DOC = ["_id", "_h"]
@@ -116,7 +116,7 @@ def part_keys(hashes: np.ndarray, begin: np.ndarray, similar: Similar, frequent:
     ids, label, apart = ids[apart > 0], label[apart > 0], apart[apart > 0]  # else only equal sets are linked
     if not len(ids):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    spare = np.maximum(3, apart // 4)
+    spare = np.maximum(3, apart // 6)
     parts = apart + 1 + spare
     base = np.cumsum(parts) - parts
     count = sizes[ids]
@@ -270,7 +270,9 @@ def _linked_nodes(blocks: DataFrame, similar: Similar, rows: DataFrame) -> DataF
 
     fields = ["block", "node", "cut", "_sets", "_pivot"]
     sets = texts.select("_text", *fields).mapInArrow(with_sets, "block bigint, node string, cut int, _sets bigint, _pivot string, grams binary")
-    sets = stored(sets.dropDuplicates(["node"]), "block-sets")
+    sets = stored(sets, "block-sets")
+    if sets.count() > members.count():  # rows repeat an id and a text
+        sets = stored(sets.dropDuplicates(["node"]), "block-sets")
 
     links = "a string, b string"
     cuts = F.ceil(F.col("_sets") / CUT).cast("int")
@@ -287,7 +289,15 @@ def _linked_nodes(blocks: DataFrame, similar: Similar, rows: DataFrame) -> DataF
     labelled = stored(labelled, "labelled-sets")
     reached = labelled.filter("node = _pivot").select("block", F.col("root").alias("_reached"))
     open_ = match(labelled, F.broadcast(reached) if reached.count() <= 10_000 else reached, ["block"]).filter("root <> _reached")
-    left = open_.groupBy("block").agg(F.count("*").alias("_open"))
+    left = stored(open_.groupBy("block").agg(F.count("*").alias("_open"), F.first("_sets").alias("_all")), "open-blocks")
+    # Where most sets are open, every two cuts meet once.
+    mostly = left.filter("2 * _open > _all").select("block", "_open")
+    here = F.col("cut")
+    paired = match(labelled, mostly, ["block"]).join(open_.select("node", F.lit(True).alias("_is_open")), "node", "left")
+    paired = paired.withColumn("_other", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_sets") / CUT).cast("int") - 1))).filter("_other <> cut")
+    paired = paired.select("block", F.least(here, "_other").alias("cut"), F.greatest(here, "_other").alias("part"), "node", "root", "grams",
+                           F.coalesce("_is_open", F.lit(False)).alias("asked"))
+    left = left.filter("2 * _open <= _all").select("block", "_open")
     open_ = match(open_, left, ["block"])
     groups_of = F.ceil(F.col("_open") / CUT).cast("int")
     asked = open_.withColumn("part", F.pmod(F.xxhash64(F.lit(3), "node"), groups_of).cast("int"))
@@ -297,7 +307,8 @@ def _linked_nodes(blocks: DataFrame, similar: Similar, rows: DataFrame) -> DataF
     asked, others = asked.select(*columns, F.lit(True).alias("asked")), others.select(*columns, F.lit(False).alias("asked"))
     # A set that is asked for and in the cut itself is there once, as asked.
     both = asked.union(match(others, asked.select("block", "cut", "part", "node"), ["block", "cut", "part", "node"], "left_anti"))
-    return near.union(both.groupBy("block", "cut", "part").applyInArrow(_compare(similar, rows_only=True), links))
+    met = paired.groupBy("block", "cut", "part").applyInArrow(_compare(similar, rows_only=True), links)
+    return near.union(met).union(both.groupBy("block", "cut", "part").applyInArrow(_compare(similar, rows_only=True), links))
 
 
 def ngram_components(docs: DataFrame, similar: Similar = Similar(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -318,17 +329,22 @@ def ngram_components(docs: DataFrame, similar: Similar = Similar(), id_col: str
         for part in groups(batches, 2):
             hashes, begin = ngram_sets(part.column(2), similar.words)
             low, high = node_ids(hashes, begin)
+            columns = [part.column(0), part.column(1), pa.array(np.diff(begin)), pa.array(low), pa.array(high)]
+            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_h", "n_shingles", "_low", "_high"])
+
+    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for part in groups(batches, 0):
+            hashes, begin = ngram_sets(part.column(0), similar.words)
             keys, owner = part_keys(hashes, begin, similar, frequent.value)
-            cuts = np.searchsorted(owner[(order := np.argsort(owner, kind="stable"))], np.arange(part.num_rows + 1))
-            posted = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(keys[order]))
-            columns = [part.column(0), part.column(1), pa.array(np.diff(begin)), pa.array(low), pa.array(high), posted]
-            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_h", "n_shingles", "_low", "_high", "keys"])
+            nodes = node_ids(hashes, begin)[0][owner]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes)], names=["key", "node"])
 
-    signed_rows = rows.select(*DOC, "_text").mapInArrow(
-        signed, f"_id {id_type}, _h bigint, n_shingles bigint, _low bigint, _high bigint, keys array<bigint>")
+    signed_rows = rows.select(*DOC, "_text").mapInArrow(signed, f"_id {id_type}, _h bigint, n_shingles bigint, _low bigint, _high bigint")
     known = stored(signed_rows.withColumn("node", F.concat(F.lpad(F.hex("_low"), 16, "0"), F.lpad(F.hex("_high"), 16, "0"))), "ngram-sets")
 
-    postings = known.select(F.explode("keys").alias("key"), F.col("_low").alias("node"))
+    # Postings are many times the rest, so they are made again for the sample of their ranges, not written.
+    postings = rows.select("_text").mapInArrow(posted, "key bigint, node bigint")
     coarse = connected_components(_star_edges(postings)).select(F.col("node").alias("_low"), F.col("component").alias("block"))
     # One document stands for all that have its set.
     standing = known.filter("n_shingles > 0").groupBy("_low", "node").agg(F.min(F.struct(*DOC)).alias("_doc"))
@@ -336,7 +352,7 @@ def ngram_components(docs: DataFrame, similar: Similar = Similar(), id_col: str
     links = stored(_linked_nodes(blocks, similar, rows), "ngram-links")
     labels = connected_components(links)
 
-    grouped = match(known.drop("keys", "_low", "_high"), labels.withColumnRenamed("component", "_group"), ["node"], "left")
+    grouped = match(known.drop("_low", "_high"), labels.withColumnRenamed("component", "_group"), ["node"], "left")
     grouped = stored(grouped.withColumn("_group", F.coalesce("_group", "node")).drop("node"), "ngram-groups")
     smallest = grouped.filter("n_shingles > 0").groupBy("_group").agg(F.min("_id").alias("component_id"), F.count("*").alias("_rows"))
     linked = match_hot(grouped.filter("n_shingles > 0"), smallest, ["_group"], F.col("_rows"), n_docs)
@@ -350,13 +366,20 @@ def keep_one(docs: DataFrame, similar: Similar, id_col: str = "doc_id", text_col
 
     Rows without words are linked with nothing and all stay; of rows that repeat id and text one stays.
     """
-    linked = ngram_components(docs, similar, id_col, text_col).filter("group IS NOT NULL")
-    first = stored(linked.groupBy("group").agg(F.min(F.struct(*DOC)).alias("_first")).select("_first._id", "_first._h"), "kept-documents")
+    linked = stored(ngram_components(docs, similar, id_col, text_col).filter("group IS NOT NULL").select(*DOC, "group"), "linked-documents")
+    first = linked.groupBy("group").agg(F.min(F.struct(*DOC)).alias("_first"), F.count("*").alias("_rows"))
+    marked = match_hot(linked, first, ["group"], F.col("_rows"), linked.count())
+    gone = stored(marked.filter(~F.struct(*DOC).eqNullSafe(F.col("_first"))).select(*DOC).distinct(), "dropped-documents")
+    repeated = stored(linked.groupBy(*DOC).count().filter("count > 1").select(*DOC), "repeated-documents")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    worded = text.rlike(WORD)
-    keys = docs.filter(worded).withColumns({"_id": F.col(id_col), "_h": F.xxhash64(text)})
-    kept = match(keys, first, DOC, "left_semi").dropDuplicates(DOC)
-    return kept.select(docs.columns).unionByName(docs.filter(~worded))
+    keys = docs.withColumns({"_id": F.col(id_col), "_h": F.xxhash64(text)})
+    # Texts are only shuffled if what is dropped is too much to be broadcast, or among rows that repeat.
+    kept = match_few(keys, gone, DOC, gone.count(), "left_anti")
+    n_repeated = repeated.count()
+    if n_repeated:
+        twice = match_few(kept, repeated, DOC, n_repeated, "left_semi").dropDuplicates(DOC)
+        kept = match_few(kept, repeated, DOC, n_repeated, "left_anti").unionByName(twice)
+    return kept.select(docs.columns)
 
 
 def component_digest(docs: DataFrame, similar: Similar) -> DataFrame:
