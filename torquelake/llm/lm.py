@@ -1,9 +1,9 @@
 """Scores of texts by a causal self-attention model over subwords, beside a count of words.
 
-Texts are tokenized once: subword ids, and hashes of words with the documents of a block (an Arrow
+Texts are tokenized once: subword ids, and hashes of words with the documents of a block (part of an Arrow
 batch) that hold them. Words are counted over all training documents. A word's rows of all blocks
 meet in one task, which knows its count then and sends each document its share of the sum; words
-that make up much of the text are counted apart (at most ``1 / HOT_WORDS`` of them), so no task gets
+that make up much of the text are counted apart (at most ``MOST_HOT`` of them), so no task gets
 a word's whole list. Subword counts, over all training documents too, shape the vocabulary of the
 attention model, which is fitted on a bounded sample.
 """
