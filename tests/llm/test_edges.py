@@ -195,6 +195,21 @@ def test_parts_lose_no_link():
             assert set(keys[owner == 0]) & set(keys[owner == 1])
 
 
+def test_parts_of_sets_in_different_groups_meet():
+    """A set is posted the same, whatever is posted with it."""
+    random = np.random.default_rng(2)
+    for num in (80, 90):
+        similar = ngram_join.Similar(3, num, 100)
+        for n in (7, 30, 300, 310, 3000):
+            a = np.unique(random.integers(0, 2**63, n).astype(np.uint64))
+            for more in (0, n // 40, n // 15):
+                b = np.unique(np.concatenate([a, random.integers(0, 2**63, more).astype(np.uint64)]))
+                alone = [set(ngram_join.part_keys(s, np.array([0, len(s)]), similar, a[:0])[0]) for s in (a, b)]
+                assert not more or alone[0] & alone[1]
+                together, owner = ngram_join.part_keys(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), similar, a[:0])
+                assert [set(together[owner == k]) for k in (0, 1)] == alone
+
+
 def test_toxicity(spark, edge_docs, no_docs):
     params = toxicity.Params(visits=50, nets=1, min_docs=1)
     model = toxicity.train(edge_docs, labels(spark), params)

@@ -52,9 +52,12 @@ class Similar:
         return (overlap > 0) & (self.den * overlap >= self.num * (a + b - overlap))
 
     def size_classes(self, most: int) -> np.ndarray:
-        """Lower ends of the classes of sizes; neighbouring sizes of a link are in one or the next."""
+        """Lower ends of the classes of sizes; neighbouring sizes of a link are in one or the next.
+
+        The last two are above ``most``, so the class above that of any set has its true end.
+        """
         ends = [1]
-        while ends[-1] <= most:
+        while len(ends) < 2 or ends[-2] <= most:
             ends.append(max(ends[-1] + 1, ends[-1] * max(3 * self.num, 2 * self.den) // (2 * self.num) + 1))
         return np.array(ends, dtype=np.int64)
 
@@ -106,12 +109,11 @@ def part_keys(hashes: np.ndarray, begin: np.ndarray, similar: Similar, frequent:
     sizes = np.diff(begin)
     classes = similar.size_classes(int(sizes.max(initial=0)))
     own = np.searchsorted(classes, sizes, "right") - 1
-    upper = classes[np.minimum(own + 1, len(classes) - 1)]
+    upper = classes[own + 1]
     also = (sizes > 0) & (sizes * similar.den >= similar.num * upper)
     ids = np.concatenate([np.flatnonzero(sizes > 0), np.flatnonzero(also)])
     label = np.concatenate([own[sizes > 0], own[also] + 1])
-    ends = np.append(classes, classes[-1] * 2)  # of the class above the last, too
-    largest = ends[np.minimum(label + 1, len(ends) - 1)] - 1
+    largest = classes[label + 1] - 1
     apart = 2 * largest * (similar.den - similar.num) // (similar.den + similar.num)
     ids, label, apart = ids[apart > 0], label[apart > 0], apart[apart > 0]  # else only equal sets are linked
     if not len(ids):
