@@ -17,14 +17,14 @@ import numpy as np
 class Shape:
     """Sizes of the model and its fit."""
 
-    own_classes: int = 56  # ids that are classes of their own
-    shared_classes: int = 8  # classes for the rest
+    own_classes: int = 80  # ids that are classes of their own
+    shared_classes: int = 16  # classes for the rest
     own_inputs: int = 2047  # ids with an embedding of their own; the others have one together
     dims: int = 12
     window: int = 24
     step: int = 16  # places scored in a window, its last
     batch: int = 256  # windows
-    updates: int = 1000
+    updates: int = 1500
     rate: float = 0.01
     seed: int = 8
 
