@@ -8,6 +8,7 @@ of a window, and the first part is context.
 
 from __future__ import annotations
 
+import copy
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,7 @@ class Shape:
     batch: int = 256  # windows
     updates: int = 1500
     rate: float = 0.01
+    refine_rate: float = 0.002  # in passes over all training texts
     seed: int = 8
 
 
@@ -138,8 +140,11 @@ class Attention:
         for name, part in (("k", dk), ("v", dv)):
             g[name] = x.reshape(-1, d).T @ part.reshape(-1, d)
         g["place"] = dx.sum(axis=0)
+        rows_in = inputs.reshape(-1)
+        order = np.argsort(rows_in, kind="stable")
+        begin = np.flatnonzero(np.diff(rows_in[order], prepend=-1))
         embed = np.zeros_like(p["embed"])
-        np.add.at(embed, inputs.reshape(-1), dx.reshape(-1, d))
+        embed[rows_in[order][begin]] = np.add.reduceat(dx.reshape(-1, d)[order], begin)
         g["embed"] = embed
         return float(loss), g
 
@@ -147,21 +152,35 @@ class Attention:
         """Adam over random batches of windows, the pace falling to zero."""
         shape = self.shape
         random = np.random.default_rng(shape.seed)
-        first = {n: np.zeros_like(x) for n, x in self.p.items()}
-        second = {n: np.zeros_like(x) for n, x in self.p.items()}
+        adam = Adam(self.p)
         losses = []
-        for t in range(1, shape.updates + 1):
+        for t in range(shape.updates):
             place = places[random.integers(0, len(places), min(shape.batch, len(places)))]
-            at, scored = np.maximum(place, 0), place[:, -shape.step :]
-            loss, g = self.gradients(inputs[at], place >= 0, targets[at[:, -shape.step :]], scored >= 0)
-            losses.append(loss)
-            rate = shape.rate * (1 - (t - 1) / shape.updates)
-            for n in self.p:
-                first[n] += 0.1 * (g[n] - first[n])
-                second[n] += 0.01 * (g[n] ** 2 - second[n])
-                self.p[n] -= (rate * (first[n] / (1 - 0.9**t)) / (np.sqrt(second[n] / (1 - 0.99**t)) + 1e-6)).astype(np.float32)
+            losses.append(self.update(adam, inputs, targets, place, shape.rate * (1 - t / shape.updates)))
         return losses
 
+    def update(self, adam: Adam, inputs: np.ndarray, targets: np.ndarray, place: np.ndarray, rate: float) -> float:
+        """One step of Adam on a batch of windows; the loss before it."""
+        at, scored = np.maximum(place, 0), place[:, -self.shape.step :]
+        loss, g = self.gradients(inputs[at], place >= 0, targets[at[:, -self.shape.step :]], scored >= 0)
+        adam.step(self.p, g, rate)
+        return loss
+
+
+class Adam:
+    def __init__(self, p: dict[str, np.ndarray]):
+        self.first = {n: np.zeros_like(x) for n, x in p.items()}
+        self.second = {n: np.zeros_like(x) for n, x in p.items()}
+        self.steps = 0
+
+    def step(self, p: dict[str, np.ndarray], g: dict[str, np.ndarray], rate: float) -> None:
+        self.steps += 1
+        t = self.steps
+        for n in p:
+            self.first[n] += 0.1 * (g[n] - self.first[n])
+            self.second[n] += 0.01 * (g[n] ** 2 - self.second[n])
+            p[n] -= (rate * (self.first[n] / (1 - 0.9**t)) / (np.sqrt(self.second[n] / (1 - 0.99**t)) + 1e-6)).astype(np.float32)
+
 
 def sequences(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs and targets of all texts, one behind the other, and the inputs of each.
@@ -198,6 +217,53 @@ class Scorer:
         return np.add.reduceat(logs, np.cumsum(lengths) - lengths) / np.log(10) if len(texts) else np.zeros(0)
 
 
+class Pass:
+    """A model's copy that goes once over all windows of the texts it is shown; many are averaged."""
+
+    def __init__(self, scorer: Scorer):
+        self.scorer, self.model = scorer, copy.deepcopy(scorer.model)
+        self.adam = Adam(self.model.p)
+        self.random = np.random.default_rng(self.model.shape.seed)
+        self.windows = 0
+        self.met = np.zeros(len(self.model.p["embed"]))
+
+    def learn(self, texts: list[np.ndarray]) -> None:
+        inputs, targets, lengths = sequences(texts, self.scorer.end)
+        rows, classes = self.scorer.words.input_of[inputs], self.scorer.words.class_of[targets]
+        shape = self.model.shape
+        places = self.random.permutation(windows(lengths, shape))
+        for at in range(0, len(places), shape.batch):
+            self.model.update(self.adam, rows, classes, places[at : at + shape.batch], shape.refine_rate)
+        self.windows += len(places)
+        self.met += np.bincount(rows, minlength=len(self.met))
+
+    def weighted(self) -> np.ndarray:
+        """Weights and weighted parameters; sums of these over passes make an average.
+
+        A row of the embeddings has as much weight as the pass met it, all else as it had windows.
+        """
+        p = self.model.p
+        rest = [p[n].ravel() * float(self.windows) for n in p if n != "embed"]
+        return np.concatenate([[self.windows], self.met, (p["embed"] * self.met[:, None]).ravel(), *rest]).astype(np.float64)
+
+
+def averaged(scorer: Scorer, total: np.ndarray) -> Scorer:
+    """The scorer with the average of passes, from the sum of their ``weighted``; what none met stays."""
+    model = copy.deepcopy(scorer.model)
+    if not total[0]:
+        return scorer
+    embed = model.p["embed"]
+    met, at = total[1 : 1 + len(embed)], 1 + len(embed)
+    sums = total[at : at + embed.size].reshape(embed.shape)
+    model.p["embed"] = np.where(met[:, None] > 0, sums / np.maximum(met, 1)[:, None], embed).astype(np.float32)
+    at += embed.size
+    for n in [n for n in model.p if n != "embed"]:
+        size = model.p[n].size
+        model.p[n] = (total[at : at + size] / total[0]).reshape(model.p[n].shape).astype(np.float32)
+        at += size
+    return Scorer(scorer.words, model, scorer.end)
+
+
 def train_scorer(texts: list[np.ndarray], counts: np.ndarray, end: int, shape: Shape | None = None) -> Scorer:
     shape = shape or Shape()
     words = vocabulary(counts, shape)

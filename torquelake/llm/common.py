@@ -65,6 +65,15 @@ def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table | None], Any]) -> Any
     return pickle.loads(sample.repartition(1).mapInArrow(run, "model binary").first()["model"])
 
 
+def within(sizes: list[int], most: int) -> list[bool]:
+    """Which of the sizes, one after the other, fit into ``most`` together; one that doesn't is passed over."""
+    fits = []
+    for size in sizes:
+        fits.append(size <= most)
+        most -= size if fits[-1] else 0
+    return fits
+
+
 def match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join by keys of the same names, null equal to null; the keys of the left side stay."""
     if how in ("left_semi", "left_anti"):

@@ -5,7 +5,9 @@ batch) that hold them. Words are counted over all training documents. A word's r
 meet in one task, which knows its count then and sends each document its share of the sum; words
 that make up much of the text are counted apart (at most ``MOST_HOT`` of them), so no task gets
 a word's whole list. Subword counts, over all training documents too, shape the vocabulary of the
-attention model, which is fitted on a bounded sample.
+attention model. The model starts from a fit on a bounded sample; then it learns from all training
+documents in ``ROUNDS`` rounds. In a round every task goes once over the round's documents that it has,
+from the same model, and the models of all tasks are averaged by what each of them met.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from torquelake.llm.attention import Scorer, Shape, train_scorer
-from torquelake.llm.common import ascii_lower, fit_in_task, match, stored
+from torquelake.llm.attention import Pass, Scorer, Shape, averaged, train_scorer
+from torquelake.llm.common import ascii_lower, fit_in_task, match, stored, within
 from torquelake.llm.subwords import encoder
 from torquelake.llm.wordhash import word_hashes
 
@@ -28,8 +30,12 @@ from torquelake.llm.wordhash import word_hashes
 HOT_WORDS = 0.0001
 LOOKED_AT = 1000
 MOST_HOT = 1000
-#: Training documents and subwords of the sample for the attention model, at most.
+#: Training documents and subwords of the sample that the attention model starts from, at most.
 SAMPLE_DOCS, SAMPLE_SUBWORDS = 3000, 1_500_000
+#: Rounds over the training documents, each document in one of them; tasks that add up models in a round.
+ROUNDS, ADDERS = 2, 16
+#: Subwords that are learned or scored together.
+TOGETHER = 200_000
 #: Sums of documents that a task keeps before it hands them on.
 KEPT = 2_000_000
 #: Documents of a block; a place in it needs 16 bits.
@@ -222,6 +228,49 @@ def word_sums(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sums, parts.filter("block IS NULL").select("trained", "distinct")
 
 
+def together(texts: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Some texts at a time, of about ``TOGETHER`` subwords."""
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + TOGETHER, "right")))
+        yield texts[first:last]
+        first = last
+
+
+def refined(scorer: Scorer, trained: DataFrame, dtype: np.dtype) -> Scorer:
+    """The scorer after learning from all texts in ``trained`` (``block, key, data``)."""
+    spark = trained.sparkSession
+    for number in range(ROUNDS):
+        sent = spark.sparkContext.broadcast(scorer)
+
+        def learned(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            own = Pass(sent.value)
+            for batch in batches:
+                for texts in together([np.frombuffer(x, dtype=dtype) for x in batch.column(0).to_pylist()]):
+                    own.learn(texts)
+            if own.windows:
+                at = TaskContext.get().partitionId() % ADDERS
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([own.weighted().tobytes()], pa.binary())], names=["part", "sums"])
+
+        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                for x in batch.column(1):
+                    sums = np.frombuffer(x.as_buffer(), dtype=np.float64)
+                    total = sums.copy() if total is None else total + sums
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+        mine = trained.filter(F.pmod(F.xxhash64("block", "key"), F.lit(ROUNDS)) == number).select("data")
+        models = stored(mine.mapInArrow(learned, "part int, sums binary"), "lm-models")
+        # A few sums, whatever the number of tasks.
+        sums = models.repartition(ADDERS, "part").mapInArrow(added, "sums binary").collect()
+        if sums:
+            scorer = averaged(scorer, np.sum([np.frombuffer(r["sums"], dtype=np.float64) for r in sums], axis=0))
+    return scorer
+
+
 def score_texts(
     docs: DataFrame,
     held_out: Column,
@@ -269,10 +318,12 @@ def score_texts(
 
     def fit(table: pa.Table | None) -> Scorer:
         texts = [np.frombuffer(x, dtype=dtype) for x in table.sort_by("draw").column("data").to_pylist()] if table else []
-        within = np.cumsum([len(t) + 1 for t in texts]) <= SAMPLE_SUBWORDS
-        return train_scorer([t for t, w in zip(texts, within, strict=True) if w], id_counts, end_id, shape)
+        texts = [t[: SAMPLE_SUBWORDS // 8] for t in texts]
+        fits = within([len(t) + 1 for t in texts], SAMPLE_SUBWORDS)
+        return train_scorer([t for t, f in zip(texts, fits, strict=True) if f], id_counts, end_id, shape)
 
-    sent = spark.sparkContext.broadcast(fit_in_task(sample, fit))
+    start = fit_in_task(sample, fit)
+    sent = spark.sparkContext.broadcast(refined(start, kind(DOC).filter("NOT _held"), dtype))
     id_type = tokens.schema["_id"].dataType.simpleString()
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,12 +337,7 @@ def score_texts(
                 total.append(float((times * hot_logs[word]).sum()))
                 known.append(int((times * hot_known[word]).sum()))
             texts = [np.frombuffer(x, dtype=dtype) for x in batch.column(3).to_pylist()]
-            score, first = [], 0
-            ends = np.cumsum([len(t) + 1 for t in texts])
-            while first < len(texts):  # some texts at a time
-                last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + 200_000, "right")))
-                score.append(model.scores(texts[first:last]))
-                first = last
+            score = [model.scores(some) for some in together(texts)]
             base = np.array(total) + end_log - n * whole
             columns = [batch.column(5), batch.column(6), pa.array(doc), batch.column(2), pa.array(base), pa.array(known, pa.int64()), pa.array(np.concatenate(score))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "doc", "n_tokens", "base", "hot_known", "score"])
