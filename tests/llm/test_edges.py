@@ -145,6 +145,26 @@ def test_ngram_join(edge_docs, no_docs, n, num):
     assert ngram_join.component_digest(no_docs, similar).count() == 0
 
 
+def test_links_are_counted(spark, monkeypatch):
+    """Near copies, equal sets and repeated rows in one block of several cuts, against all pairs."""
+    import random
+
+    monkeypatch.setattr(ngram_join, "CUT", 5)
+    pick, rows = random.Random(5), []
+    for k in range(20):
+        text = [f"w{j}" for j in range(80)]
+        for _ in range(pick.randrange(3)):
+            text[pick.randrange(80)] = f"edit{k}-{pick.randrange(99)}"
+        rows.append((k, " ".join(text)))
+    rows += [rows[3], (50, rows[3][1].replace(" ", "  ")), (51, "w1 w2 w3"), (52, None)]
+    sets = [{tuple((t or "").split()[j : j + 3]) for j in range(len((t or "").split()) - 2)} for _, t in rows]
+    linked = lambda a, b: bool(a & b) and 100 * len(a & b) >= 90 * len(a | b)
+    want = Counter((r[0], sum(linked(sets[a], sets[b]) for b in range(len(rows)) if a != b)) for a, r in enumerate(rows))
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = ngram_join.link_digest(docs, ngram_join.Similar(3, 90, 100)).collect()
+    assert Counter((r["doc_id"], r["n_links"]) for r in got) == want
+
+
 def test_keep_one(edge_docs):
     kept = ngram_join.keep_one(edge_docs, ngram_join.Similar(5, 80, 100))
     assert kept.columns == edge_docs.columns

@@ -11,6 +11,7 @@
    allow the similarity, and compared with the exact bound. Pairs that are connected
    already are not looked at, and only links that connect something new leave a task. A large block
    is cut: every cut is compared with one pivot first, and what the pivot does not reach with all cuts.
+   Where links are counted, every two cuts meet and all pairs are looked at.
 4. Links become components.
 
 The result is exact but for 64-bit hash collisions of n-grams within two documents.
@@ -198,11 +199,11 @@ def _star_edges(postings: DataFrame) -> DataFrame:
     return found.filter("b IS NOT NULL").select("a", "b").union(match(ends, starts, ["key"]).select("a", "b")).filter("a <> b").distinct()
 
 
-def product(sizes: np.ndarray, sets: list[np.ndarray], similar: Similar, root: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Link all pairs of ``rows`` with any set; returns the roots. ``root`` holds what is known to be connected.
+def hits(sizes: np.ndarray, sets: list[np.ndarray], similar: Similar, rows: np.ndarray, root: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """Each of ``rows`` that has any with the sets it is linked with, itself perhaps among them.
 
     Sets come by size. For a row, overlaps with all sets of fitting size are counted along the
-    inverted lists of its n-grams.
+    inverted lists of its n-grams. Rows whose fitting sets all have their ``root`` are left out.
     """
     m = len(sets)
     counts = np.array([len(s) for s in sets])
@@ -216,7 +217,7 @@ def product(sizes: np.ndarray, sets: list[np.ndarray], similar: Similar, root: n
     high = np.searchsorted(sizes, sizes * similar.den // similar.num, "right")
     for p in rows.tolist():
         near = slice(low[p], high[p])
-        if (root[near] == root[p]).all():
+        if root is not None and (root[near] == root[p]).all():
             continue
         own = slice(ends[p] - counts[p], ends[p])
         grams = gram[own][shared[own]]
@@ -224,14 +225,47 @@ def product(sizes: np.ndarray, sets: list[np.ndarray], similar: Similar, root: n
             continue
         lists = [inverted[begin[g] : begin[g + 1]] for g in grams.tolist()]
         overlap = np.bincount(np.concatenate(lists), minlength=m)[near]
-        hit = np.flatnonzero(similar.linked(overlap, sizes[p], sizes[near])) + low[p]
-        joined = np.unique(root[hit])
-        if len(joined) > 1 or (len(joined) == 1 and joined[0] != root[p]):
-            every = np.append(joined, root[p])
-            root[np.isin(root, every)] = every.min()
+        yield p, np.flatnonzero(similar.linked(overlap, sizes[p], sizes[near])) + low[p]
+
+
+def connect(root: np.ndarray, p: int, hit: np.ndarray) -> None:
+    joined = np.unique(root[hit])
+    if len(joined) > 1 or (len(joined) == 1 and joined[0] != root[p]):
+        every = np.append(joined, root[p])
+        root[np.isin(root, every)] = every.min()
+
+
+def product(sizes: np.ndarray, sets: list[np.ndarray], similar: Similar, root: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Link all pairs of ``rows`` with any set; returns the roots. ``root`` holds what is known to be connected."""
+    for p, hit in hits(sizes, sets, similar, rows, root):
+        connect(root, p, hit)
     return root
 
 
+def _count(similar: Similar):
+    """All pairs of two cuts of a block, or of one: for each set the first one that it is connected to,
+    and the number of rows that it is linked with."""
+
+    def count(table: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("grams").to_pylist()]
+        sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        order = np.argsort(sizes, kind="stable")
+        node = [x for x in np.array(table.column("node").to_pylist(), dtype=object)[order]]
+        copies = table.column("copies").to_numpy()[order]
+        one = table.column("low")[0].as_py() == table.column("high")[0].as_py()
+        first = (table.column("cut").to_numpy() == table.column("low")[0].as_py())[order]
+        root, n = np.arange(len(sets)), np.zeros(len(sets), dtype=np.int64)
+        for p, hit in hits(sizes[order], [sets[i] for i in order], similar, np.flatnonzero(first)):
+            hit = hit[hit != p] if one else hit[~first[hit]]
+            n[p] += copies[hit].sum()
+            if not one:
+                n[hit] += copies[p]
+            connect(root, p, hit)
+        return pa.table({"a": pa.array([node[r] for r in root], pa.string()), "b": pa.array(node, pa.string()), "n": pa.array(n)})
+
+    return count
+
+
 def _compare(similar: Similar, rows_only: bool):
     """Links of one cut of a block: each set with the first one that it is connected to."""
 
@@ -254,12 +288,13 @@ def _compare(similar: Similar, rows_only: bool):
     return compare
 
 
-def _linked_nodes(blocks: DataFrame, similar: Similar, rows: DataFrame) -> DataFrame:
-    """``a, b``: links that connect the sets of each block."""
+def _linked_nodes(blocks: DataFrame, similar: Similar, rows: DataFrame, counted: bool) -> DataFrame:
+    """``a, b``: links that connect the sets of each block; ``counted``: with ``n``, rows that ``b`` is linked with in a pair of cuts."""
     # One document for each set, with the number of sets in its block.
     sized = blocks.groupBy("block").agg(F.count("*").alias("_sets"), F.min("node").alias("_pivot"))
+    sized = sized.withColumn("_cuts", F.ceil(F.col("_sets") / CUT).cast("int"))
     members = match_hot(blocks, sized, ["block"], F.col("_sets"), blocks.count()).filter("_sets > 1")
-    cut = F.pmod(F.xxhash64("node"), F.ceil(F.col("_sets") / CUT)).cast("int")
+    cut = F.pmod(F.xxhash64("node"), F.col("_cuts")).cast("int")
     members = stored(members.withColumn("cut", cut), "block-members")
     # The texts of those documents are read where they are.
     texts = match_few(rows, members, DOC, members.count())
@@ -270,20 +305,24 @@ def _linked_nodes(blocks: DataFrame, similar: Similar, rows: DataFrame) -> DataF
             raw = [hashes[a:b].tobytes() for a, b in zip(begin, begin[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(raw, pa.binary())], names=[*part.schema.names[1:], "grams"])
 
-    fields = ["block", "node", "cut", "_sets", "_pivot"]
-    sets = texts.select("_text", *fields).mapInArrow(with_sets, "block bigint, node string, cut int, _sets bigint, _pivot string, grams binary")
+    fields = ["block", "node", "cut", "copies", "_cuts", "_sets", "_pivot"]
+    sets = texts.select("_text", *fields).mapInArrow(with_sets, "block bigint, node string, cut int, copies bigint, _cuts int, _sets bigint, _pivot string, grams binary")
     sets = stored(sets, "block-sets")
     if sets.count() > members.count():  # rows repeat an id and a text
         sets = stored(sets.dropDuplicates(["node"]), "block-sets")
 
     links = "a string, b string"
-    cuts = F.ceil(F.col("_sets") / CUT).cast("int")
+    cuts = F.col("_cuts")
+    if counted:
+        pairs = sets.withColumn("_other", F.explode(F.sequence(F.lit(0), cuts - 1)))
+        pairs = pairs.select("block", F.least("cut", "_other").alias("low"), F.greatest("cut", "_other").alias("high"), "cut", "node", "copies", "grams")
+        return pairs.groupBy("block", "low", "high").applyInArrow(_count(similar), f"{links}, n bigint")
     pivots = sets.filter("node = _pivot").withColumn("_own", F.col("cut")).withColumn("cut", F.explode(F.sequence(F.lit(0), cuts - 1))).filter("cut <> _own")
     once = sets.select("block", "cut", "node", F.col("node").alias("root"), "grams").union(pivots.select("block", "cut", "node", F.col("node").alias("root"), "grams"))
     near = stored(once.groupBy("block", "cut").applyInArrow(_compare(similar, rows_only=False), links), "links")
 
     # In blocks of several cuts, what is not connected with the pivot meets all other cuts.
-    many = sets.filter(F.col("_sets") > CUT)
+    many = sets.filter("_cuts > 1")
     if many.isEmpty():
         return near
     labels = connected_components(near)
@@ -291,19 +330,19 @@ def _linked_nodes(blocks: DataFrame, similar: Similar, rows: DataFrame) -> DataF
     labelled = stored(labelled, "labelled-sets")
     reached = labelled.filter("node = _pivot").select("block", F.col("root").alias("_reached"))
     open_ = match(labelled, F.broadcast(reached) if reached.count() <= 10_000 else reached, ["block"]).filter("root <> _reached")
-    left = stored(open_.groupBy("block").agg(F.count("*").alias("_open"), F.first("_sets").alias("_all")), "open-blocks")
+    left = stored(open_.groupBy("block").agg(F.count("*").alias("_open"), F.first("_sets").alias("_all"), F.first("_cuts").alias("_parts")), "open-blocks")
     # Where most sets are open, every two cuts meet once.
     mostly = left.filter("2 * _open > _all").select("block", "_open")
     here = F.col("cut")
     paired = match(labelled, mostly, ["block"]).join(open_.select("node", F.lit(True).alias("_is_open")), "node", "left")
-    paired = paired.withColumn("_other", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_sets") / CUT).cast("int") - 1))).filter("_other <> cut")
+    paired = paired.withColumn("_other", F.explode(F.sequence(F.lit(0), cuts - 1))).filter("_other <> cut")
     paired = paired.select("block", F.least(here, "_other").alias("cut"), F.greatest(here, "_other").alias("part"), "node", "root", "grams",
                            F.coalesce("_is_open", F.lit(False)).alias("asked"))
-    left = left.filter("2 * _open <= _all").select("block", "_open")
+    left = left.filter("2 * _open <= _all").select("block", F.ceil(F.col("_open") * F.col("_parts") / F.col("_all")).cast("int").alias("_groups"))
     open_ = match(open_, left, ["block"])
-    groups_of = F.ceil(F.col("_open") / CUT).cast("int")
+    groups_of = F.col("_groups")
     asked = open_.withColumn("part", F.pmod(F.xxhash64(F.lit(3), "node"), groups_of).cast("int"))
-    asked = asked.withColumn("cut", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_sets") / CUT).cast("int") - 1)))
+    asked = asked.withColumn("cut", F.explode(F.sequence(F.lit(0), cuts - 1)))
     others = match(labelled, left, ["block"]).withColumn("part", F.explode(F.sequence(F.lit(0), groups_of - 1)))
     columns = ["block", "cut", "part", "node", "root", "grams"]
     asked, others = asked.select(*columns, F.lit(True).alias("asked")), others.select(*columns, F.lit(False).alias("asked"))
@@ -313,8 +352,11 @@ def _linked_nodes(blocks: DataFrame, similar: Similar, rows: DataFrame) -> DataF
     return near.union(met).union(both.groupBy("block", "cut", "part").applyInArrow(_compare(similar, rows_only=True), links))
 
 
-def ngram_components(docs: DataFrame, similar: Similar = Similar(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``_id, _h, n_shingles, component_id, group`` for every row.
+def ngram_components(docs: DataFrame, similar: Similar = Similar(), id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:
+    """``_id, _h, n_shingles, component_id, group, n_links`` for every row.
+
+    ``n_links`` is the number of other rows that are similar enough, those with an equal set among them; 0
+    without words. All pairs of a block are compared for it; without ``counted`` the column is left out.
 
     ``component_id`` is the smallest linked id; ``group`` names the component, null without words. Null and empty texts, and those without words, have no n-grams and are linked with nothing; with
     fewer words than an n-gram the whole sequence is one. Rows that repeat are linked as equal texts
@@ -349,17 +391,24 @@ def ngram_components(docs: DataFrame, similar: Similar = Similar(), id_col: str
     postings = rows.select("_text").mapInArrow(posted, "key bigint, node bigint")
     coarse = connected_components(_star_edges(postings)).select(F.col("node").alias("_low"), F.col("component").alias("block"))
     # One document stands for all that have its set.
-    standing = known.filter("n_shingles > 0").groupBy("_low", "node").agg(F.min(F.struct(*DOC)).alias("_doc"))
-    blocks = stored(match(standing, coarse, ["_low"]).select("block", "node", "_doc._id", "_doc._h"), "blocks")
-    links = stored(_linked_nodes(blocks, similar, rows), "ngram-links")
-    labels = connected_components(links)
-
+    standing = known.filter("n_shingles > 0").groupBy("_low", "node").agg(
+        F.min(F.struct(*DOC)).alias("_doc"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"))
+    blocks = stored(match(standing, coarse, ["_low"]).select("block", "node", "copies", "n_shingles", "_doc._id", "_doc._h"), "blocks")
+    links = stored(_linked_nodes(blocks, similar, rows, counted), "ngram-links")
+    labels = connected_components(links.select("a", "b"))
+
+    if counted:  # once for each set, as a set may have many rows
+        degrees = links.filter("n > 0").groupBy(F.col("b").alias("node")).agg(F.sum("n").alias("_n"))
+        each = standing.select("node", "copies")
+        each = stored(match(each, degrees, ["node"], "left").select("node", "copies", (F.coalesce("_n", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "ngram-degrees")
+        worded = match_hot(known.filter("n_shingles > 0"), each, ["node"], F.col("copies"), n_docs).drop("copies")
+        known = worded.unionByName(known.filter("n_shingles = 0").withColumn("n_links", F.lit(0).cast("bigint")))
     grouped = match(known.drop("_low", "_high"), labels.withColumnRenamed("component", "_group"), ["node"], "left")
     grouped = stored(grouped.withColumn("_group", F.coalesce("_group", "node")).drop("node"), "ngram-groups")
     smallest = grouped.filter("n_shingles > 0").groupBy("_group").agg(F.min("_id").alias("component_id"), F.count("*").alias("_rows"))
     linked = match_hot(grouped.filter("n_shingles > 0"), smallest, ["_group"], F.col("_rows"), n_docs)
     alone = grouped.filter("n_shingles = 0").withColumn("component_id", F.col("_id")).withColumn("_group", F.lit(None).cast("string"))
-    columns = [*DOC, "n_shingles", "component_id", F.col("_group").alias("group")]
+    columns = [*DOC, "n_shingles", "component_id", F.col("_group").alias("group"), *(["n_links"] if counted else [])]
     return linked.select(columns).unionByName(alone.select(columns))
 
 
@@ -368,7 +417,7 @@ def keep_one(docs: DataFrame, similar: Similar, id_col: str = "doc_id", text_col
 
     Rows without words are linked with nothing and all stay; of rows that repeat id and text one stays.
     """
-    linked = stored(ngram_components(docs, similar, id_col, text_col).filter("group IS NOT NULL").select(*DOC, "group"), "linked-documents")
+    linked = stored(ngram_components(docs, similar, id_col, text_col, counted=False).filter("group IS NOT NULL").select(*DOC, "group"), "linked-documents")
     first = linked.groupBy("group").agg(F.min(F.struct(*DOC)).alias("_first"), F.count("*").alias("_rows"))
     marked = match_hot(linked, first, ["group"], F.col("_rows"), linked.count())
     gone = stored(marked.filter(~F.struct(*DOC).eqNullSafe(F.col("_first"))).select(*DOC).distinct(), "dropped-documents")
@@ -385,4 +434,8 @@ def keep_one(docs: DataFrame, similar: Similar, id_col: str = "doc_id", text_col
 
 
 def component_digest(docs: DataFrame, similar: Similar) -> DataFrame:
-    return ngram_components(docs, similar).select(F.col("_id").alias("doc_id"), "n_shingles", "component_id")
+    return ngram_components(docs, similar, counted=False).select(F.col("_id").alias("doc_id"), "n_shingles", "component_id")
+
+
+def link_digest(docs: DataFrame, similar: Similar) -> DataFrame:
+    return ngram_components(docs, similar).select(F.col("_id").alias("doc_id"), "n_shingles", "component_id", "n_links")

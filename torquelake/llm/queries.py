@@ -56,6 +56,10 @@ def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.component_digest(table(spark, folder, "documents"), ngram_join.Similar(3, 90, 100))
 
 
+def op3_ngram_links(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.link_digest(table(spark, folder, "documents"), ngram_join.Similar(3, 90, 100))
+
+
 def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return lm.score_texts(docs, in_fold("doc_id", 1), public_tokenizers.path(TOKENIZER), end_id=50256)
@@ -65,6 +69,7 @@ REGISTERED: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mix": op2_source_mix,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op3_ngram_links": op3_ngram_links,
     "op4_toxicity": op4_toxicity,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
