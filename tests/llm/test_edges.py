@@ -165,6 +165,20 @@ def test_links_are_counted(spark, monkeypatch):
     assert Counter((r["doc_id"], r["n_links"]) for r in got) == want
 
 
+def test_cuts_are_bounded_in_ngrams(spark, monkeypatch):
+    """A block of few long texts is cut too, and gives the same links."""
+    rows = [(k, " ".join([f"w{j}" for j in range(200)] + [f"x{k}"])) for k in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    monkeypatch.setattr(ngram_join, "CUT_NGRAMS", 400)
+    seen = []
+    keep = ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda frame, name, *more: seen.append((name, out := keep(frame, name, *more))) or out)
+    got = ngram_join.link_digest(docs, ngram_join.Similar(3, 90, 100)).collect()
+    assert {(r["component_id"], r["n_links"]) for r in got} == {(0, 7)}
+    members = dict(seen)["block-members"]
+    assert members.agg(F.max("_cuts")).first()[0] == 4
+
+
 def test_keep_one(edge_docs):
     kept = ngram_join.keep_one(edge_docs, ngram_join.Similar(5, 80, 100))
     assert kept.columns == edge_docs.columns

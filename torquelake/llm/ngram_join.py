@@ -34,8 +34,8 @@ from torquelake.llm.wordhash import U64, mix, word_hashes
 
 #: An n-gram is frequent if it is counted in so many documents, or in this share of all.
 FREQUENT_DOCS, FREQUENT_SHARE = 50, 0.001
-#: Sets in a cut of a block.
-CUT = 4000
+#: Sets in a cut of a block, and n-grams.
+CUT, CUT_NGRAMS = 4000, 4_000_000
 #: N-grams that are worked on together.
 TOGETHER = 400_000
 DOC = ["_id", "_h"]
@@ -291,8 +291,8 @@ def _compare(similar: Similar, rows_only: bool):
 def _linked_nodes(blocks: DataFrame, similar: Similar, rows: DataFrame, counted: bool) -> DataFrame:
     """``a, b``: links that connect the sets of each block; ``counted``: with ``n``, rows that ``b`` is linked with in a pair of cuts."""
     # One document for each set, with the number of sets in its block.
-    sized = blocks.groupBy("block").agg(F.count("*").alias("_sets"), F.min("node").alias("_pivot"))
-    sized = sized.withColumn("_cuts", F.ceil(F.col("_sets") / CUT).cast("int"))
+    sized = blocks.groupBy("block").agg(F.count("*").alias("_sets"), F.min("node").alias("_pivot"), F.sum("n_shingles").alias("_grams"))
+    sized = sized.withColumn("_cuts", F.ceil(F.greatest(F.col("_sets") / CUT, F.col("_grams") / CUT_NGRAMS)).cast("int")).drop("_grams")
     members = match_hot(blocks, sized, ["block"], F.col("_sets"), blocks.count()).filter("_sets > 1")
     cut = F.pmod(F.xxhash64("node"), F.col("_cuts")).cast("int")
     members = stored(members.withColumn("cut", cut), "block-members")
