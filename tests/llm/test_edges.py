@@ -516,6 +516,18 @@ def test_pieces_are_what_the_tokenizer_gives():
         assert got == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_special_tokens_are_what_the_tokenizer_gives(spark):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = ["a plain text", "one <|endoftext|> two", "<|endoftext|>", "", "x<|endoftext|><|endoftext|> y <|endof"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    want = [np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], dtype="<u4") for t in texts]
+    assert 50256 in want[1]
+    got = {r["doc_id"]: r for r in token_files.token_digest(docs, TOKENIZER).collect()}
+    for k, ids in enumerate(want):
+        assert (got[k]["n_tokens"], got[k]["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
+        assert got[k]["start"] == sum(map(len, want[:k]))
+
+
 def test_pipeline_stages(spark, edge_docs, no_docs, tmp_path):
     folder = str(tmp_path)
     labels(spark).write.parquet(f"{folder}/labels.parquet")

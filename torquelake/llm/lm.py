@@ -133,7 +133,7 @@ def tokenized(rows: DataFrame, hot: np.ndarray, tokenizer: str, end_id: int) ->
                 cuts = np.concatenate([[0], np.cumsum(np.bincount(doc[~cold][by_doc], weights=spread, minlength=len(sizes)).astype(np.int64))]).tolist()
                 raw = packed.tobytes()
                 more = [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
-                texts = codec.encode(batch.column(3).to_pylist())
+                texts = codec.encode(batch.column(3).to_pylist(), special=True)
                 yield rows_of(DOC, np.arange(len(sizes)), number, sizes + 1, texts, more, batch.column(0), batch.column(1), batch.column(2), id_kind)
 
                 ids = np.frombuffer(b"".join(t for t, h in zip(texts, held, strict=True) if not h), dtype=codec.dtype)

@@ -23,7 +23,8 @@ class PieceEncoder:
 
     Its pattern always starts a new piece at a space that is followed by something else than white
     space, so a text may be cut before such spaces, and pieces seen before need no second look.
-    The strings of special tokens are ordinary text here.
+    The strings of special tokens are ordinary text, but with ``special``, where they are what the
+    library makes of them by default.
     """
 
     def __init__(self, path: str):
@@ -32,6 +33,8 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65_536 else "<u4")
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.pieces: dict[str, bytes] = {}  # those that follow a space, without it
         # Fixed value: the sign of this kind of vocabulary for a space.
         spaced = [i for token, i in self.tokenizer.get_vocab(True).items() if token.startswith("\u0120")]
@@ -69,9 +72,23 @@ class PieceEncoder:
         get = known.__getitem__
         return [head + b"".join(map(get, pieces[1:])) for head, pieces in zip(first, cut, strict=True)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, text: str) -> bytes:
+        """Ids of a text with special tokens in it, by the library's default."""
+        self.tokenizer.encode_special_tokens = False
+        try:
+            return self._ids([text])[0]
+        finally:
+            self.tokenizer.encode_special_tokens = True
+
+    def encode(self, texts: list[str], special: bool = False) -> list[bytes]:
         """The ids of each text, as the bytes of an array of ``dtype``."""
         out: list[bytes] = []
+        if special and self.special and (odd := [k for k, t in enumerate(texts) if self.special.search(t)]):
+            apart = set(odd)
+            out = self.encode([t if k not in apart else "" for k, t in enumerate(texts)])
+            for k in odd:
+                out[k] = self._whole(texts[k])
+            return out
         at = 0
         while at < len(texts):
             end, chars = at, 0

@@ -98,7 +98,7 @@ def write_token_files(
 
         for batch in batches:
             id_kind = batch.schema.field(0).type
-            encoded = codec.encode(batch.column(1).to_pylist())
+            encoded = codec.encode(batch.column(1).to_pylist(), special=True)
             for doc, text in zip(batch.column(0).to_pylist(), encoded, strict=True):
                 ids.append(doc)
                 texts.append(text + end)
