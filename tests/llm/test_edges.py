@@ -458,6 +458,22 @@ def test_secrets(spark, edge_docs, no_docs):
     assert secret_scan.scan_secrets(no_docs).count() == 0 and secret_scan.scan_secrets(edge_docs).count() == len(ROWS)
 
 
+@pytest.mark.parametrize("text", [
+    'os.environ["API_TOKEN"] = "%s"', "config['password'] = '%s'", 'password: str = "%s"', 'password: str | None = "%s"',
+    'password: Optional[str] = "%s"', 'def f(password: str="%s"):', 'var password string = "%s"', 'password = \\\n    "%s"', "a:\n  password: |\n    %s\n  b: c",
+    "password: >-\n  %s\n", 'password = """%s"""', "password = \'\'\'\n%s\n\'\'\'", 'password = BLOB\nBLOB = "%s"', 'BLOB = "%s"\nX = BLOB\npassword = X',
+])
+def test_secret_forms(text):
+    secret = "q8Zk3LmP0xYt!w"
+    found = secret_scan.lexed_spans(full := text.replace("%s", secret))
+    assert secret in [full[a:b] for a, b, _ in found]
+
+
+def test_secret_sums_are_followed():
+    text = 'A = "q8Zk3L"\npassword = A + "mP0xYt" + B\nB = "w7Qe"\nC = D\nD = C\n'
+    assert [text[a:b] for a, b, _ in secret_scan.lexed_spans(text)] == ["q8Zk3L", "mP0xYt", "w7Qe"]
+
+
 def test_secret_shapes_match_plain_search(spark):
     """The contract's patterns as they stand, on random strings of their letters."""
     import random

@@ -1,8 +1,9 @@
 """Secret scan: known shapes of secrets, and literals assigned to names that sound sensitive.
 
-Source and configuration syntax is lexed where a text has an assignment sign. Pairs of a name and
-a literal come out of it; a name set to another name takes that name's literal, so a constant is
-followed to where it is used. A literal counts by the most sensitive name it reaches and by how
+Source and configuration syntax is lexed in texts that have an assignment sign, with the state kept over
+continued lines, triple quotes and block scalars. Pairs of a name and a literal come out of it; a name
+set to another name, or to a sum, takes the literals of it, so a constant is followed to where it is
+used, also if it is set behind that. A literal counts by the most sensitive name it reaches and by how
 random it looks.
 """
 
@@ -38,13 +39,24 @@ REPORTED = 0.5
 #: Literals that stand for a secret without being one.
 _PLACEHOLDER = re.compile(r"(?i)\A(?:x+|\*+|\.+|change_?me|example|placeholder|none|null|true|false|todo|test|dummy|your.*|<.*>|\$\{.*\}|%\(.*\)s|\{\{.*\}\})\Z")
 _LEXEME = re.compile(
-    r"""(?P<comment>(?:\#|//)[^\n]*)|(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')"""
-    r"""|(?P<op>:=|=>|===?|!=|[<>]=|[:=])|(?P<word>[A-Za-z0-9_$][A-Za-z0-9_$.+/-]*=*)|(?P<end>[\n;,{}()\[\]|])"""
+    r"""(?P<comment>(?:\#|//)[^\n]*)|(?P<triple>\"{3}(?:[^\\]|\\.)*?\"{3}|'{3}(?:[^\\]|\\.)*?'{3})"""
+    r"""|(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<cont>\\\r?\n)"""
+    r"""|(?P<op>:=|=>|===?|!=|[<>]=|[:=])|(?P<word>[A-Za-z0-9_$][A-Za-z0-9_$.+/-]*=*)|(?P<plus>\+)|(?P<end>[\n;,{}()\[\]|])""",
+    re.DOTALL,
 )
+#: Behind a colon: a block scalar, whose lines follow.
+_BLOCK = re.compile(r"\x20*[|>][0-9+-]*\x20*(?:\#[^\n]*)?\r?\n")
+_LINE = re.compile(r"[^\n]*\n?")
+#: Words between a name and its sign that are its type.
+_TYPES = frozenset("string str byte bytes int int64 any interface char text String Any".split())
+#: Literals that a sum may have when constants in it are followed.
+SUMMED = 1000
 _NAME = re.compile(r"\A[A-Za-z_$][A-Za-z0-9_$.-]*\Z")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 Span = tuple[int, int, str]
+#: Text, start, end, and whether it is a bare word, which may be a name.
+Part = tuple[str, int, int, bool]
 
 
 def base_spans(text: str) -> list[Span]:
@@ -73,43 +85,120 @@ def literal_score(value: str) -> float:
 
 
 def assignments(text: str) -> Iterator[tuple[str, str, int, int]]:
-    """``name, literal, start, end`` of each assignment, constants followed.
+    """``name, literal, start, end`` of each assignment, constants followed; a sum gives each of its parts.
 
-    Only lines with an assignment sign are lexed. A quoted string, or on the right side a bare word
-    that is no known name, is a literal; a word that is a name set before stands for its literal.
+    A quoted string, or on the right side a bare word that is no known name, is a literal; a word that
+    is a name set elsewhere stands for its literal, the last one before or else the first one behind.
     """
-    known: dict[str, tuple[str, int, int]] = {}
-    at = 0
+    found = list(_assigned(text))
+    later: dict[str, list[Part]] = {}
+    for name, parts in reversed(found):
+        later[name] = parts
+    known: dict[str, list[Part]] = {}
+
+    def resolved(parts: list[Part], through: frozenset[str]) -> list[Part]:
+        out: list[Part] = []
+        for part in parts:
+            word = part[0]
+            if not part[3] or word in through or len(through) > 50:
+                out.append(part)
+            elif word in known:
+                out += known[word]
+            elif word in later:
+                out += resolved(later[word], through | {word})
+            else:
+                out.append(part)
+            if len(out) > SUMMED:
+                return out
+        return out
+
+    for name, parts in found:
+        known[name] = whole = resolved(parts, frozenset([name]))
+        value = "".join(p[0] for p in whole)
+        for _, start, stop, _ in whole:
+            yield name, value, start, stop
+
+
+def _block(text: str, at: int, colon: int) -> list[Part]:
+    """Lines of a block scalar: those behind ``at`` that are further in than the line of the colon."""
+    head = text[text.rfind("\n", 0, colon) + 1 : colon]
+    depth = len(head) - len(head.lstrip(" "))
+    lines = []
     while at < len(text):
-        end = text.find("\n", at)
-        end = len(text) if end < 0 else end
-        if text.find("=", at, end) >= 0 or text.find(":", at, end) >= 0:
-            yield from _line(text, at, end, known)
-        at = end + 1
-
-
-def _line(text: str, at: int, end: int, known: dict[str, tuple[str, int, int]]) -> Iterator[tuple[str, str, int, int]]:
-    name, ready = None, None  # the last word or quoted key; the name that waits for its value
-    for m in _LEXEME.finditer(text, at, end):
+        line = _LINE.match(text, at)[0]
+        inner = line.strip()
+        start = at + len(line) - len(line.lstrip())
+        if inner and start - at <= depth:
+            break
+        if inner:
+            lines.append((inner, start, start + len(inner), False))
+        at += len(line)
+    return lines
+
+
+def _assigned(text: str) -> Iterator[tuple[str, list[Part]]]:
+    """Names and the parts of what they are set to, as they stand."""
+    name = ready = None  # the last word or quoted key; the name that waits for its value
+    typed = False  # whether the sign was a colon, so that a word behind it may be a type
+    parts: list[Part] = []  # of the name in ``owner``, complete unless a plus follows
+    owner, more, bracket = None, False, 0
+    for m in _LEXEME.finditer(text):
         kind, word = m.lastgroup, m[0]
+        if kind == "cont":
+            continue
+        if owner is not None:
+            if kind == "plus":
+                more = True
+                continue
+            if more and kind in ("string", "word"):
+                start, stop = (m.start() + 1, m.end() - 1) if kind == "string" else m.span()
+                parts.append((text[start:stop], start, stop, kind == "word"))
+                more = False
+                continue
+            if typed and parts[-1][3] and (word in ("[", "|") or bracket and word != "\n"):
+                bracket = max(0, bracket + (word in ("[", "|")) - (word == "]" or kind == "word" and text[m.start() - 2 : m.start()].strip() == "|"))
+                continue
+            if typed and len(parts) == 1 and parts[0][3] and word == "=":
+                ready, owner, typed = owner, None, False
+                continue
+            yield owner, parts
+            owner, more, bracket, name = None, False, 0, None
         if kind == "op":
+            block = _BLOCK.match(text, m.end()) if word == ":" and name else None
+            if block and (lines := _block(text, block.end(), m.start())):
+                for line in lines:
+                    yield name, [line]
+                name = ready = None
+                continue
             ready, name = (name, None) if word in (":", "=", ":=", "=>") else (None, None)
-        elif kind in ("end", "comment"):
+            typed = word == ":"
+        elif kind in ("end", "comment", "plus"):
+            name = name if word == "]" else None
+            ready = None
+        elif kind == "triple":
+            at = m.start() + 3
+            if ready is not None:
+                for line in text[at : m.end() - 3].splitlines(keepends=True):
+                    start = at + len(line) - len(line.lstrip())
+                    if line.strip():
+                        yield ready, [(line.strip(), start, start + len(line.strip()), False)]
+                    at += len(line)
             name = ready = None
         else:
             start, stop = (m.start() + 1, m.end() - 1) if kind == "string" else m.span()
             value = text[start:stop]
             if ready is not None:
-                bare = kind == "word"
-                found = known.get(value) if bare else None
-                literal = found or (value, start, stop)
-                known[ready] = literal
-                yield ready, *literal
-                name, ready = None, None
-            else:
+                if typed and kind == "word" and value.endswith("=") and text[stop : stop + 1] in ("'", '"'):  # name: str="..."
+                    typed = False
+                    continue
+                owner, parts = ready, [(value, start, stop, kind == "word")]
+                name = ready = None
+            elif not (name and kind == "word" and value in _TYPES):
                 name = value.rstrip("=") if _NAME.match(value.rstrip("=")) else None
                 if kind == "word" and word.endswith("=") and name:  # name=value without a space
-                    ready, name = name, None
+                    ready, name, typed = name, None, False
+    if owner is not None:
+        yield owner, parts
 
 
 def lexed_spans(text: str) -> list[Span]:
