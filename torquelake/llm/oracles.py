@@ -145,10 +145,44 @@ least AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.component_id, d.doc_id) AS component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN reps r USING (same) LEFT JOIN least l ON l.node = r.rep"""
 
+# crc32 has no SQL function: its table of 256 entries comes from the polynomial, words go byte by byte.
+RESAMPLING = f"""
+WITH RECURSIVE bits AS (
+  SELECT i, i::BIGINT AS v, 0 AS step FROM (SELECT unnest(range(0, 256)) AS i)
+  UNION ALL
+  SELECT i, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END, step + 1 FROM bits WHERE step < 8),
+crc AS (SELECT list(v ORDER BY i) AS entries FROM bits WHERE step = 8),
+docs AS (SELECT doc_id, {TERMS.format(x=LOWER_AZ.format(x="coalesce(text, '')"))} AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word FROM docs),
+aims AS (SELECT unnest({TERMS.format(x=LOWER_AZ.format(x="coalesce(text, '')"))}) AS word FROM benchmark),
+hexed AS (SELECT word, hex(encode(word)) AS x FROM (SELECT word FROM words UNION SELECT word FROM aims)),
+hashed AS (
+  SELECT word, xor(list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(0, len(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
+           lambda c, b: xor(c >> 8, entries[xor(c & 255, b) + 1])), 4294967295::BIGINT) % 10000 AS bucket
+  FROM hexed, crc),
+source AS (SELECT bucket, count(*) AS s FROM words JOIN hashed USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM aims JOIN hashed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM words) + 10000)::DOUBLE)
+           / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM aims) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM source FULL JOIN target USING (bucket)),
+weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM words JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5)::DOUBLE
+           / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM docs d LEFT JOIN weights USING (doc_id)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= 10 * (SELECT count(*) FROM scored WHERE n_features >= 20) // 100 THEN place END AS rank
+FROM placed"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_source_mix": SOURCE_MIX,
     "op3_ngram_jaccard": JACCARD.format(n=3, num=90, den=100),
     "op6_quality_rules": QUALITY,
     "op7_benchmark_contamination": CONTAMINATION,
+    "op11_importance_resampling": RESAMPLING,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import prepare_session
-from torquelake.llm import decontaminate, licenses, line_dedup, lm, mixing, ngram_join, quality, secret_scan, token_files, toxicity
+from torquelake.llm import decontaminate, importance, licenses, line_dedup, lm, mixing, ngram_join, quality, secret_scan, token_files, toxicity
 from torquelake.llm.common import in_fold, table
 
 #: The tokenizer file of the contracts.
@@ -65,6 +65,11 @@ def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_texts(docs, in_fold("doc_id", 1), public_tokenizers.path(TOKENIZER), end_id=50256)
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    documents, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return importance.resample_digest(documents, target, importance.Resampling(max_n=1, buckets=10_000, seed=2024, min_words=20, num=10, den=100))
+
+
 REGISTERED: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mix": op2_source_mix,
@@ -77,6 +82,7 @@ REGISTERED: dict[str, Query] = {
     "op8_lm_score": op8_lm_score,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 
 
