@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import prepare_session
-from torquelake.llm import decontaminate, importance, licenses, line_dedup, lm, mixing, ngram_join, quality, secret_scan, token_files, toxicity
+from torquelake.llm import decontaminate, importance, licenses, line_dedup, lm, mixing, ngram_join, packing, quality, secret_scan, token_files, toxicity
 from torquelake.llm.common import in_fold, table
 
 #: The tokenizer file of the contracts.
@@ -70,6 +70,11 @@ def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resample_digest(documents, target, importance.Resampling(max_n=1, buckets=10_000, seed=2024, min_words=20, num=10, den=100))
 
 
+def op12_sequence_packing(spark: SparkSession, folder: str) -> DataFrame:
+    rule = packing.Sequences(capacity=1024, end_id=2)
+    return packing.packing_digest(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), rule)
+
+
 REGISTERED: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mix": op2_source_mix,
@@ -83,6 +88,7 @@ REGISTERED: dict[str, Query] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_sequence_packing": op12_sequence_packing,
 }
 
 
