@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from torquelake.config import prepare_session
-from torquelake.llm import decontaminate, importance, licenses, line_dedup, lm, mixing, ngram_join, packing, quality, secret_scan, token_files, toxicity
+from torquelake.llm import alignment, decontaminate, importance, licenses, line_dedup, lm, mixing, ngram_join, packing, quality, secret_scan, token_files, toxicity
 from torquelake.llm.common import in_fold, table
 
-#: The tokenizer file of the contracts.
+#: The tokenizer files of the contracts.
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +76,11 @@ def op12_sequence_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packing_digest(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), rule)
 
 
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES)
+    return alignment.align_digest(table(spark, folder, "documents"), *paths)
+
+
 REGISTERED: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mix": op2_source_mix,
@@ -89,6 +95,7 @@ REGISTERED: dict[str, Query] = {
     "op10_token_files": op10_token_files,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_sequence_packing": op12_sequence_packing,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 
