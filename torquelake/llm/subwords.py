@@ -7,6 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces remembered in a worker, and characters of text that are encoded together.
 REMEMBERED = 600_000
@@ -15,10 +16,104 @@ TOGETHER = 4_000_000
 JOINED = 256
 
 _SPLIT = re.compile(r"\x20(?=\S)")
-_ODD_SPACE = re.compile(r"\x20(?!\S)")
+#: Where this is not found, every space has something else than white space behind it.
+_MAYBE_ODD = r"\x20(?:[\t-\r\x1c-\x20\x{85}\pZ]|\z)"
 
 
-class PieceEncoder:
+def _strings(column: pa.Array) -> list[str]:
+    """Strings without a space in them; made at once from their joint bytes."""
+    if not len(column):
+        return []
+    whole = pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column)
+    return pc.binary_join(whole, " ")[0].as_py().split(" ")
+
+
+class PieceCache:
+    """Ids of texts by way of their pieces between spaces, which are remembered.
+
+    A text is cut before each space that stands between other characters than white space. How
+    the first piece, pieces behind a space and texts with other space are encoded is left to the kinds.
+    """
+
+    maybe_odd = _MAYBE_ODD
+    dtype: np.dtype
+
+    def __init__(self) -> None:
+        self.pieces: dict[str, bytes] = {}  # those that follow a space, without it
+
+    def ids_of(self, texts: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def ids_after_space(self, pieces: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def ids_of_odd(self, text: str) -> bytes:
+        raise NotImplementedError
+
+    def look_up(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces that follow a space."""
+        known = self.pieces
+        if len(known) > REMEMBERED:  # frequent pieces come early, so the first half stays
+            for piece in list(known)[REMEMBERED // 2 :]:
+                del known[piece]
+        ids = list(map(known.get, pieces))
+        new = [k for k, found in enumerate(ids) if found is None]
+        for k, found in zip(new, self.ids_after_space([pieces[k] for k in new]) if new else (), strict=True):
+            ids[k] = known[pieces[k]] = found
+        return ids
+
+    def _join(self, heads: list[str], distinct: list[str], pieces: np.ndarray, begins: np.ndarray) -> list[bytes]:
+        """Ids of texts whose pieces ``begins[k]`` to ``begins[k + 1]``, as places in ``distinct``, follow a head."""
+        parts = self.look_up(distinct) + self.ids_of(heads)
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(parts), dtype=self.dtype)
+        order = np.insert(pieces, begins[:-1], len(distinct) + np.arange(len(heads)))
+        taken = sizes[order]
+        ends = np.cumsum(taken)
+        firsts = (np.cumsum(sizes) - sizes)[order]
+        ids = flat[np.repeat(firsts - ends + taken, taken) + np.arange(ends[-1])]
+        raw = memoryview(ids.tobytes())
+        at = np.concatenate([[0], ends])[begins + np.arange(len(begins))] * self.dtype.itemsize
+        return [bytes(raw[a:b]) for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
+
+    def encode_some(self, texts: list[str]) -> list[bytes]:
+        """Texts are cut before spaces by Arrow; where other white space follows one, by the expression."""
+        column = pa.array(texts, pa.string())
+        odd = pc.match_substring_regex(column, self.maybe_odd).to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(texts)
+        plain = np.flatnonzero(~odd)
+        if len(plain):
+            cut = pc.split_pattern(column.filter(pa.array(~odd)), " ")
+            sizes = pc.list_value_length(cut).to_numpy().astype(np.int64)
+            firsts = np.cumsum(sizes) - sizes
+            words = pc.list_flatten(cut)
+            inside = np.ones(len(words), dtype=bool)
+            inside[firsts] = False
+            coded = words.filter(pa.array(inside)).dictionary_encode()
+            distinct = _strings(coded.dictionary)
+            begins = np.concatenate([[0], np.cumsum(sizes - 1)])
+            heads = words.take(pa.array(firsts)).to_pylist()
+            for k, ids in zip(plain.tolist(), self._join(heads, distinct, coded.indices.to_numpy(), begins), strict=True):
+                out[k] = ids
+        for k in np.flatnonzero(odd).tolist():
+            out[k] = self.ids_of_odd(texts[k])
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as the bytes of an array of ``dtype``."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            end, chars = at, 0
+            while end < len(texts) and (end == at or chars + len(texts[end]) <= TOGETHER):
+                chars += len(texts[end])
+                end += 1
+            out += self.encode_some(texts[at:end])
+            at = end
+        return out
+
+
+class PieceEncoder(PieceCache):
     """Ids that a byte-level BPE of the tokenizers library gives a text.
 
     Its pattern always starts a new piece at a space that is followed by something else than white
@@ -30,74 +125,91 @@ class PieceEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65_536 else "<u4")
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.pieces: dict[str, bytes] = {}  # those that follow a space, without it
         # Fixed value: the sign of this kind of vocabulary for a space.
         spaced = [i for token, i in self.tokenizer.get_vocab(True).items() if token.startswith("\u0120")]
         self.opens = np.zeros(self.tokenizer.get_vocab_size(True), dtype=bool)
         self.opens[spaced] = True
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def ids_of(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in encoded]
 
-    def _ids_after_space(self, pieces: list[str]) -> list[bytes]:
+    def _joined_ids(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces without a space in them, joined by spaces and told apart by their first ids."""
         out: list[bytes] = []
         joined = [" " + " ".join(pieces[k : k + JOINED]) for k in range(0, len(pieces), JOINED)]
-        for ids in map(np.frombuffer, self._ids(joined), [self.dtype] * len(joined)):
+        for ids in map(np.frombuffer, self.ids_of(joined), [self.dtype] * len(joined)):
             places = np.append(np.flatnonzero(self.opens[ids]), len(ids)) * self.dtype.itemsize
             raw = ids.tobytes()
             at = places.tolist()
             out += [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
         return out
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_SPLIT.split(t) if _ODD_SPACE.search(t) else t.split(" ") for t in texts]
-        known = self.pieces
-        if len(known) > REMEMBERED:  # frequent pieces come early, so the first half stays
-            for piece in list(known)[REMEMBERED // 2 :]:
-                del known[piece]
-        new = list({p for pieces in cut for p in pieces[1:] if p not in known})
-        plain = [p for p in new if " " not in p]
-        known.update(zip(plain, self._ids_after_space(plain), strict=True))
-        if len(plain) < len(new):
-            odd = [p for p in new if " " in p]
-            known.update(zip(odd, self._ids([f" {p}" for p in odd]), strict=True))
-        first = self._ids([pieces[0] for pieces in cut])
-        get = known.__getitem__
-        return [head + b"".join(map(get, pieces[1:])) for head, pieces in zip(first, cut, strict=True)]
+    def ids_after_space(self, pieces: list[str]) -> list[bytes]:
+        out = [b""] * len(pieces)
+        for spaced, encode in ((False, self._joined_ids), (True, lambda odd: self.ids_of([f" {p}" for p in odd]))):
+            places = [k for k, p in enumerate(pieces) if (" " in p) == spaced]
+            for k, ids in zip(places, encode([pieces[k] for k in places]) if places else (), strict=True):
+                out[k] = ids
+        return out
+
+    def ids_of_odd(self, text: str) -> bytes:
+        pieces = _SPLIT.split(text)
+        return b"".join(self.ids_of(pieces[:1]) + self.look_up(pieces[1:]))
 
     def _whole(self, text: str) -> bytes:
         """Ids of a text with special tokens in it, by the library's default."""
         self.tokenizer.encode_special_tokens = False
         try:
-            return self._ids([text])[0]
+            return self.ids_of([text])[0]
         finally:
             self.tokenizer.encode_special_tokens = True
 
     def encode(self, texts: list[str], special: bool = False) -> list[bytes]:
         """The ids of each text, as the bytes of an array of ``dtype``."""
-        out: list[bytes] = []
         if special and self.special and (odd := [k for k, t in enumerate(texts) if self.special.search(t)]):
             apart = set(odd)
             out = self.encode([t if k not in apart else "" for k, t in enumerate(texts)])
             for k in odd:
                 out[k] = self._whole(texts[k])
             return out
-        at = 0
-        while at < len(texts):
-            end, chars = at, 0
-            while end < len(texts) and (end == at or chars + len(texts[end]) <= TOGETHER):
-                chars += len(texts[end])
-                end += 1
-            out += self._encode(texts[at:end])
-            at = end
-        return out
+        return super().encode(texts)
+
+
+class SentencePieceEncoder(PieceCache):
+    """Ids that a BPE of the sentencepiece library gives a text, which it puts a space in front of.
+
+    None of its pieces may go over the start of a word, and its normalization may not look beyond one;
+    where a piece does, texts are encoded whole. So are texts with a space at an end or beside white space, or with the sign for one.
+    """
+
+    maybe_odd = rf"\A\x20|\x{{2581}}|{_MAYBE_ODD}"
+
+    def __init__(self, path: str):
+        from sentencepiece import SentencePieceProcessor
+
+        super().__init__()
+        self.processor = SentencePieceProcessor(model_file=path)
+        names = map(self.processor.id_to_piece, range(self.processor.get_piece_size()))
+        # Fixed value: U+2581 stands for a space.
+        if any("\u2581" in name.lstrip("\u2581") for name in names):
+            self.maybe_odd = ""
+        self.dtype = np.dtype("<u2" if self.processor.get_piece_size() <= 65_536 else "<u4")
+
+    def ids_of(self, texts: list[str]) -> list[bytes]:
+        return [np.array(ids, dtype=self.dtype).tobytes() for ids in self.processor.encode(texts, num_threads=1)]
+
+    def ids_after_space(self, pieces: list[str]) -> list[bytes]:
+        return self.ids_of(pieces)
+
+    def ids_of_odd(self, text: str) -> bytes:
+        return self.ids_of([text])[0]
 
 
 @lru_cache(maxsize=2)

@@ -33,17 +33,18 @@ LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint
 
 def pack(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """``ranks, control, data`` of token ids."""
-    values, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-counts, kind="stable")
-    rank_of = np.empty(len(values), dtype="<u4")
-    rank_of[order] = np.arange(len(values), dtype="<u4")
-    ranks = rank_of[inverse]
+    counts = np.bincount(ids)
+    values = np.flatnonzero(counts)
+    values = values[np.argsort(-counts[values], kind="stable")]
+    rank_of = np.zeros(len(counts), dtype="<u4")
+    rank_of[values] = np.arange(len(values), dtype="<u4")
+    ranks = rank_of[ids]
     codes = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     used = np.arange(4) <= codes[:, None]
     data = ranks.view(np.uint8).reshape(-1, 4)[used]
     four = np.pad(codes, (0, -len(codes) % 4)).reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    return values[order].astype("<u4").tobytes(), control.astype(np.uint8).tobytes(), data.tobytes()
+    return values.astype("<u4").tobytes(), control.astype(np.uint8).tobytes(), data.tobytes()
 
 
 def unpack(ranks: bytes, control: bytes, data: bytes, n: int) -> np.ndarray:
