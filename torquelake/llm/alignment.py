@@ -30,12 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from torquelake.llm.common import identified, stored
-from torquelake.llm.subwords import encoder
+from torquelake.llm.subwords import SentencePieceEncoder, encoder
 
 #: A pair with more than this share of all counts is looked up in every task; there are at most 1 / HOT_PAIRS of them.
 HOT_PAIRS = 1 / 200_000
-#: Characters that are tokenized, and bytes that are multiplied, together.
-TOGETHER = 2_000_000
+#: Bytes of text whose matrices are multiplied together, so that they stay in a processor's cache.
+TOGETHER = 200_000
+#: Documents that are tokenized together.
+ENCODED = 2_000
 #: Entries that a task gathers before it passes counts on.
 GATHERED = 4_000_000
 #: Rows of a task are numbered from its partition's number times this on.
@@ -61,6 +63,12 @@ def runs(lengths: np.ndarray) -> Csr:
     return Csr(begins, np.arange(begins[-1], dtype=np.int64), int(begins[-1]))
 
 
+def transposed_runs(lengths: np.ndarray) -> Csr:
+    """The transpose of ``runs``: each row holds one column."""
+    columns = np.repeat(np.arange(len(lengths)), lengths)
+    return Csr(np.arange(len(columns) + 1), columns, len(lengths))
+
+
 def transposed(matrix: Csr) -> Csr:
     rows = np.repeat(np.arange(matrix.n_rows), np.diff(matrix.begins))
     order = np.argsort(matrix.columns, kind="stable")
@@ -76,11 +84,14 @@ def product_sizes(left: Csr, right: Csr) -> np.ndarray:
 
 def product(left: Csr, right: Csr) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows, columns and values of ``left · right``: each row adds up the rows of ``right`` that its columns name."""
-    sizes = np.diff(right.begins)[left.columns]
-    rows = np.repeat(np.repeat(np.arange(left.n_rows), np.diff(left.begins)), sizes)
-    starts = np.repeat(right.begins[:-1][left.columns] - np.cumsum(sizes) + sizes, sizes)
-    key = rows * right.n_columns + right.columns[starts + np.arange(len(rows))]
-    if len(key) and (np.diff(key) < 0).any():
+    rows = np.repeat(np.arange(left.n_rows), np.diff(left.begins))
+    if len(right.columns) == right.n_rows and (np.diff(right.begins) == 1).all():
+        key = rows * right.n_columns + right.columns[left.columns]  # one term for each column
+    else:
+        sizes = np.diff(right.begins)[left.columns]
+        starts = np.repeat(right.begins[:-1][left.columns] - np.cumsum(sizes) + sizes, sizes)
+        key = np.repeat(rows, sizes) * right.n_columns + right.columns[starts + np.arange(sizes.sum())]
+    if len(key) and (key[1:] < key[:-1]).any():
         key = np.sort(key)
     new = np.flatnonzero(np.diff(key, prepend=-1))
     return key[new] // right.n_columns, key[new] % right.n_columns, np.diff(np.append(new, len(key)))
@@ -100,11 +111,14 @@ class Aligned:
 
 def align_lengths(bytes_a: np.ndarray, bytes_b: np.ndarray) -> Aligned:
     """Align tokens by their numbers of bytes; both sides cover the same bytes."""
-    a, b = runs(bytes_a), runs(bytes_b)
-    link_a, link_b, overlap = product(a, transposed(b))
-    ends = np.intersect1d(a.begins[1:], b.begins[1:], assume_unique=True)
-    group_a = np.searchsorted(ends, a.begins[1:])
-    group_b = np.searchsorted(ends, b.begins[1:])
+    a, b_t = runs(bytes_a), transposed_runs(bytes_b)
+    link_a, link_b, overlap = product(a, b_t)
+    ends_a, ends_b = a.begins[1:], np.cumsum(bytes_b)
+    ended = np.zeros(a.n_columns + 1, dtype=bool)
+    ended[ends_a] = True
+    ends = ends_b[ended[ends_b]]
+    group_a = np.searchsorted(ends, ends_a)
+    group_b = np.searchsorted(ends, ends_b)
     return Aligned(link_a, link_b, overlap, group_a, group_b, ends)
 
 
@@ -117,46 +131,32 @@ class TokenBytes:
     """Both tokenizers, and the bytes that each of their ids stands for."""
 
     def __init__(self, path_a: str, path_b: str):
-        from sentencepiece import SentencePieceProcessor
-
-        self.codec = encoder(path_a)
-        self.pieces = SentencePieceProcessor(model_file=path_b)
+        self.a, self.b = encoder(path_a), SentencePieceEncoder(path_b)
         spelled = _byte_signs()
-        vocabulary = self.codec.tokenizer.get_vocab(True)
+        vocabulary = self.a.tokenizer.get_vocab(True)
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, ident in vocabulary.items():
             plain = all(c in spelled for c in token)
             self.bytes_a[ident] = bytes(spelled[c] for c in token) if plain else token.encode()
         self.bytes_b = []
-        for ident in range(self.pieces.get_piece_size()):
-            piece = self.pieces.id_to_piece(ident)
+        pieces = self.b.processor
+        for ident in range(pieces.get_piece_size()):
+            piece = pieces.id_to_piece(ident)
             # A byte piece is <0xHH>, U+2581 stands for a space.
-            self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(ident) else piece.replace("▁", " ").encode())
+            self.bytes_b.append(bytes([int(piece[3:5], 16)]) if pieces.is_byte(ident) else piece.replace("▁", " ").encode())
         self.size_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
-        self.names_a = [str(k) for k in range(len(self.bytes_a))]
-        self.names_b = [str(k) for k in range(len(self.bytes_b))]
-        self.dtype_a = self.codec.dtype
-        self.dtype_b = np.dtype("<u2" if len(self.bytes_b) <= 65_536 else "<u4")
+        #: How an id is written in a list of groups: before another one of its side, and as the last.
+        self.written = [f"{k}{end}" for k in range(len(self.bytes_a)) for end in ",|"] + [f"{k}{end}" for k in range(len(self.bytes_b)) for end in ",;"]
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids of both sides as the bytes of arrays; none where they don't spell a space and the text."""
         out: list[tuple[bytes, bytes]] = []
-        at = 0
-        while at < len(texts):
-            end, chars = at, 0
-            while end < len(texts) and (end == at or chars + len(texts[end]) <= TOGETHER):
-                chars += len(texts[end])
-                end += 1
-            some = texts[at:end]
-            ids_a = self.codec.encode([f" {t}" for t in some])
-            ids_b = self.pieces.encode(some, num_threads=1)
-            for text, a, b in zip(some, ids_a, ids_b, strict=True):
-                want = f" {text}".encode()
-                spelled_a = b"".join(map(self.bytes_a.__getitem__, np.frombuffer(a, dtype=self.dtype_a).tolist()))
-                good = text and spelled_a == want == b"".join(map(self.bytes_b.__getitem__, b))
-                out.append((a, np.array(b, dtype=self.dtype_b).tobytes()) if good else (b"", b""))
-            at = end
+        for text, a, b in zip(texts, self.a.encode([f" {t}" for t in texts]), self.b.encode(texts), strict=True):
+            want = f" {text}".encode()
+            spelled_a = b"".join(map(self.bytes_a.__getitem__, np.frombuffer(a, dtype=self.a.dtype).tolist()))
+            spelled_b = b"".join(map(self.bytes_b.__getitem__, np.frombuffer(b, dtype=self.b.dtype).tolist()))
+            out.append((a, b) if text and spelled_a == want == spelled_b else (b"", b""))
         return out
 
 
@@ -183,11 +183,13 @@ def encode_both(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id
         both = token_bytes(path_a, path_b)
         row = TaskContext.get().partitionId() * ROWS_A_PART
         for batch in batches:
-            found = both.encode(batch.column(1).to_pylist())
-            columns = [pa.array(np.arange(row, row + len(found), dtype=np.int64)), batch.column(0)]
-            columns += [pa.array([ids[k] for ids in found], pa.binary()) for k in (0, 1)]
-            row += len(found)
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            for first in range(0, batch.num_rows, ENCODED):
+                some = batch.slice(first, ENCODED)
+                found = both.encode(some.column(1).to_pylist())
+                columns = [pa.array(np.arange(row, row + len(found), dtype=np.int64)), some.column(0)]
+                columns += [pa.array([ids[k] for ids in found], pa.binary()) for k in (0, 1)]
+                row += len(found)
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return stored(rows.mapInArrow(encoded, schema), "alignment-ids")
 
@@ -205,12 +207,11 @@ class Block:
     @property
     def link_doc(self) -> np.ndarray:
         """The document of each link; links are in order of their documents."""
-        return np.searchsorted(self.begin_a, self.aligned.link_a, "right") - 1
+        return self.doc_a[self.aligned.link_a]
 
     @property
-    def link_pair(self) -> np.ndarray:
-        """Both ids of each link in one number."""
-        return self.ids_a[self.aligned.link_a] << 32 | self.ids_b[self.aligned.link_b]
+    def doc_a(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.begin_a) - 1), np.diff(self.begin_a))
 
 
 def blocks(batch: pa.RecordBatch, both: TokenBytes) -> Iterator[tuple[int, int, Block]]:
@@ -224,7 +225,7 @@ def blocks(batch: pa.RecordBatch, both: TokenBytes) -> Iterator[tuple[int, int,
             end += 1
         begins = []
         ids = []
-        for raw, dtype in ((raw_a[at:end], both.dtype_a), (raw_b[at:end], both.dtype_b)):
+        for raw, dtype in ((raw_a[at:end], both.a.dtype), (raw_b[at:end], both.b.dtype)):
             ids.append(np.frombuffer(b"".join(raw), dtype=dtype).astype(np.int64))
             counts = [len(r) // dtype.itemsize for r in raw]
             begins.append(np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(counts, dtype=np.int64)]))
@@ -235,11 +236,16 @@ def blocks(batch: pa.RecordBatch, both: TokenBytes) -> Iterator[tuple[int, int,
 
 def distinct_pairs(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Documents, linked pairs of ids, and how many links each stands for; sorted by both."""
-    doc, pair = block.link_doc, block.link_pair
-    order = np.lexsort((pair, doc))
-    doc, pair = doc[order], pair[order]
-    new = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(pair, prepend=-1) != 0))
-    return doc[new], pair[new], np.diff(np.append(new, len(pair)))
+    known_a, known_b = np.unique(block.ids_a), np.unique(block.ids_b)  # small numbers, so that a key fits 64 bits
+    a, b = np.searchsorted(known_a, block.ids_a), np.searchsorted(known_b, block.ids_b)
+    doc = block.link_doc
+    key = (doc * len(known_a) + a[block.aligned.link_a]) * len(known_b) + b[block.aligned.link_b]
+    key.sort()
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    links = np.diff(np.append(new, len(key)))
+    rest, b = np.divmod(key[new], max(len(known_b), 1))
+    doc, a = np.divmod(rest, max(len(known_a), 1))
+    return doc, known_a[a] << 32 | known_b[b], links
 
 
 def pair_counts(encoded: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -284,17 +290,18 @@ class Counts:
 
 
 def corpus_counts(counts: DataFrame) -> tuple[Counts, DataFrame]:
-    """The counts for all tasks, bounded by the vocabulary and 1 / HOT_PAIRS, and the table of the other pairs."""
+    """The counts for all tasks, bounded by the vocabulary and 1 / HOT_PAIRS, and the table of the other pairs, with ``_top``, the highest of their A id."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    by_a = counts.groupBy(F.shiftright("pair", 32).alias("a")).agg(F.max("n").alias("n")).collect()  # at most the vocabulary
-    best = np.zeros(max((r["a"] for r in by_a), default=0) + 1, dtype=np.int64)
-    for r in by_a:
-        best[r["a"]] = r["n"]
+    by_a = counts.groupBy(F.shiftright("pair", 32).alias("_a")).agg(F.max("n").alias("_top"))  # at most the vocabulary
+    tops = by_a.collect()
+    best = np.zeros(max((r["_a"] for r in tops), default=0) + 1, dtype=np.int64)
+    for r in tops:
+        best[r["_a"]] = r["_top"]
     hot = F.col("n") > total * HOT_PAIRS
     found = counts.filter(hot).toArrow()
     pairs, n = (found.column(k).to_numpy().astype(np.int64) for k in ("pair", "n"))
     order = np.argsort(pairs)
-    return Counts(best, pairs[order], n[order]), counts.filter(~hot)
+    return Counts(best, pairs[order], n[order]), counts.filter(~hot).withColumn("_a", F.shiftright("pair", 32)).join(F.broadcast(by_a), "_a").drop("_a")
 
 
 def _looked_up(pair: np.ndarray, known: Counts) -> np.ndarray:
@@ -305,6 +312,15 @@ def _looked_up(pair: np.ndarray, known: Counts) -> np.ndarray:
     return np.where(known.pairs[at] == pair, known.n[at], 0)
 
 
+def _per_document(n: int, doc: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+    """Number, or sum of weights, of each document's entries; they are in order of their documents."""
+    ends = np.searchsorted(doc, np.arange(n + 1))
+    if weights is None:
+        return np.diff(ends)
+    sums = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(weights, dtype=np.int64)])
+    return sums[ends[1:]] - sums[ends[:-1]]
+
+
 def align_digest(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Numbers of tokens, groups and links of every document, what the corpus says of its links, and its groups' hash.
 
@@ -317,55 +333,44 @@ def align_digest(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     id_type = encoded.schema["_id"].dataType
     numbers = ["n_a", "n_b", "n_groups", "n_links", "n_group_links", "n_best", "count_sum"]
     fields = [("_row", T.LongType()), ("_id", id_type), *((n, T.LongType()) for n in numbers), ("groups_sha256", T.StringType())]
+    fields += [("_pairs", T.ArrayType(T.LongType())), ("_links", T.ArrayType(T.LongType()))]
     schema = T.StructType([T.StructField(n, t) for n, t in fields])
 
-    def per_document(n: int, doc: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
-        if weights is None:
-            return np.bincount(doc, minlength=n).astype(np.int64)
-        sums = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(weights, dtype=np.int64)])
-        ends = np.searchsorted(doc, np.arange(n + 1))
-        return sums[ends[1:]] - sums[ends[:-1]]
-
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = token_bytes(path_a, path_b)
         for batch in batches:
             for first, end, block in blocks(batch, both):
                 n = end - first
-                of_group = np.searchsorted(block.begin_a, _first_tokens(block.aligned.group_a), "right") - 1
-                a, b = (group_incidence(g, len(of_group)) for g in (block.aligned.group_a, block.aligned.group_b))
-                doc_a = np.repeat(np.arange(n), np.diff(block.begin_a))
+                x = block.aligned
+                n_groups = len(x.group_end)
+                of_group = block.doc_a[np.flatnonzero(np.diff(x.group_a, prepend=-1))]
+                a, b = (group_incidence(g, n_groups) for g in (x.group_a, x.group_b))
                 doc, pair, links = distinct_pairs(block)
                 count = _looked_up(pair, known)
                 best = (count > 0) & (count == known.best[pair >> 32])
                 columns = [
                     np.diff(block.begin_a),
                     np.diff(block.begin_b),
-                    per_document(n, of_group),
-                    per_document(n, block.link_doc),
-                    per_document(n, doc_a, product_sizes(a, transposed(b))),
-                    per_document(n, doc, links * best),
-                    per_document(n, doc, links * count),
+                    _per_document(n, of_group),
+                    _per_document(n, block.link_doc),
+                    _per_document(n, block.doc_a, product_sizes(a, transposed(b))),
+                    _per_document(n, doc, links * best),
+                    _per_document(n, doc, links * count),
                 ]
+                left = np.flatnonzero(count == 0)
+                begins = pa.array(np.searchsorted(doc[left], np.arange(n + 1)).astype(np.int32))
+                others = [pa.ListArray.from_arrays(begins, pa.array(v[left])) for v in (pair, links)]
                 kept = [batch.column(k).slice(first, n) for k in (0, 1)]
                 hashes = pa.array(_group_hashes(block, both), pa.string())
-                yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, columns), hashes], names=schema.names)
-
-    def of_rare_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = token_bytes(path_a, path_b)
-        for batch in batches:
-            rows = batch.column(0).to_numpy()
-            for first, _, block in blocks(batch, both):
-                doc, pair, links = distinct_pairs(block)
-                left = np.flatnonzero(_looked_up(pair, known) == 0)
-                columns = [rows[first + doc[left]], pair[left], known.best[pair[left] >> 32], links[left]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["_row", "pair", "_top", "_links"])
+                yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, columns), hashes, *others], names=schema.names)
 
-    others = encoded.select("_row", "ids_a", "ids_b").mapInArrow(of_rare_pairs, "_row long, pair long, _top long, _links long")
+    rows = stored(encoded.mapInArrow(digested, schema), "alignment-rows")
+    others = rows.select("_row", F.explode(F.arrays_zip("_pairs", "_links")).alias("_x")).select("_row", F.col("_x._pairs").alias("pair"), F.col("_x._links").alias("_links"))
     sums = others.join(rare, "pair").groupBy("_row").agg(
         F.sum(F.when(F.col("n") == F.col("_top"), F.col("_links")).otherwise(0)).alias("_best"),
         F.sum(F.col("_links") * F.col("n")).alias("_sum"),
     )
-    rows = encoded.mapInArrow(digested, schema).join(sums, "_row", "left")
+    rows = rows.join(sums, "_row", "left")
     more = {"n_best": F.col("n_best") + F.coalesce("_best", F.lit(0)), "count_sum": F.col("count_sum") + F.coalesce("_sum", F.lit(0))}
     return rows.withColumns(more).select(F.col("_id").alias("doc_id"), *numbers, "groups_sha256")
 
@@ -377,17 +382,19 @@ def _first_tokens(groups: np.ndarray) -> np.ndarray:
 
 def group_texts(block: Block, both: TokenBytes) -> list[str]:
     """Each document's groups, as ``a1,a2|b1;a3|b2,b3``."""
-    names_a = list(map(both.names_a.__getitem__, block.ids_a.tolist()))
-    names_b = list(map(both.names_b.__getitem__, block.ids_b.tolist()))
-    first_a, first_b = _first_tokens(block.aligned.group_a), _first_tokens(block.aligned.group_b)
-    ends_a = [*first_a[1:].tolist(), len(names_a)]
-    ends_b = [*first_b[1:].tolist(), len(names_b)]
-    groups = [
-        f"{','.join(names_a[a:c])}|{','.join(names_b[b:d])}"
-        for a, c, b, d in zip(first_a.tolist(), ends_a, first_b.tolist(), ends_b, strict=True)
-    ] if len(names_a) else []
-    places = np.searchsorted(first_a, block.begin_a).tolist()
-    return [";".join(groups[x:y]) for x, y in zip(places, places[1:], strict=False)]
+    x = block.aligned
+    n_groups = len(x.group_end)
+    # A group's A tokens come first, then its B tokens; the last of either has another sign behind it.
+    until_a = np.cumsum(np.bincount(x.group_a, minlength=n_groups))
+    until_b = np.cumsum(np.bincount(x.group_b, minlength=n_groups))
+    order = np.empty(len(x.group_a) + len(x.group_b), dtype=np.int64)
+    last_a, last_b = (np.diff(g, append=n_groups) != 0 for g in (x.group_a, x.group_b))
+    before_b = np.concatenate([np.zeros(1, dtype=np.int64), until_b])
+    order[np.arange(len(x.group_a)) + before_b[x.group_a]] = 2 * block.ids_a + last_a
+    order[np.arange(len(x.group_b)) + until_a[x.group_b]] = 2 * (len(both.bytes_a) + block.ids_b) + last_b
+    written = list(map(both.written.__getitem__, order.tolist()))
+    at = (block.begin_a + block.begin_b).tolist()
+    return ["".join(written[a:b])[:-1] for a, b in zip(at, at[1:], strict=False)]
 
 
 def _group_hashes(block: Block, both: TokenBytes) -> list[str]:

@@ -37,6 +37,8 @@ class PieceCache:
 
     maybe_odd = _MAYBE_ODD
     dtype: np.dtype
+    opens: np.ndarray  # which ids start with a space
+    before = ""  # what joined pieces need in front
 
     def __init__(self) -> None:
         self.pieces: dict[str, bytes] = {}  # those that follow a space, without it
@@ -50,6 +52,16 @@ class PieceCache:
     def ids_of_odd(self, text: str) -> bytes:
         raise NotImplementedError
 
+    def ids_of_joined(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces without a space in them, joined by spaces and told apart by their first ids."""
+        out: list[bytes] = []
+        joined = [self.before + " ".join(pieces[k : k + JOINED]) for k in range(0, len(pieces), JOINED)]
+        for raw in self.ids_of(joined):
+            ids = np.frombuffer(raw, dtype=self.dtype)
+            at = (np.append(np.flatnonzero(self.opens[ids]), len(ids)) * self.dtype.itemsize).tolist()
+            out += [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+        return out
+
     def look_up(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces that follow a space."""
         known = self.pieces
@@ -122,6 +134,8 @@ class PieceEncoder(PieceCache):
     library makes of them by default.
     """
 
+    before = " "
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -140,20 +154,9 @@ class PieceEncoder(PieceCache):
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in encoded]
 
-    def _joined_ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces without a space in them, joined by spaces and told apart by their first ids."""
-        out: list[bytes] = []
-        joined = [" " + " ".join(pieces[k : k + JOINED]) for k in range(0, len(pieces), JOINED)]
-        for ids in map(np.frombuffer, self.ids_of(joined), [self.dtype] * len(joined)):
-            places = np.append(np.flatnonzero(self.opens[ids]), len(ids)) * self.dtype.itemsize
-            raw = ids.tobytes()
-            at = places.tolist()
-            out += [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
-        return out
-
     def ids_after_space(self, pieces: list[str]) -> list[bytes]:
         out = [b""] * len(pieces)
-        for spaced, encode in ((False, self._joined_ids), (True, lambda odd: self.ids_of([f" {p}" for p in odd]))):
+        for spaced, encode in ((False, self.ids_of_joined), (True, lambda odd: self.ids_of([f" {p}" for p in odd]))):
             places = [k for k, p in enumerate(pieces) if (" " in p) == spaced]
             for k, ids in zip(places, encode([pieces[k] for k in places]) if places else (), strict=True):
                 out[k] = ids
@@ -196,8 +199,9 @@ class SentencePieceEncoder(PieceCache):
 
         super().__init__()
         self.processor = SentencePieceProcessor(model_file=path)
-        names = map(self.processor.id_to_piece, range(self.processor.get_piece_size()))
+        names = [self.processor.id_to_piece(k) for k in range(self.processor.get_piece_size())]
         # Fixed value: U+2581 stands for a space.
+        self.opens = np.array([name.startswith("\u2581") for name in names])
         if any("\u2581" in name.lstrip("\u2581") for name in names):
             self.maybe_odd = ""
         self.dtype = np.dtype("<u2" if self.processor.get_piece_size() <= 65_536 else "<u4")
@@ -206,7 +210,7 @@ class SentencePieceEncoder(PieceCache):
         return [np.array(ids, dtype=self.dtype).tobytes() for ids in self.processor.encode(texts, num_threads=1)]
 
     def ids_after_space(self, pieces: list[str]) -> list[bytes]:
-        return self.ids_of(pieces)
+        return self.ids_of_joined(pieces)
 
     def ids_of_odd(self, text: str) -> bytes:
         return self.ids_of([text])[0]
