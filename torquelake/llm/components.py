@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from torquelake.llm.common import match, stored
+from torquelake.llm.common import match, match_hot, stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -13,18 +13,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     In a round every node takes the smallest label of its neighbours and then that node's label.
     Labels reach all of a component in about log of its diameter rounds. Minima are combined before
-    they are shuffled. Without edges the result is empty.
+    they are shuffled. A hub of many edges, and a label that many nodes have, are looked up by
+    broadcast, as there can only be few of them. Without edges the result is empty.
     """
     both = stored(edges.filter("a <> b").select("a", "b").union(edges.filter("a <> b").select("b", "a")).distinct(), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "labels")
+    first = F.least(F.first("a"), F.min("b")).alias("component")
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(first, F.count(F.lit(1)).alias("degree")), "labels")
+    n_edges, n_nodes = both.count(), labels.count()
     while True:
-        far = match(both.withColumnRenamed("b", "node"), labels, ["node"]).select(F.col("a").alias("node"), "component")
-        lower = stored(far.union(labels).groupBy("node").agg(F.min("component").alias("component")), "labels")
+        far = match_hot(both.withColumnRenamed("b", "node"), labels, ["node"], F.col("degree"), n_edges)
+        far = far.select(F.col("a").alias("node"), "component", F.lit(None).cast("long").alias("degree"))
+        lower = far.unionByName(labels).groupBy("node").agg(F.min("component").alias("component"), F.max("degree").alias("degree"))
+        lower = stored(lower, "labels")
         # The label of the label; a label is a node of the table.
-        hop = lower.select(F.col("node").alias("component"), F.col("component").alias("_next"))
-        jumped = match(lower, hop, ["component"]).select("node", F.least("component", "_next").alias("component"))
-        jumped = stored(jumped, "labels")
-        changed = match(jumped, labels.select("node", F.col("component").alias("_old")), ["node"]).filter("component <> _old")
+        users = lower.groupBy("component").agg(F.count(F.lit(1)).alias("_users"))
+        hop = match(lower.select(F.col("node").alias("component"), F.col("component").alias("_next")), users, ["component"])
+        jumped = match_hot(lower, stored(hop, "label-hops"), ["component"], F.col("_users"), n_nodes)
+        jumped = stored(jumped.select("node", F.least("component", "_next").alias("component"), "degree"), "labels")
+        changed = match(jumped.drop("degree"), labels.select("node", F.col("component").alias("_old")), ["node"]).filter("component <> _old")
         labels = jumped
         if changed.isEmpty():
-            return labels
+            return labels.drop("degree")

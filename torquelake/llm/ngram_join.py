@@ -35,7 +35,7 @@ from torquelake.llm.wordhash import U64, mix, word_hashes
 #: An n-gram is frequent if it is counted in so many documents, or in this share of all.
 FREQUENT_DOCS, FREQUENT_SHARE = 50, 0.001
 #: Sets in a cut of a block, and n-grams.
-CUT, CUT_NGRAMS = 4000, 4_000_000
+CUT, CUT_NGRAMS = 1000, 1_000_000
 #: N-grams that are worked on together.
 TOGETHER = 400_000
 DOC = ["_id", "_h"]
@@ -154,49 +154,62 @@ def frequent_ngrams(rows: DataFrame, similar: Similar, n_docs: int) -> np.ndarra
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         for batch in batches:
-            seen = [ngram_sets(g.column(0), similar.words)[0] for g in groups([batch], 0)]
-            values, counts = np.unique(np.concatenate(seen) if seen else np.zeros(0, dtype=np.uint64), return_counts=True)
-            often = counts >= 3
-            yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], names=["gram", "n"])
+            seen = np.concatenate([np.zeros(0, dtype=np.uint64), *(ngram_sets(g.column(0), similar.words)[0] for g in groups([batch], 0))])
+            for k in range(16):  # a share of the n-grams at a time, for little memory
+                values, counts = np.unique(seen[seen & U64(15) == U64(k)], return_counts=True)
+                often = counts >= 3
+                yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], names=["gram", "n"])
 
     found = rows.select("_text").mapInArrow(counted, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     often = found.filter(F.col("n") >= max(FREQUENT_DOCS, FREQUENT_SHARE * n_docs)).select("gram").toArrow()
     return np.sort(often.column("gram").to_numpy().view(np.uint64)) if often.num_rows else np.zeros(0, dtype=np.uint64)
 
 
+def condensed(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``key, node, is_pair`` of some postings: each key once, with its first set, and the pairs of that
+    set with the others of its keys.
+
+    The key of a pair is the other set, so a posting that is everywhere is one row for each call.
+    """
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
+    first = nodes[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))]
+    apart = nodes != first
+    pairs = np.unique(np.stack([nodes[apart], first[apart]], axis=1), axis=0)
+    is_pair = np.concatenate([np.zeros(int(new.sum()), dtype=bool), np.ones(len(pairs), dtype=bool)])
+    return np.concatenate([keys[new], pairs[:, 0]]), np.concatenate([nodes[new], pairs[:, 1]]), is_pair
+
+
 def _star_edges(postings: DataFrame) -> DataFrame:
     """``a, b``: sets with a common posting, each with the first of its key.
 
-    Postings are sorted by key and set over ranges, so a key that is everywhere is spread over many
-    tasks. Each task links what it sees; the first and last key of each task are linked once more
-    among the tasks, two rows for each.
+    ``key, node, is_pair`` are dealt by key. A key that is everywhere has few rows, as they were
+    condensed before; pairs pass through.
     """
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = tail = None  # key and set of the first posting; key and its first set at the end
+        tail = None  # key and its first set at the end of the batch before
         for batch in batches:
             keys, sets = (batch.column(k).to_numpy() for k in (0, 1))
-            if not len(keys):
-                continue
-            new = np.ones(len(keys), dtype=bool)
-            new[1:] = keys[1:] != keys[:-1]
-            begin = np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))
-            first = sets[begin]
-            if tail is not None and keys[0] == tail[0]:
-                first = np.where(begin == 0, tail[1], first)
-            head = head or (keys[0], sets[0])
-            tail = (keys[-1], first[-1])
-            pairs = np.unique(np.stack([sets, first], axis=1)[sets != first], axis=0)
-            out = [np.zeros(len(pairs), dtype=np.int64), pairs[:, 1], pairs[:, 0]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in out], names=["key", "a", "b"])
-        for edge in [x for x in (head, tail) if x is not None]:
-            yield pa.RecordBatch.from_arrays([pa.array([int(edge[0])]), pa.array([int(edge[1])]), pa.array([None], pa.int64())], names=["key", "a", "b"])
-
-    ranged = postings.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
-    found = stored(ranged.mapInArrow(linked, "key bigint, a bigint, b bigint"), "block-edges")
-    ends = found.filter("b IS NULL").select("key", F.col("a").alias("b"))
-    starts = ends.groupBy("key").agg(F.min("b").alias("a"))
-    return found.filter("b IS NOT NULL").select("a", "b").union(match(ends, starts, ["key"]).select("a", "b")).filter("a <> b").distinct()
+            is_pair = batch.column(2).to_numpy(zero_copy_only=False)
+            through = np.stack([keys[is_pair], sets[is_pair]], axis=1)
+            keys, sets = keys[~is_pair], sets[~is_pair]
+            first = np.zeros(0, dtype=np.int64)
+            if len(keys):
+                new = np.ones(len(keys), dtype=bool)
+                new[1:] = keys[1:] != keys[:-1]
+                begin = np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))
+                first = sets[begin]
+                if tail is not None and keys[0] == tail[0]:
+                    first = np.where(begin == 0, tail[1], first)
+                tail = (keys[-1], first[-1])
+            pairs = np.unique(np.concatenate([np.stack([sets, first], axis=1)[sets != first], through]), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (1, 0)], names=["a", "b"])
+
+    dealt = postings.repartition("key").sortWithinPartitions("key", "node")
+    return stored(dealt.mapInArrow(linked, "a bigint, b bigint"), "block-edges").filter("a <> b").distinct()
 
 
 def hits(sizes: np.ndarray, sets: list[np.ndarray], similar: Similar, rows: np.ndarray, root: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
@@ -381,14 +394,13 @@ def ngram_components(docs: DataFrame, similar: Similar = Similar(), id_col: str
         for part in groups(batches, 0):
             hashes, begin = ngram_sets(part.column(0), similar.words)
             keys, owner = part_keys(hashes, begin, similar, frequent.value)
-            nodes = node_ids(hashes, begin)[0][owner]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes)], names=["key", "node"])
+            condense = condensed(keys, node_ids(hashes, begin)[0][owner])
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, condense)), names=["key", "node", "is_pair"])
 
     signed_rows = rows.select(*DOC, "_text").mapInArrow(signed, f"_id {id_type}, _h bigint, n_shingles bigint, _low bigint, _high bigint")
     known = stored(signed_rows.withColumn("node", F.concat(F.lpad(F.hex("_low"), 16, "0"), F.lpad(F.hex("_high"), 16, "0"))), "ngram-sets")
 
-    # Postings are many times the rest, so they are made again for the sample of their ranges, not written.
-    postings = rows.select("_text").mapInArrow(posted, "key bigint, node bigint")
+    postings = rows.select("_text").mapInArrow(posted, "key bigint, node bigint, is_pair boolean")
     coarse = connected_components(_star_edges(postings)).select(F.col("node").alias("_low"), F.col("component").alias("block"))
     # One document stands for all that have its set.
     standing = known.filter("n_shingles > 0").groupBy("_low", "node").agg(
