@@ -4,9 +4,11 @@
 2. Blocks. If two sets are similar, at most ``d`` n-grams are in one of them only, ``d`` following
    from their sizes. All n-grams are dealt over ``d + 1 + spare`` parts, so the two sets are the
    same in at least ``1 + spare`` parts. Each set is posted under the content of its parts, and sets
-   that share a posting, directly or through others, form a block. A part without any n-gram
-   that is rare in the corpus is left out unless a set has more than ``spare`` of them; so passages
-   that many documents share don't pull unlike documents into a block.
+   that share a posting, directly or through others, form a block. Of its parts a set leaves out the
+   ``spare`` weakest: those with the fewest n-grams that are rare in the corpus, ties by key. Two similar
+   sets share ``1 + spare`` parts at least; at most ``spare`` of them are as weak as the strongest that either leaves
+   out, so one is posted by both. Passages that many documents share hardly ever make up a
+   strong part, so they pull few unlike documents into a block.
 3. Product. Within a block, overlap counts are summed up along inverted lists, for pairs whose sizes
    allow the similarity, and compared with the exact bound. Pairs that are connected
    already are not looked at, and only links that connect something new leave a task. A large block
@@ -33,7 +35,7 @@ from torquelake.llm.subwords import forget
 from torquelake.llm.wordhash import U64, mix, word_hashes
 
 #: An n-gram is frequent if it is counted in so many documents, or in this share of all.
-FREQUENT_DOCS, FREQUENT_SHARE = 50, 0.001
+FREQUENT_DOCS, FREQUENT_SHARE = 10, 0.0001
 #: Sets in a cut of a block, and n-grams.
 CUT, CUT_NGRAMS = 1000, 1_000_000
 #: N-grams that are worked on together.
@@ -119,7 +121,7 @@ def part_keys(hashes: np.ndarray, begin: np.ndarray, similar: Similar, frequent:
     ids, label, apart = ids[apart > 0], label[apart > 0], apart[apart > 0]  # else only equal sets are linked
     if not len(ids):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    spare = np.maximum(3, apart // 6)
+    spare = np.maximum(3, apart)
     parts = apart + 1 + spare
     base = np.cumsum(parts) - parts
     count = sizes[ids]
@@ -133,20 +135,20 @@ def part_keys(hashes: np.ndarray, begin: np.ndarray, similar: Similar, frequent:
     order = np.argsort(slot, kind="stable")
     cuts = np.searchsorted(slot[order], np.arange(parts.sum() + 1))
     content = _sums(mix(values[order] ^ U64(0x77777)), cuts)
-    weak = _sums(rare[order].astype(np.uint64), cuts) == 0
+    n_rare = _sums(rare[order].astype(np.uint64), cuts)
     owner = np.repeat(np.arange(len(ids)), parts)
-    n_weak = np.bincount(owner[weak], minlength=len(ids))
-    posted = ~weak | (n_weak > spare)[owner]
     number = np.arange(parts.sum()) - base[owner]
     place = label[owner].astype(np.uint64) * U64(1 << 40) + number.astype(np.uint64)
     keys = mix(content + mix(place + U64(0xABCDEF)))
+    ranked = np.lexsort((keys, n_rare, owner))  # the weakest parts of each set come first
+    posted = ranked[number >= spare[owner]]
     return keys[posted].view(np.int64), ids[owner[posted]]
 
 
 def frequent_ngrams(rows: DataFrame, similar: Similar, n_docs: int) -> np.ndarray:
     """Sorted hashes of n-grams that are in many documents.
 
-    A task only reports n-grams that it meets three times or more, so the counts are lower bounds; the
+    A task only reports n-grams that it meets twice or more, so the counts are lower bounds; the
     choice changes how much is compared, not what is found. There are at most ``1 / FREQUENT_SHARE``
     times the n-grams of an average document, however many documents there are.
     """
@@ -157,7 +159,7 @@ def frequent_ngrams(rows: DataFrame, similar: Similar, n_docs: int) -> np.ndarra
             seen = np.concatenate([np.zeros(0, dtype=np.uint64), *(ngram_sets(g.column(0), similar.words)[0] for g in groups([batch], 0))])
             for k in range(16):  # a share of the n-grams at a time, for little memory
                 values, counts = np.unique(seen[seen & U64(15) == U64(k)], return_counts=True)
-                often = counts >= 3
+                often = counts >= 2
                 yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], names=["gram", "n"])
 
     found = rows.select("_text").mapInArrow(counted, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
