@@ -73,6 +73,10 @@ class Settings:
     expire_retain_last: int = 10
     orphan_days: int = 1
 
+    def hot_share_of(self, partitions: int) -> float:
+        """From which share of the rows on a key is hot: at most what a task has in the mean."""
+        return min(self.hot_share, 1 / max(partitions, 1))
+
     def table_location(self, schema: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/data/{schema}/{table}"
 

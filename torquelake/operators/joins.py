@@ -56,5 +56,6 @@ def left_join_dimension(facts: DataFrame, dimension: Dimension, settings: Settin
     if dimension.fits_broadcast(settings):
         return facts.join(F.broadcast(dimension.frame), dimension.key, "left")
     if not facts.isStreaming and dimension.hot_keys is None:
-        dimension = dimension.with_hot_keys(hot_keys(facts, dimension.key, settings.hot_share))
+        partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dimension = dimension.with_hot_keys(hot_keys(facts, dimension.key, settings.hot_share_of(partitions)))
     return spread_left_join(facts, dimension, settings)

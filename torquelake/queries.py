@@ -18,6 +18,7 @@ from torquelake.operators import reports
 from torquelake.operators.alerts import alert_reasons, flag_alerts, only_alerts
 from torquelake.operators.dimension import Dimension, measured
 from torquelake.operators.enrich import enrich
+from torquelake.operators.frames import trailing_frame
 from torquelake.operators.integrity import dim_integrity
 from torquelake.operators.joins import hot_keys, left_join_dimension
 from torquelake.operators.windows import alert_window_agg
@@ -401,15 +402,16 @@ def sql_distinct_aggregates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sql_moving_frame(spark: SparkSession, folder: str) -> DataFrame:
-    """The last five events of a car on a day; the day splits a car that has most of the events."""
-    return _sql(
-        spark,
-        """SELECT event_id, car_id, count(speed) OVER w AS num_of_speeds, max(speed) OVER w AS maximum_speed,
-                  sum(rpm) OVER w AS sum_of_rpm
-           FROM {sensors} WINDOW w AS (PARTITION BY car_id, CAST(event_time AS DATE)
-             ORDER BY event_time, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
-        sensors=given.given_sensors(spark, folder),
-    )
+    """The last five events of a car on a day; a car with many of the events is split by time."""
+    sensors = given.given_sensors(spark, folder).withColumn("day", F.to_date("event_time"))
+    values = {
+        "num_of_speeds": F.count("speed").over,
+        "maximum_speed": F.max("speed").over,
+        "sum_of_rpm": F.sum("rpm").over,
+    }
+    rows = sensors.select("event_id", "car_id", "event_time", "day", "speed", "rpm")
+    framed = trailing_frame(rows, ["car_id", "day"], ["event_time", "event_id"], 4, values, SETTINGS)
+    return framed.select("event_id", "car_id", *values)
 
 
 def compacted_table(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,10 +14,11 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from torquelake import config
 from torquelake.config import Settings, session_options
+from torquelake.operators.heavy import KEY, ROWS, TOTAL, key_summary
 from torquelake.schemas import (
     CAR_SCHEMA,
     COLOR_SCHEMA,
@@ -29,6 +30,7 @@ from torquelake.schemas import (
 )
 
 LOAD = "load"
+SUMMARY_COLUMNS = StructType([StructField(KEY, StringType()), StructField(ROWS, LongType()), StructField(TOTAL, LongType())])
 BATCH_DIGITS = 12
 
 
@@ -153,8 +155,11 @@ def load_name(query_id: str, batch_id: int) -> str:
     return f"{query_id}-{batch_id:0{BATCH_DIGITS}d}"
 
 
-def table_sink(frame: DataFrame, table: Table, settings: Settings, query: str) -> DataStreamWriter:
-    """Writer that appends a stream to a day-partitioned table, each row once."""
+def table_sink(frame: DataFrame, table: Table, settings: Settings, query: str, summed_key: str | None = None) -> DataStreamWriter:
+    """Writer that appends a stream to a day-partitioned table, each row once.
+
+    With ``summed_key`` a summary of the frequent values of that column is kept with every load.
+    """
     writer = (
         frame.writeStream.queryName(query)
         .outputMode("append")
@@ -165,7 +170,10 @@ def table_sink(frame: DataFrame, table: Table, settings: Settings, query: str) -
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_load(batch, table, settings, load_name(query_id, batch_id))
+        load = load_name(query_id, batch_id)
+        write_load(batch, table, settings, load)
+        if summed_key:
+            write_summary(batch.sparkSession, table, settings, load, summed_key)
 
     return writer.foreachBatch(write_batch)
 
@@ -176,6 +184,38 @@ def start_table_sink(writer: DataStreamWriter, table: Table, settings: Settings)
     return writer.start()
 
 
+def exists(spark: SparkSession, location: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def table_exists(spark: SparkSession, table: Table, settings: Settings) -> bool:
+    if settings.catalogued or settings.table_format == "iceberg":
+        return spark.catalog.tableExists(table.full_name(settings))
+    return exists(spark, table.location(settings))
+
+
+def summary_location(table: Table, settings: Settings, key: str) -> str:
+    return f"{settings.root.rstrip('/')}/summaries/{table.schema}/{table.name}/{key}"
+
+
+def write_summary(spark: SparkSession, table: Table, settings: Settings, load: str, key: str) -> None:
+    """The frequent keys of a load beside the table, from the one column of what was written; a repeated load replaces its own."""
+    if settings.catalogued:
+        rows = spark.table(table.full_name(settings)).filter(F.col(LOAD) == load)
+    else:
+        rows = spark.read.schema(table.stored_columns(settings)).parquet(load_location(table, settings, load))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    summary = key_summary(rows.select(key), key, settings.hot_share_of(partitions))
+    summary.coalesce(1).write.mode("overwrite").parquet(f"{summary_location(table, settings, key)}/{LOAD}={load}")
+
+
+def read_summaries(spark: SparkSession, table: Table, settings: Settings, key: str) -> DataFrame | None:
+    """The summaries of all loads, None if no load has one."""
+    location = summary_location(table, settings, key)
+    return spark.read.schema(SUMMARY_COLUMNS).parquet(location) if exists(spark, location) else None
+
+
 def read_table(
     spark: SparkSession, table: Table, settings: Settings, first: date | None = None, last: date | None = None
 ) -> DataFrame:

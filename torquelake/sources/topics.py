@@ -6,7 +6,6 @@ query has written to a folder, Spark reads only the files that query has recorde
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -29,15 +28,18 @@ def kafka_write_options(topic: str, settings: Settings) -> dict[str, str]:
     return {"kafka.bootstrap.servers": settings.kafka_servers, "topic": topic}
 
 
+def topic_exists(spark: SparkSession, topic: str, settings: Settings) -> bool:
+    """Whether a file topic has a folder; Kafka makes topics itself."""
+    if settings.topic_format != "files":
+        return True
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(settings.topic_location(topic))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def ensure_topic(spark: SparkSession, topic: str, settings: Settings) -> None:
     """Make the folder of a file topic if it is absent, so that it can be read before the first message."""
-    if settings.topic_format != "files":
-        return
-    location = settings.topic_location(topic)
-    try:
-        spark.read.text(location)
-    except AnalysisException:
-        spark.createDataFrame([], "value string").write.mode("append").text(location)
+    if not topic_exists(spark, topic, settings):
+        spark.createDataFrame([], "value string").write.mode("append").text(settings.topic_location(topic))
 
 
 def topic_source(spark: SparkSession, topic: str, settings: Settings, starting: str = "earliest") -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 from contextlib import nullcontext
 from dataclasses import replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -21,6 +20,7 @@ from torquelake.functions.payload import parse_payload, raw_capture, to_payload
 from torquelake.operators.alerts import flag_alerts, only_alerts
 from torquelake.operators.dimension import Dimension, measured
 from torquelake.operators.enrich import car_dimension, enrich
+from torquelake.operators.heavy import merged_hot_keys
 from torquelake.operators.joins import hot_keys
 from torquelake.operators.windows import alert_window_agg
 from torquelake.schemas import ENRICHED_SCHEMA, SENSOR_SCHEMA
@@ -34,12 +34,14 @@ from torquelake.sources.tables import (
     SUMMARY,
     create_table,
     load_name,
+    read_summaries,
     read_table,
     start_table_sink,
+    table_exists,
     table_sink,
     write_load,
 )
-from torquelake.sources.topics import ensure_topic, topic_sink, topic_source, write_topic
+from torquelake.sources.topics import ensure_topic, topic_batch, topic_exists, topic_sink, topic_source, write_topic
 from torquelake.streaming.notify import notification_rows
 
 # Names of the queries; also the names of their checkpoint folders.
@@ -67,12 +69,21 @@ def load_dimension(spark: SparkSession, settings: Settings) -> Dimension:
 
 
 def known_hot_cars(spark: SparkSession, settings: Settings) -> tuple | None:
-    """Cars with many events in the fact table so far; None if there is no such table yet."""
-    try:
-        history = read_table(spark, ENRICHED, settings)
-    except AnalysisException:
-        return None
-    return hot_keys(history, "car_id", settings.hot_share)
+    """Cars with many events, from the first micro-batch on.
+
+    The summaries that the fact table's loads keep are merged, without reading the facts. A table
+    from before there were any is looked through once. With no facts yet, the messages that wait in the
+    sensor topic are, as the first micro-batch will read them. None if there is nothing of all that.
+    """
+    share = settings.hot_share_of(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    summaries = read_summaries(spark, ENRICHED, settings, "car_id")
+    if summaries is not None:
+        return tuple(map(int, merged_hot_keys(summaries, share)))
+    if table_exists(spark, ENRICHED, settings):
+        return hot_keys(read_table(spark, ENRICHED, settings), "car_id", share)
+    if topic_exists(spark, config.TOPIC_SENSORS, settings):
+        return hot_keys(parse_payload(topic_batch(spark, config.TOPIC_SENSORS, settings), SENSOR_SCHEMA), "car_id", share)
+    return None
 
 
 def _kept_profile(spark: SparkSession, settings: Settings) -> Dimension:
@@ -153,7 +164,7 @@ def start_flag_table(spark: SparkSession, settings: Settings, once: bool = False
     ensure_topic(spark, config.TOPIC_ENRICHED, settings)
     _make_table(spark, ENRICHED, settings)
     rows = flagged_stream(topic_source(spark, config.TOPIC_ENRICHED, settings), settings)
-    sink = _paced(table_sink(rows, ENRICHED, settings, FLAG_TABLE), once, settings.table_trigger)
+    sink = _paced(table_sink(rows, ENRICHED, settings, FLAG_TABLE, "car_id"), once, settings.table_trigger)
     return start_table_sink(sink, ENRICHED, settings)
 
 
