@@ -18,7 +18,7 @@ def texts(extra):
 
 
 def test_byte_level(monkeypatch):
-    monkeypatch.setattr(subwords, "REMEMBERED", 300)
+    monkeypatch.setattr(subwords, "REMEMBERED", 300)  # read when a cache is made
     monkeypatch.setattr(subwords, "TOGETHER", 2000)
     path = public_tokenizers.path("byte_bpe_50k.json")
     codec, library = subwords.PieceEncoder(path), Tokenizer.from_file(path)

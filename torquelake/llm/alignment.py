@@ -29,17 +29,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from torquelake.config import session_options
 from torquelake.llm.common import identified, stored
-from torquelake.llm.subwords import SentencePieceEncoder, encoder
+from torquelake.llm.subwords import PieceEncoder, SentencePieceEncoder
 
 #: A pair with more than this share of all counts is looked up in every task; there are at most 1 / HOT_PAIRS of them.
 HOT_PAIRS = 1 / 200_000
 #: Bytes of text whose matrices are multiplied together, so that they stay in a processor's cache.
 TOGETHER = 200_000
 #: Documents that are tokenized together.
-ENCODED = 2_000
+ENCODED = 1_000
 #: Entries that a task gathers before it passes counts on.
-GATHERED = 4_000_000
+GATHERED = 1_000_000
+#: Pieces that are remembered for each side, and rows that come to a task at a time.
+REMEMBERED, ROWS_AT_ONCE = 200_000, 2_000
 #: Rows of a task are numbered from its partition's number times this on.
 ROWS_A_PART = 1 << 33
 
@@ -131,7 +134,8 @@ class TokenBytes:
     """Both tokenizers, and the bytes that each of their ids stands for."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = encoder(path_a), SentencePieceEncoder(path_b)
+        self.a, self.b = PieceEncoder(path_a), SentencePieceEncoder(path_b)
+        self.a.remembered = self.b.remembered = REMEMBERED
         spelled = _byte_signs()
         vocabulary = self.a.tokenizer.get_vocab(True)
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
@@ -149,6 +153,13 @@ class TokenBytes:
         #: How an id is written in a list of groups: before another one of its side, and as the last.
         self.written = [f"{k}{end}" for k in range(len(self.bytes_a)) for end in ",|"] + [f"{k}{end}" for k in range(len(self.bytes_b)) for end in ",;"]
 
+    def without_pieces(self) -> TokenBytes:
+        """For tasks that tokenize nothing: what was remembered is given back."""
+        self.a.pieces.clear()
+        self.b.pieces.clear()
+        pa.default_memory_pool().release_unused()
+        return self
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids of both sides as the bytes of arrays; none where they don't spell a space and the text."""
         out: list[tuple[bytes, bytes]] = []
@@ -252,7 +263,7 @@ def pair_counts(encoded: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``pair, n``: in how many documents each pair of ids is linked, written; tasks count before the shuffle."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = token_bytes(path_a, path_b)
+        both = token_bytes(path_a, path_b).without_pieces()
         pairs = np.zeros(0, dtype=np.int64)
         counts = np.zeros(0, dtype=np.int64)
         held: list[np.ndarray] = []
@@ -328,6 +339,11 @@ def align_digest(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     counts links whose pair is in as many documents as any pair of its A id, ``count_sum`` adds up the
     documents of all links' pairs, ``n_group_links`` counts pairs of tokens that share a group.
     """
+    with session_options(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(ROWS_AT_ONCE)}):
+        return _align_digest(docs, path_a, path_b)
+
+
+def _align_digest(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     encoded = encode_both(docs, path_a, path_b)
     known, rare = corpus_counts(pair_counts(encoded, path_a, path_b))
     id_type = encoded.schema["_id"].dataType
@@ -337,7 +353,7 @@ def align_digest(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     schema = T.StructType([T.StructField(n, t) for n, t in fields])
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = token_bytes(path_a, path_b)
+        both = token_bytes(path_a, path_b).without_pieces()
         for batch in batches:
             for first, end, block in blocks(batch, both):
                 n = end - first
@@ -414,7 +430,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "do
     schema = T.StructType([T.StructField("doc_id", encoded.schema["_id"].dataType), *(T.StructField(n, T.ArrayType(t)) for n, t in lists)])
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = token_bytes(path_a, path_b)
+        both = token_bytes(path_a, path_b).without_pieces()
 
         def structs(begins: np.ndarray, columns: dict[str, np.ndarray]) -> pa.Array:
             values = pa.StructArray.from_arrays([pa.array(c.astype(np.int32)) for c in columns.values()], names=list(columns))

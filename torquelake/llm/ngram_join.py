@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from torquelake.config import session_options
 from torquelake.llm.common import identified, match, match_few, match_hot, stored
 from torquelake.llm.components import connected_components
 from torquelake.llm.subwords import forget
@@ -39,7 +40,9 @@ FREQUENT_DOCS, FREQUENT_SHARE = 10, 0.0001
 #: Sets in a cut of a block, and n-grams.
 CUT, CUT_NGRAMS = 1000, 1_000_000
 #: N-grams that are worked on together.
-TOGETHER = 400_000
+TOGETHER = 100_000
+#: N-grams that a task counts together, and rows that come to a task at a time.
+COUNTED, ROWS_AT_ONCE = 4_000_000, 2_000
 DOC = ["_id", "_h"]
 
 
@@ -155,12 +158,21 @@ def frequent_ngrams(rows: DataFrame, similar: Similar, n_docs: int) -> np.ndarra
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        for batch in batches:
-            seen = np.concatenate([np.zeros(0, dtype=np.uint64), *(ngram_sets(g.column(0), similar.words)[0] for g in groups([batch], 0))])
+        held: list[np.ndarray] = []
+
+        def often() -> Iterator[pa.RecordBatch]:
+            seen = np.concatenate([np.zeros(0, dtype=np.uint64), *held])
             for k in range(16):  # a share of the n-grams at a time, for little memory
                 values, counts = np.unique(seen[seen & U64(15) == U64(k)], return_counts=True)
-                often = counts >= 2
-                yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], names=["gram", "n"])
+                again = counts >= 2
+                yield pa.RecordBatch.from_arrays([pa.array(values[again].view(np.int64)), pa.array(counts[again])], names=["gram", "n"])
+
+        for part in groups(batches, 0):
+            held.append(ngram_sets(part.column(0), similar.words)[0])
+            if sum(map(len, held)) >= COUNTED:
+                yield from often()
+                held.clear()
+        yield from often()
 
     found = rows.select("_text").mapInArrow(counted, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     often = found.filter(F.col("n") >= max(FREQUENT_DOCS, FREQUENT_SHARE * n_docs)).select("gram").toArrow()
@@ -378,6 +390,11 @@ def ngram_components(docs: DataFrame, similar: Similar = Similar(), id_col: str
     are. Null ids never become a component's id unless it has no other. An empty table gives an
     empty result; other columns are left out.
     """
+    with session_options(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(ROWS_AT_ONCE)}):
+        return _ngram_components(docs, similar, id_col, text_col, counted)
+
+
+def _ngram_components(docs: DataFrame, similar: Similar, id_col: str, text_col: str, counted: bool) -> DataFrame:
     rows = identified(docs, id_col, text_col)
     n_docs = rows.count()
     frequent = rows.sparkSession.sparkContext.broadcast(frequent_ngrams(rows, similar, n_docs))

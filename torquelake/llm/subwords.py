@@ -42,6 +42,7 @@ class PieceCache:
 
     def __init__(self) -> None:
         self.pieces: dict[str, bytes] = {}  # those that follow a space, without it
+        self.remembered = REMEMBERED
 
     def ids_of(self, texts: list[str]) -> list[bytes]:
         raise NotImplementedError
@@ -65,8 +66,8 @@ class PieceCache:
     def look_up(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces that follow a space."""
         known = self.pieces
-        if len(known) > REMEMBERED:  # frequent pieces come early, so the first half stays
-            for piece in list(known)[REMEMBERED // 2 :]:
+        if len(known) > self.remembered:  # frequent pieces come early, so the first half stays
+            for piece in list(known)[self.remembered // 2 :]:
                 del known[piece]
         ids = list(map(known.get, pieces))
         new = [k for k, found in enumerate(ids) if found is None]
