@@ -38,7 +38,7 @@ from torquelake.llm.wordhash import U64, mix, word_hashes
 #: An n-gram is frequent if it is counted in so many documents, or in this share of all.
 FREQUENT_DOCS, FREQUENT_SHARE = 10, 0.0001
 #: Sets in a cut of a block, and n-grams.
-CUT, CUT_NGRAMS = 1000, 1_000_000
+CUT, CUT_NGRAMS = 1000, 500_000
 #: N-grams that are worked on together.
 TOGETHER = 100_000
 #: N-grams that a task counts together, and rows that come to a task at a time.
@@ -274,6 +274,7 @@ def _count(similar: Similar):
     and the number of rows that it is linked with."""
 
     def count(table: pa.Table) -> pa.Table:
+        forget()
         sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("grams").to_pylist()]
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
         order = np.argsort(sizes, kind="stable")
@@ -297,6 +298,7 @@ def _compare(similar: Similar, rows_only: bool):
     """Links of one cut of a block: each set with the first one that it is connected to."""
 
     def compare(table: pa.Table) -> pa.Table:
+        forget()
         node, root = table.column("node").to_pylist(), table.column("root").to_pylist()
         sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("grams").to_pylist()]
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -327,6 +329,7 @@ def _linked_nodes(blocks: DataFrame, similar: Similar, rows: DataFrame, counted:
     texts = match_few(rows, members, DOC, members.count())
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for part in groups(batches, 0):
             hashes, begin = ngram_sets(part.column(0), similar.words)
             raw = [hashes[a:b].tobytes() for a, b in zip(begin, begin[1:], strict=False)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from functools import lru_cache
 
@@ -224,6 +225,9 @@ def encoder(path: str) -> PieceEncoder:
 
 
 def forget() -> None:
-    """Give the memory of remembered pieces back; for workers that turn to other work."""
+    """Give the memory of remembered pieces and of earlier work back; for workers that turn to other work."""
     encoder.cache_clear()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
