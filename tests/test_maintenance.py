@@ -1,6 +1,6 @@
 import re
 from dataclasses import replace
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from conftest import SMALL
@@ -122,8 +122,9 @@ def test_maintenance_merges_then_removes(spark, fragmented):
     after = unzoned(tables.read_table(spark, table, settings))
     assert after.count() == 3000 and after.exceptAll(before).count() == 0
 
-    later = now + timedelta(days=2)
+    later = now + timedelta(days=4)
     assert maintenance.table_orphans(spark, table, settings, now).count() == 0
+    assert maintenance.table_orphans(spark, table, settings, now + timedelta(days=2)).count() == 0  # may still be read
     orphans = maintenance.table_orphans(spark, table, settings, later).count()
     assert orphans >= told["folders to merge"]
     maintenance.maintain(spark, table, settings, later, apply=True)
@@ -132,6 +133,48 @@ def test_maintenance_merges_then_removes(spark, fragmented):
     before.unpersist()
 
 
+def test_a_reader_keeps_the_files_that_it_has_listed(spark, fragmented):
+    """Files older than a day are merged by a run; a query planned before it still finds them."""
+    table, settings = fragmented
+    at = datetime.now(UTC).replace(tzinfo=None) + timedelta(days=10)
+    reader = tables.read_table(spark, table, settings)
+    old = set(reader.inputFiles())  # listed now
+    report = {row.step: row.items for row in maintenance.maintain(spark, table, settings, at, apply=True).collect()}
+    assert report["folders merged"] > 0 and report["orphan files removed"] == 0
+    assert reader.count() == 3000
+    just = at + timedelta(days=settings.expire_days)
+    assert maintenance.table_orphans(spark, table, settings, just).count() == 0
+    after = just + timedelta(seconds=1)
+    gone = {re.sub("^file:/+", "file:///", row.path) for row in maintenance.table_orphans(spark, table, settings, after).collect()}
+    assert gone and gone <= old
+    # A merge that ends later is counted from its own time.
+    assert maintenance.folders_still_read(spark, table, settings, after).count() == 0
+    report = {row.step: row.items for row in maintenance.maintain(spark, table, settings, after, apply=True).collect()}
+    assert report["orphan files removed"] == len(gone)
+    assert tables.read_table(spark, table, settings).count() == 3000
+
+
+def test_listing_is_made_by_executors(spark, tmp_path, capsys):
+    want = {}
+    for name in ("a.parquet", "load=1/b.parquet", "load=1/day=x y/c.parquet", "load=2/day=%3A/deep/er/d.parquet"):
+        file = tmp_path / "t" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(b"x" * (len(want) + 1))
+        want[f"file:{file}"] = len(want) + 1
+    (tmp_path / "t" / "load=1" / "note.txt").write_text("no data")
+    listing = maintenance.storage_listing(spark, str(tmp_path / "t"))
+    listing.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("MapInArrow") == 3 and plan.count("hashpartitioning(path") == 2 and "FileScan" not in plan
+    assert {row.path: row.bytes for row in listing.collect()} == want
+    # As Spark's own listing has them, times too.
+    own = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    own = own.load(str(tmp_path / "t")).selectExpr("path", "length", "date_trunc('second', modificationTime)")
+    seconds = listing.selectExpr("path", "bytes", "date_trunc('second', modified_at)")
+    assert sorted(map(tuple, seconds.collect())) == sorted(map(tuple, own.collect()))
+    assert maintenance.storage_listing(spark, str(tmp_path / "absent")).count() == 0
+
+
 @pytest.mark.parametrize("lost", ["SET", "ADD", "DROP", "UNSET"])
 def test_lost_compaction_is_completed_by_the_next(spark, fragmented, monkeypatch, lost):
     """The run ends right after one of its statements, the first time that it is made."""

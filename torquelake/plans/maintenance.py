@@ -7,21 +7,29 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable, Iterator
-from datetime import datetime, timedelta
+from collections.abc import Callable, Iterable, Iterator
+from datetime import UTC, datetime, timedelta
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from torquelake.config import Settings
 from torquelake.functions.scalars import cutoff
-from torquelake.sources.tables import BATCH_DIGITS, LOAD, Table, load_location
+from torquelake.sources.tables import BATCH_DIGITS, LOAD, Table, exists, load_location
 
 # Partitions named in one catalog statement.
 STATEMENT_PARTITIONS = 500
+# Columns of the log of replaced folders; times in UTC.
+DEREFERENCED = "folder string, dereferenced_at timestamp_ntz"
 # Property of a table while a merged load takes the place of others.
 OPEN_COMPACTION = "torquelake.compaction.open"
+# Storage that executors can list: levels of folders that are dealt over tasks, and rows of a batch.
+LISTED_SCHEMES = ("file", "hdfs", "viewfs", "s3", "s3a", "s3n", "gs")
+LISTED_LEVELS, LISTED_TOGETHER = 3, 10_000
+FOUND = pa.schema([("path", pa.string()), ("is_folder", pa.bool_()), ("bytes", pa.int64()), ("micros", pa.int64())])
 # Folder name of rows without a day.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
@@ -109,15 +117,75 @@ def iceberg_maintenance_sql(table: Table, settings: Settings, as_of: datetime) -
 # Parquet: the catalog's partitions say which folders belong to a table.
 
 
+def _file_system(location: str):
+    """The file system of a location, the path in it, and what stands before a path in Spark's form."""
+    from pyarrow import fs
+
+    if "://" not in location or location.startswith("file:"):
+        return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", location), "file:"
+    if re.match(r"s3[an]?:", location):
+        system, path = fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", location))
+        return system, path, re.match(r"s3[an]?://", location).group()
+    system, path = fs.FileSystem.from_uri(location)
+    return system, path, location.removesuffix(path)
+
+
+def _children(recursive: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What the folders among the rows of a listing hold; the files among them pass through."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            files = batch.filter(pc.invert(batch.column("is_folder")))
+            yield pa.RecordBatch.from_arrays(files.columns, schema=FOUND)
+            for location in batch.filter(batch.column("is_folder")).column("path").to_pylist():
+                system, path, before = _file_system(location)
+                found = system.get_file_info(fs.FileSelector(path, allow_not_found=True, recursive=recursive))
+                for first in range(0, len(found), LISTED_TOGETHER):
+                    part = found[first : first + LISTED_TOGETHER]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([before + info.path for info in part], pa.string()),
+                            pa.array([info.type == fs.FileType.Directory for info in part], pa.bool_()),
+                            pa.array([info.size for info in part], pa.int64()),
+                            pa.array([info.mtime_ns and info.mtime_ns // 1000 for info in part], pa.int64()),
+                        ],
+                        schema=FOUND,
+                    )
+
+    return listed
+
+
 def storage_listing(spark: SparkSession, location: str) -> DataFrame:
-    """The Parquet files below a folder; their contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(location)
-        .select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified_at"))
+    """``path, bytes, modified_at`` of the Parquet files below a folder; their contents are not read.
+
+    Executors list the folders, one level after the other: the loads, their days, and what is below.
+    Each level is dealt over all tasks, so neither the driver nor a task sees more than the names
+    in single folders. A folder that is gone, or goes meanwhile, has no files. Storage without a
+    file system in Arrow is listed by Spark.
+    """
+    scheme = location.split(":", 1)[0] if "://" in location or location.startswith("file:") else "file"
+    if scheme not in LISTED_SCHEMES:
+        return (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .load(location)
+            .select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified_at"))
+        )
+    rows = spark.range(1, numPartitions=1).select(
+        F.lit(location.rstrip("/")).alias("path"),
+        F.lit(True).alias("is_folder"),
+        F.lit(None).cast("bigint").alias("bytes"),
+        F.lit(None).cast("bigint").alias("micros"),
     )
+    for level in range(LISTED_LEVELS):
+        last = level == LISTED_LEVELS - 1
+        rows = rows.mapInArrow(_children(recursive=last), rows.schema)
+        rows = rows if last else rows.repartition("path")
+    data = ~F.col("is_folder") & F.col("path").endswith(".parquet")
+    return rows.filter(data).select("path", "bytes", F.timestamp_micros("micros").alias("modified_at"))
 
 
 def table_listing(spark: SparkSession, table: Table, settings: Settings) -> DataFrame:
@@ -192,6 +260,28 @@ def _intent_location(table: Table, settings: Settings, load: str) -> str:
     return f"{settings.root.rstrip('/')}/maintenance/{table.schema}/{table.name}/{load}"
 
 
+def _dereferenced_location(table: Table, settings: Settings) -> str:
+    """The log of folders that the catalog has let go, with the time of it."""
+    return f"{settings.root.rstrip('/')}/maintenance/{table.schema}/{table.name}/dereferenced"
+
+
+def _log_dereferenced(replaced: list[Row], table: Table, settings: Settings, load: str, as_of: datetime, spark: SparkSession) -> None:
+    """Write down when folders are let go, before they are; the same exchange made again has its later time."""
+    rows = spark.createDataFrame(
+        [(f"{LOAD}={row[LOAD]}/{table.day_column}={row.partition}", as_of) for row in replaced], DEREFERENCED
+    )
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{_dereferenced_location(table, settings)}/{load}")
+
+
+def folders_still_read(spark: SparkSession, table: Table, settings: Settings, as_of: datetime) -> DataFrame:
+    """``folder`` of what was let go less than ``expire_days`` ago: a query planned before may still read it."""
+    location = _dereferenced_location(table, settings)
+    if not exists(spark, location):
+        return spark.createDataFrame([], "folder string")
+    log = spark.read.schema(DEREFERENCED).option("recursiveFileLookup", "true").parquet(location)
+    return log.filter(F.col("dereferenced_at") >= cutoff(as_of, settings.expire_days)).select("folder").distinct()
+
+
 def open_compaction(spark: SparkSession, table: Table, settings: Settings) -> str | None:
     """The merged load whose registration has begun and not ended."""
     rows = spark.sql(f"SHOW TBLPROPERTIES {table.full_name(settings)}").filter(F.col("key") == OPEN_COMPACTION)
@@ -199,10 +289,10 @@ def open_compaction(spark: SparkSession, table: Table, settings: Settings) -> st
     return found.value if found else None
 
 
-def finish_compaction(spark: SparkSession, table: Table, settings: Settings) -> int:
+def finish_compaction(spark: SparkSession, table: Table, settings: Settings, as_of: datetime | None = None) -> int:
     """Complete an open compaction: register the merged load, drop what it replaces; both may be repeated.
 
-    The merged rows were complete when the intent was written, so going forward is always right.
+    ``as_of``, in UTC and by default now, is when the replaced folders are let go. The merged rows were complete when the intent was written, so going forward is always right.
     """
     load, name = open_compaction(spark, table, settings), table.full_name(settings)
     if load is None:
@@ -210,6 +300,7 @@ def finish_compaction(spark: SparkSession, table: Table, settings: Settings) ->
     replaced = spark.read.parquet(_intent_location(table, settings, load)).collect()  # a batch of folders
     days = sorted({row.partition for row in replaced})
     _alter(spark, name, "ADD IF NOT EXISTS", [_partition_spec(table, load, day) for day in days], " ")
+    _log_dereferenced(replaced, table, settings, load, as_of or datetime.now(UTC).replace(tzinfo=None), spark)
     _alter(spark, name, "DROP IF EXISTS", [_partition_spec(table, r[LOAD], r.partition) for r in replaced], ", ")
     spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{OPEN_COMPACTION}')")
     return len(replaced)
@@ -228,16 +319,17 @@ def _batches_of_days(folders: DataFrame) -> Iterator[list[Row]]:
         yield batch
 
 
-def compact(spark: SparkSession, table: Table, settings: Settings) -> int:
+def compact(spark: SparkSession, table: Table, settings: Settings, as_of: datetime | None = None) -> int:
     """Merge small files of a Parquet table, some days at a time; return how many folders were merged.
 
     The rows of each bin are written to one file of a new load that the catalog does not know
     yet. If their number is right, the folders that it replaces are written down, and the table
     gets a note that their exchange has begun. Then the new load is registered, the old folders are
     dropped from the catalog, and the note is taken away. A run that is lost in between is completed by
-    the next one. The old files stay on storage until they are removed as orphans.
+    the next one. The old files stay on storage until they are removed as orphans, ``expire_days``
+    after the exchange at the earliest.
     """
-    finish_compaction(spark, table, settings)
+    finish_compaction(spark, table, settings, as_of)
     name = table.full_name(settings)
     plan_at = _intent_location(table, settings, f"plan-{uuid.uuid4().hex}")
     files_to_merge(spark, table, settings).write.parquet(plan_at)
@@ -269,7 +361,7 @@ def compact(spark: SparkSession, table: Table, settings: Settings) -> int:
         replaced = spark.createDataFrame(merge, f"{LOAD} string, partition string").coalesce(1)
         replaced.write.parquet(_intent_location(table, settings, load))
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{OPEN_COMPACTION}' = '{load}')")
-        merged += finish_compaction(spark, table, settings)
+        merged += finish_compaction(spark, table, settings, as_of)
     return merged
 
 
@@ -279,12 +371,14 @@ def _plain(path: Column) -> Column:
 
 
 def table_orphans(spark: SparkSession, table: Table, settings: Settings, as_of: datetime) -> DataFrame:
-    """Orphans of a table; a load whose registration is open is in use."""
+    """Orphans of a table. A load whose registration is open is in use, and what a compaction has
+    replaced may still be read for ``expire_days`` from then on, however old its files are."""
     listing = table_listing(spark, table, settings)
     load = open_compaction(spark, table, settings)
     if load is not None:
         listing = listing.filter(F.col(LOAD) != load)
-    referenced = listing.join(registered_folders(spark, table, settings), "folder", "left_semi")
+    in_use = registered_folders(spark, table, settings).union(folders_still_read(spark, table, settings, as_of))
+    referenced = listing.join(in_use, "folder", "left_semi")
     return plan_orphans(listing, referenced, as_of, settings.orphan_days)
 
 
@@ -295,9 +389,7 @@ def remove_files(orphans: DataFrame) -> None:
         from pyarrow import fs
 
         for row in rows:
-            uri = re.sub(r"^file:/+", "file:///", row.path)
-            uri = re.sub(r"^s3[an]:", "s3:", uri)
-            system, path = fs.FileSystem.from_uri(uri)
+            system, path, _ = _file_system(row.path)
             if system.get_file_info(path).type == fs.FileType.File:
                 system.delete_file(path)
 
@@ -317,7 +409,7 @@ def maintain(spark: SparkSession, table: Table, settings: Settings, as_of: datet
             lines.append((statement, int(apply)))
         return spark.createDataFrame(lines, "step string, items bigint")
     if apply:
-        lines.append(("folders merged", compact(spark, table, settings)))
+        lines.append(("folders merged", compact(spark, table, settings, as_of)))
     else:
         lines.append(("folders to merge", folders_to_merge(spark, table, settings).count()))
     orphans = table_orphans(spark, table, settings, as_of)
