@@ -2,14 +2,15 @@ from dataclasses import replace
 from datetime import date
 
 import pytest
-from conftest import MEDIUM
+from conftest import MEDIUM, SMALL
 from pyspark.sql import functions as F
 
 from torquelake.config import Settings
 from torquelake.operators import reports
 from torquelake.operators.alerts import flag_alerts
-from torquelake.operators.enrich import car_dimension, enrich
-from torquelake.queries import enriched, flagged
+from torquelake.operators.dimension import measured
+from torquelake.operators.enrich import car_dimension, enrich, enrich_events
+from torquelake.queries import REGISTERED, enriched, flagged
 from torquelake.schemas import CAR_SCHEMA, ENRICHED_SCHEMA, SENSOR_SCHEMA
 from torquelake.sources.dims import color_dimension, model_dimension
 
@@ -65,3 +66,30 @@ def test_day_filter_reaches_the_scan(spark, capsys):
 def test_unused_columns_are_not_read(spark, capsys):
     flag_alerts(enriched(spark, MEDIUM), Settings().rules).select("event_id", "speed").explain("formatted")
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("extra", [[], [(3, "again"), (None, "x"), (None, "y")], [(None, "x"), (None, "y")]])
+def test_no_join_without_attributes_if_keys_are_unique(spark, capsys, extra):
+    """Rows are those of the full join; it is only left out where that is proven."""
+    columns = "car_id long, driver_id long, brand_name string, model_name string, color_name string"
+    cars = [(k, k, "b", "m", "c") for k in range(5)] + [(k, 0, "b", "m", name) for k, name in extra]
+    profile = measured(spark.createDataFrame(cars, columns), "car_id")
+    assert profile.unique == (not any(k is not None for k, _ in extra))
+    events = spark.range(40).selectExpr(
+        "string(id) event_id", "timestamp_ntz'2024-01-01' event_time", "if(id % 9 = 0, NULL, id % 7) car_id",
+        "int(id) speed", "1 rpm", "2 gear")
+    for settings in (Settings(), Settings(broadcast_rows=0)):
+        alone = enrich_events(events, profile, settings)
+        full = enrich(events, profile, settings).select(*alone.columns)
+        assert sorted(map(str, alone.collect())) == sorted(map(str, full.collect()))
+        alone.explain()
+        assert ("Join" in capsys.readouterr().out) != profile.unique
+
+
+def test_questions_without_attributes_are_not_joined(spark, capsys):
+    for name in ("count_rows", "alerts_on_day", "sql_topk_rpm", "sql_top_speed_per_car", "expected_gear", "alert_reasons"):
+        REGISTERED[name](spark, SMALL).explain("simple")
+        plan = capsys.readouterr().out
+        assert "Join" not in plan
+        if name == "count_rows":
+            assert "ReadSchema: struct<>" in plan  # row counts of the files only

@@ -4,7 +4,7 @@ from dataclasses import replace
 
 import pytest
 from conftest import MEDIUM, SMALL
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from torquelake import config
@@ -136,6 +136,47 @@ def test_dimensions_can_be_read_per_batch(spark, settings):
     assert same(topic_batch(spark, config.TOPIC_ENRICHED, settings), to_payload(zoned(enriched(spark, SMALL))))
 
 
+def test_batch_repeated_after_a_failure_is_sent_once(spark, settings, monkeypatch):
+    """The run ends when its first batch is in the topic and before the stream has noted that."""
+    write_dims(spark, settings, given_cars(spark, SMALL))
+    write_topic(messages(spark, SMALL), config.TOPIC_SENSORS, settings)
+    send = jobs.write_topic_batch
+    outcomes = []
+
+    def lost(*args):
+        outcomes.append(send(*args))
+        if len(outcomes) == 1:
+            raise ConnectionError("lost")
+
+    monkeypatch.setattr(jobs, "write_topic_batch", lost)
+    with pytest.raises(StreamingQueryException):
+        jobs.finish(jobs.start_enrich_topic_fresh(spark, settings, once=True))
+    jobs.finish(jobs.start_enrich_topic_fresh(spark, settings, once=True))
+    assert outcomes == [True, False]
+    wanted = to_payload(zoned(enriched(spark, SMALL)))
+    assert same(topic_batch(spark, config.TOPIC_ENRICHED, settings), wanted)
+    jobs.finish(jobs.start_alert_topic(spark, settings, once=True))  # the next stage reads the batch's folder
+    alerts = to_payload(only_alerts(zoned(flagged(spark, SMALL))))
+    assert topic_batch(spark, config.TOPIC_ALERTS, settings).count() == alerts.count()
+    # Batches of later runs are new parts.
+    write_topic(messages(spark, SMALL), config.TOPIC_SENSORS, settings)
+    jobs.finish(jobs.start_enrich_topic_fresh(spark, settings, once=True))
+    jobs.finish(jobs.start_alert_topic(spark, settings, once=True))
+    assert topic_batch(spark, config.TOPIC_ENRICHED, settings).count() == 2000
+    assert topic_batch(spark, config.TOPIC_ALERTS, settings).count() == 2 * alerts.count()
+
+
+def test_unreadable_messages_are_kept_apart(spark, settings):
+    bad = ["not json", "", '{"event_id":"x","speed":"fast"}']
+    lines = [(text,) for text in [*bad, '{"event_id":"y","speed":3}', '{"unknown":1}']]
+    write_topic(spark.createDataFrame(lines, "value string"), config.TOPIC_SENSORS, settings)
+    for _ in range(2):  # the second run finds nothing new
+        jobs.finish(jobs.start_unreadable_table(spark, settings, once=True))
+    rows = tables.read_table(spark, tables.UNREADABLE, settings).collect()
+    assert sorted(row.json_data for row in rows) == sorted(bad)
+    assert all(row.id and row.timestamp for row in rows)
+
+
 def write_dims(spark, settings, cars):
     for table, frame in ((tables.CARS, cars), (tables.MODELS, inline_models(spark)), (tables.COLORS, inline_colors(spark))):
         frame.write.mode("overwrite").parquet(table.location(settings))

@@ -87,6 +87,7 @@ def run(spark: SparkSession, settings: Settings, args: argparse.Namespace) -> No
                 "enrich": lambda: [
                     jobs.start_enrich_topic(spark, settings, once=args.once),
                     jobs.start_raw_table(spark, settings, once=args.once),
+                    jobs.start_unreadable_table(spark, settings, once=args.once),
                 ],
                 "flag": lambda: [
                     jobs.start_flag_table(spark, settings, once=args.once),

@@ -21,6 +21,7 @@ TABLE_COLORS = "car_colors"
 TABLE_CARS = "cars"
 TABLE_ENRICHED = "cars_enriched"
 TABLE_RAW = "cars_raw"
+TABLE_UNREADABLE = "unreadable_messages"
 TABLE_SUMMARY = "alert_summary"
 TABLE_NOTIFICATIONS = "notifications"
 

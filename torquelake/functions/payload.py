@@ -20,7 +20,7 @@ def parse_payload(messages: DataFrame, schema: StructType) -> DataFrame:
 
 
 def corrupt_payloads(messages: DataFrame, schema: StructType) -> DataFrame:
-    """The messages that are no JSON of this schema, for an optional side output."""
+    """The messages that are no JSON of this schema, for a side output. An empty one is none either."""
     probe = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     text = F.col("value").cast("string")
     return (

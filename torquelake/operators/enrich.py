@@ -33,6 +33,17 @@ def car_dimension(cars: DataFrame, models: Dimension, colors: Dimension, setting
     return measured(car_profile(cars, models, colors, settings), "car_id")
 
 
+def enrich_events(events: DataFrame, profile: Dimension, settings: Settings) -> DataFrame:
+    """What ``enrich`` gives, for questions that need no attribute of the car: without these columns.
+
+    A profile whose measured keys are unique changes neither the events nor their number, so they
+    are not joined. With repeated keys, or unmeasured ones, events are joined to the keys alone.
+    """
+    own = [name for name in ENRICHED_SCHEMA.fieldNames() if name in events.columns]
+    rows = events if profile.unique else left_join_dimension(events, profile.keys_only(), settings)
+    return rows.select(*own, expected_gear(F.col("speed"), settings.rules.speed_per_gear).alias("expected_gear"))
+
+
 def enrich(events: DataFrame, profile: Dimension, settings: Settings) -> DataFrame:
     """Events with their car's attributes; an unknown car keeps its event, without them."""
     return (

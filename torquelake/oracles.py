@@ -127,6 +127,9 @@ def oracle_sql() -> dict[str, str]:
         "topic_roundtrip_enriched": _with(ENRICHED, f"SELECT {MILLIS} FROM enriched"),
         "stream_enriched_table": millis_flagged,
         "stream_raw_table": raw,
+        "stream_unreadable_table": _with(
+            SENSORS, f"SELECT substr({SENSOR_JSON}, 1, 25) AS json_data FROM sensors WHERE CAST(event_id AS BIGINT) % 41 = 0"
+        ),
         "scan_cars": _with(CARS, "SELECT car_id, driver_id, model_id, color_id FROM cars"),
         "scan_car_models": _with(("car_models", "cars"), cars_per.format(dim="car_models", key="model_id")),
         "load_dims_reload": _with(

@@ -17,7 +17,7 @@ from torquelake.functions.payload import parse_payload, raw_capture, to_payload
 from torquelake.operators import reports
 from torquelake.operators.alerts import alert_reasons, flag_alerts, only_alerts
 from torquelake.operators.dimension import Dimension, measured
-from torquelake.operators.enrich import enrich
+from torquelake.operators.enrich import enrich, enrich_events
 from torquelake.operators.frames import trailing_frame
 from torquelake.operators.integrity import dim_integrity
 from torquelake.operators.joins import hot_keys, left_join_dimension
@@ -44,6 +44,15 @@ def flagged(spark: SparkSession, folder: str) -> DataFrame:
     return flag_alerts(enriched(spark, folder), SETTINGS.rules)
 
 
+def flagged_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Flagged events where no attribute of the car is asked for."""
+    return flag_alerts(events_alone(spark, folder), SETTINGS.rules)
+
+
+def events_alone(spark: SparkSession, folder: str) -> DataFrame:
+    return enrich_events(given.given_sensors(spark, folder), car_profile(spark, folder), SETTINGS)
+
+
 @lru_cache(maxsize=64)
 def car_profile(spark: SparkSession, folder: str, settings: Settings = SETTINGS) -> Dimension:
     """The measured car profile; if it is too large to broadcast, with the hot cars of the events."""
@@ -121,6 +130,17 @@ def stream_raw_table(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_unreadable_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The side output of unreadable messages; every 41st message is cut off."""
+    settings = run_settings(spark, "unreadable")
+    value, key = F.col("value"), F.col("event_id").cast("bigint")
+    sent = zoned(given.given_sensors(spark, folder)).select("event_id", F.to_json(F.struct("*")).alias("value"))
+    sent = sent.select(F.when(key % 41 == 0, F.substring(value, 1, 25)).otherwise(value).alias("value"))
+    write_topic(sent, config.TOPIC_SENSORS, settings)
+    jobs.finish(jobs.start_unreadable_table(spark, settings, once=True))
+    return tables.read_table(spark, tables.UNREADABLE, settings).select("json_data")
+
+
 def scan_cars(spark: SparkSession, folder: str) -> DataFrame:
     return given.given_cars(spark, folder).select("car_id", "driver_id", "model_id", "color_id")
 
@@ -205,12 +225,12 @@ def filter_alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reasons(spark: SparkSession, folder: str) -> DataFrame:
-    rows = alert_reasons(flagged(spark, folder), SETTINGS.rules)
+    rows = alert_reasons(flagged_events(spark, folder), SETTINGS.rules)
     return rows.select("event_id", "is_alert", "is_speeding", "is_wrong_gear", "is_high_rpm", "reasons")
 
 
 def expected_gear_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return enriched(spark, folder).groupBy("expected_gear").agg(F.count("*").alias("num_of_rows"))
+    return events_alone(spark, folder).groupBy("expected_gear").agg(F.count("*").alias("num_of_rows"))
 
 
 # Joins
@@ -241,7 +261,7 @@ def alert_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def count_flagged(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.count_rows(flagged(spark, folder))
+    return reports.count_rows(flagged_events(spark, folder))
 
 
 def count_rows_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -253,7 +273,7 @@ def alerts_by_color(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def alerts_on_day(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.alerts_on_day(flagged(spark, folder), DAY)
+    return reports.alerts_on_day(flagged_events(spark, folder), DAY)
 
 
 def black_cars_over_100(spark: SparkSession, folder: str) -> DataFrame:
@@ -439,7 +459,7 @@ def sql_top_speed_per_car(spark: SparkSession, folder: str) -> DataFrame:
              SELECT car_id, event_id, speed,
                     row_number() OVER (PARTITION BY car_id ORDER BY speed DESC NULLS LAST, event_id) AS rank
              FROM {flagged}) WHERE rank <= 3""",
-        flagged=flagged(spark, folder),
+        flagged=flagged_events(spark, folder),
     )
 
 
@@ -447,7 +467,7 @@ def sql_topk_rpm(spark: SparkSession, folder: str) -> DataFrame:
     return _sql(
         spark,
         "SELECT event_id, car_id, rpm FROM {flagged} ORDER BY rpm DESC NULLS LAST, event_id LIMIT 20",
-        flagged=flagged(spark, folder),
+        flagged=flagged_events(spark, folder),
     )
 
 
@@ -471,6 +491,7 @@ REGISTERED: dict[str, Query] = {
     "topic_roundtrip_enriched": topic_roundtrip_enriched,
     "stream_enriched_table": stream_enriched_table,
     "stream_raw_table": stream_raw_table,
+    "stream_unreadable_table": stream_unreadable_table,
     "scan_cars": scan_cars,
     "scan_car_models": scan_car_models,
     "load_dims_reload": load_dims_reload,

@@ -63,11 +63,12 @@ COLORS = Table(config.SCHEMA_DIMS, config.TABLE_COLORS, COLOR_SCHEMA)
 CARS = Table(config.SCHEMA_DIMS, config.TABLE_CARS, CAR_SCHEMA)
 ENRICHED = Table(config.SCHEMA_DIMS, config.TABLE_ENRICHED, FLAGGED_SCHEMA, "event_time", "event_day")
 RAW = Table(config.SCHEMA_RAW, config.TABLE_RAW, RAW_SCHEMA, "timestamp", "ingest_day")
+UNREADABLE = Table(config.SCHEMA_RAW, config.TABLE_UNREADABLE, RAW_SCHEMA, "timestamp", "ingest_day")
 SUMMARY = Table(config.SCHEMA_DIMS, config.TABLE_SUMMARY, SUMMARY_SCHEMA, "window_start", "window_day")
 NOTIFICATIONS = Table(
     config.SCHEMA_DIMS, config.TABLE_NOTIFICATIONS, NOTIFICATION_SCHEMA, "window_start", "window_day"
 )
-ALL_TABLES = (MODELS, COLORS, CARS, ENRICHED, RAW, SUMMARY, NOTIFICATIONS)
+ALL_TABLES = (MODELS, COLORS, CARS, ENRICHED, RAW, UNREADABLE, SUMMARY, NOTIFICATIONS)
 
 
 def create_schema(spark: SparkSession, schema: str, settings: Settings) -> None:

@@ -28,12 +28,17 @@ def kafka_write_options(topic: str, settings: Settings) -> dict[str, str]:
     return {"kafka.bootstrap.servers": settings.kafka_servers, "topic": topic}
 
 
+def _file_system(spark: SparkSession, location: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def topic_exists(spark: SparkSession, topic: str, settings: Settings) -> bool:
     """Whether a file topic has a folder; Kafka makes topics itself."""
     if settings.topic_format != "files":
         return True
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(settings.topic_location(topic))
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    system, path = _file_system(spark, settings.topic_location(topic))
+    return system.exists(path)
 
 
 def ensure_topic(spark: SparkSession, topic: str, settings: Settings) -> None:
@@ -49,7 +54,7 @@ def topic_source(spark: SparkSession, topic: str, settings: Settings, starting:
     """
     if settings.topic_format == "kafka":
         return spark.readStream.format("kafka").options(**kafka_read_options(topic, settings, starting)).load()
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if settings.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", settings.max_files_per_trigger)
     return reader.load(settings.topic_location(topic))
@@ -59,7 +64,7 @@ def topic_batch(spark: SparkSession, topic: str, settings: Settings) -> DataFram
     """All messages a topic holds now."""
     if settings.topic_format == "kafka":
         return spark.read.format("kafka").options(**kafka_read_options(topic, settings, "earliest")).load()
-    return spark.read.text(settings.topic_location(topic))
+    return spark.read.option("recursiveFileLookup", "true").text(settings.topic_location(topic))
 
 
 def topic_sink(payload: DataFrame, topic: str, settings: Settings, query: str) -> DataStreamWriter:
@@ -80,3 +85,25 @@ def write_topic(payload: DataFrame, topic: str, settings: Settings) -> None:
         payload.write.format("kafka").options(**kafka_write_options(topic, settings)).save()
     else:
         payload.write.mode("append").text(settings.topic_location(topic))
+
+
+def write_topic_batch(payload: DataFrame, topic: str, settings: Settings, name: str) -> bool:
+    """Append a named batch of ``value`` to a topic; False if a file topic has it already.
+
+    The files are written beside the topic and get into it by one renaming of their folder, so a
+    reader sees all of the batch or nothing. A batch that is repeated after a failure finds its
+    folder and is left out, also if its rows have changed: readers may have taken the first.
+    """
+    if settings.topic_format == "kafka":
+        write_topic(payload, topic, settings)
+        return True
+    spark = payload.sparkSession
+    system, target = _file_system(spark, f"{settings.topic_location(topic)}/{name}")
+    if system.exists(target):
+        return False
+    written = f"{settings.root.rstrip('/')}/topic-batches/{topic}/{name}"
+    payload.write.mode("overwrite").text(written)
+    system.mkdirs(target.getParent())
+    if not system.rename(_file_system(spark, written)[1], target):
+        raise OSError(f"batch {name} could not be moved into topic {topic}")
+    return True

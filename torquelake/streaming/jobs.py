@@ -16,7 +16,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from torquelake import config
 from torquelake.config import Settings, session_options
-from torquelake.functions.payload import parse_payload, raw_capture, to_payload
+from torquelake.functions.payload import corrupt_payloads, parse_payload, raw_capture, to_payload
 from torquelake.operators.alerts import flag_alerts, only_alerts
 from torquelake.operators.dimension import Dimension, measured
 from torquelake.operators.enrich import car_dimension, enrich
@@ -32,6 +32,7 @@ from torquelake.sources.tables import (
     NOTIFICATIONS,
     RAW,
     SUMMARY,
+    UNREADABLE,
     create_table,
     load_name,
     read_summaries,
@@ -41,18 +42,28 @@ from torquelake.sources.tables import (
     table_sink,
     write_load,
 )
-from torquelake.sources.topics import ensure_topic, topic_batch, topic_exists, topic_sink, topic_source, write_topic
+from torquelake.sources.topics import ensure_topic, topic_batch, topic_exists, topic_sink, topic_source, write_topic_batch
 from torquelake.streaming.notify import notification_rows
 
 # Names of the queries; also the names of their checkpoint folders.
 ENRICH_TOPIC = "enrich-topic"
 RAW_TABLE = "raw-table"
+UNREADABLE_TABLE = "unreadable-table"
 FLAG_TABLE = "flag-table"
 ALERT_TOPIC = "alert-topic"
 ALERT_SUMMARY = "alert-summary"
 ALERT_NOTIFICATIONS = "alert-notifications"
 ALERT_OUTPUTS = "alert-outputs"
-QUERY_NAMES = (ENRICH_TOPIC, RAW_TABLE, FLAG_TABLE, ALERT_TOPIC, ALERT_SUMMARY, ALERT_NOTIFICATIONS, ALERT_OUTPUTS)
+QUERY_NAMES = (
+    ENRICH_TOPIC,
+    RAW_TABLE,
+    UNREADABLE_TABLE,
+    FLAG_TABLE,
+    ALERT_TOPIC,
+    ALERT_SUMMARY,
+    ALERT_NOTIFICATIONS,
+    ALERT_OUTPUTS,
+)
 
 
 def _paced(writer: DataStreamWriter, once: bool, every: str | None = None) -> DataStreamWriter:
@@ -132,14 +143,17 @@ def start_enrich_topic(
 def start_enrich_topic_fresh(spark: SparkSession, settings: Settings, once: bool = False) -> StreamingQuery:
     """As ``start_enrich_topic``, with the dimensions read anew for every micro-batch.
 
-    The batches are written one by one, so a batch repeated after a failure is sent twice.
+    The batches are written one by one, each as a part of the topic that is there completely or not at
+    all. One that is repeated after a failure is sent once on a file topic; Kafka may get it twice.
     """
     ensure_topic(spark, config.TOPIC_SENSORS, settings)
     ensure_topic(spark, config.TOPIC_ENRICHED, settings)
 
     def send(batch: DataFrame, batch_id: int) -> None:
         profile = load_dimension(batch.sparkSession, settings)
-        write_topic(to_payload(enriched_stream(batch, profile, settings)), config.TOPIC_ENRICHED, settings)
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        payload = to_payload(enriched_stream(batch, profile, settings))
+        write_topic_batch(payload, config.TOPIC_ENRICHED, settings, load_name(query_id, batch_id))
 
     writer = (
         topic_source(spark, config.TOPIC_SENSORS, settings)
@@ -159,6 +173,19 @@ def start_raw_table(spark: SparkSession, settings: Settings, once: bool = False)
     return start_table_sink(sink, RAW, settings)
 
 
+def start_unreadable_table(spark: SparkSession, settings: Settings, once: bool = False) -> StreamingQuery:
+    """Messages of the sensor topic that are no readable events, as text, to a table of their own.
+
+    They flow on as rows of missing values too; this says what they were.
+    """
+    ensure_topic(spark, config.TOPIC_SENSORS, settings)
+    _make_table(spark, UNREADABLE, settings)
+    unreadable = corrupt_payloads(topic_source(spark, config.TOPIC_SENSORS, settings), SENSOR_SCHEMA)
+    rows = raw_capture(unreadable.withColumnRenamed("json_data", "value"))
+    sink = _paced(table_sink(rows, UNREADABLE, settings, UNREADABLE_TABLE), once, settings.table_trigger)
+    return start_table_sink(sink, UNREADABLE, settings)
+
+
 def start_flag_table(spark: SparkSession, settings: Settings, once: bool = False) -> StreamingQuery:
     """Enriched topic to the fact table, with the alert flag."""
     ensure_topic(spark, config.TOPIC_ENRICHED, settings)
