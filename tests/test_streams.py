@@ -1,5 +1,9 @@
 """Streams against the batch functions, with late data, restarts and repeats."""
 
+import os
+import subprocess
+import sys
+import threading
 from dataclasses import replace
 
 import pytest
@@ -232,6 +236,47 @@ def test_status_and_stop(spark, settings):
     control.await_any(spark)
 
 
+def test_other_processes_see_and_stop_a_stream(spark, settings, tmp_path):
+    write_topic(messages(spark, SMALL), config.TOPIC_SENSORS, settings)
+    assert control.stored_status(spark, settings).count() == 0
+    queries = [jobs.start_raw_table(spark, settings), jobs.start_unreadable_table(spark, settings)]
+    keeper = threading.Thread(target=control.supervise, args=(spark, settings, queries, 0.5))
+
+    def command(*words):
+        package = os.path.dirname(os.path.dirname(jobs.__file__))
+        environment = os.environ | {"PYTHONPATH": os.path.dirname(package)}
+        line = [sys.executable, "-m", "torquelake", "--root", settings.root, *words]
+        (tmp_path / "other").mkdir(exist_ok=True)
+        done = subprocess.run(line, capture_output=True, text=True, timeout=120, env=environment, cwd=tmp_path / "other")
+        assert done.returncode == 0, done.stderr
+        return done.stdout
+
+    try:
+        for query in queries:
+            query.processAllAvailable()
+        keeper.start()
+        shown = command("status")
+        assert jobs.RAW_TABLE in shown and jobs.UNREADABLE_TABLE in shown
+        assert command("stop", jobs.RAW_TABLE, "unknown").split() == [jobs.RAW_TABLE]
+        assert queries[0].awaitTermination(30) and queries[1].isActive  # the other goes on
+        assert control.request_stop(spark, settings) == [jobs.UNREADABLE_TABLE]
+        keeper.join(30)
+        assert not keeper.is_alive() and not queries[1].isActive
+        lines = {row.name: row.is_active for row in control.stored_status(spark, settings).collect()}
+        assert lines == {jobs.RAW_TABLE: False, jobs.UNREADABLE_TABLE: False}
+        assert control.request_stop(spark, settings) == []
+    finally:
+        control.stop_queries(spark, jobs.QUERY_NAMES)
+
+
+def test_silent_driver_is_not_active(spark, settings, tmp_path):
+    (tmp_path / "status").mkdir()
+    line = '{"name":"raw-table","query_id":"q","is_active":true,"batch_id":1,"updated_at":"2024-01-01T00:00:00.000+00:00"}'
+    (tmp_path / "status" / "raw-table.json").write_text(line + "\n")
+    (tmp_path / "status" / "torn.json").write_text('{"name":"to')
+    assert [(row.name, row.is_active) for row in control.stored_status(spark, settings).collect()] == [("raw-table", False)]
+
+
 def test_state_partitions_do_not_leak_into_the_session(spark, settings):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     write_topic(spark.createDataFrame([], "value string"), config.TOPIC_ALERTS, settings)

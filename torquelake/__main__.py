@@ -13,7 +13,7 @@ from torquelake.plans.maintenance import maintain_all
 from torquelake.sources import tables
 from torquelake.sources.dims import inline_colors, inline_models
 from torquelake.streaming import jobs
-from torquelake.streaming.control import await_any, streaming_status
+from torquelake.streaming.control import request_stop, stored_status, streaming_status, supervise
 
 MAINTAINED = {(table.schema, table.name): table for table in tables.ALL_TABLES if table.day_column}
 
@@ -57,6 +57,9 @@ def arguments() -> argparse.ArgumentParser:
         job = command.add_parser(name, help="run a streaming job")
         job.add_argument("--once", action="store_true", help="handle what is there, then end")
         job.add_argument("--starting", default="latest", help="first offsets of the aggregation")
+    command.add_parser("status", help="streaming queries over this folder, of all sessions")
+    stop = command.add_parser("stop", help="ask for the end of streaming queries, wherever they run")
+    stop.add_argument("names", nargs="*", help="names of queries; none: all")
     upkeep = command.add_parser("maintain", help="maintain a table, or the fact and the raw table")
     upkeep.add_argument("schema", nargs="?")
     upkeep.add_argument("table", nargs="?")
@@ -99,7 +102,12 @@ def run(spark: SparkSession, settings: Settings, args: argparse.Namespace) -> No
             if args.once:
                 jobs.finish(*started)
             else:
-                await_any(spark)
+                supervise(spark, settings, started)
+        case "status":
+            stored_status(spark, settings).orderBy("name").show(truncate=False)
+        case "stop":
+            for name in request_stop(spark, settings, args.names or None):
+                print(name)
         case "maintain":
             chosen = [MAINTAINED[args.schema, args.table]] if args.table else [tables.ENRICHED, tables.RAW]
             now = datetime.now(UTC).replace(tzinfo=None)
