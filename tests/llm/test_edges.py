@@ -119,6 +119,30 @@ def test_mixing_comes_near_its_targets(spark):
     assert all(abs(r["taken"] - r["target"]) <= 2 for r in rows)
 
 
+def test_mixing_of_rows_without_id(spark):
+    """A third without ids, and of these a part in equal rows: no ties, and each row is drawn by itself."""
+    docs = spark.range(6000).repartition(7).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "null").otherwise(F.concat(F.lit("s"), F.col("id") % 3)).alias("source"),
+        F.concat(F.repeat(F.lit("w "), 9), F.when(F.col("id") % 2 == 0, F.col("id") % 60).otherwise(F.col("id"))).alias("text"),
+        F.col("id").alias("other"),
+    )
+    rows = mixing.mix_sources(docs)
+    assert rows.count() == 6000
+    sums = rows.groupBy("source").agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert all(abs(r["taken"] - r["target"]) <= 10 for r in sums)
+    again = mixing.mix_sources(docs.repartition(3))
+    cols = ["doc_id", "_h", "_n", "source", "taken"]
+    assert rows.select(cols).exceptAll(again.select(cols)).isEmpty()
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.count() * 10 == sum(r["taken"] for r in sums)
+    count = lambda frame: {(r["text"], r["source"]): r["n"] for r in frame.groupBy("text", "source").agg(F.sum("n").alias("n")).collect()}
+    wanted = docs.select("text", "source", F.xxhash64("text").alias("_h")).distinct().join(
+        rows.select("_h", "source", F.col("copies").alias("n")), ["_h", "source"])
+    assert count(mixed.withColumn("n", F.lit(1))) == {k: n for k, n in count(wanted).items() if n}
+    assert mixed.groupBy("other").count().filter("count > 3").isEmpty()
+
+
 def jaccard_groups(n, num, den):
     sets = []
     for _, text, *_ in ROWS:

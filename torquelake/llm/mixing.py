@@ -12,10 +12,12 @@ buckets of ``log2 q``, then in parts of the bucket where it ends, and only docum
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from torquelake.llm.common import WORD, match, match_few, stored
+from torquelake.llm.common import HOT_SHARE, WORD, match, match_few, stored
 
 #: Buckets in a unit of log2 q, and parts of a bucket.
 FINE, FINER = 64, 4096
@@ -25,12 +27,36 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def random_unit(seed: int, ident: Column) -> Column:
-    """A number between 0 and 1 from the first 52 bits of a hash of the id; the same in every run."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(ident.cast("string"), F.lit("null")))
+def random_unit(seed: int, ident: Column, text_md5: Column, number: Column) -> Column:
+    """A number between 0 and 1 from the first 52 bits of a hash; the same in every run.
+
+    It depends on the id, the text and the number within rows that repeat both, so rows without an
+    id, or with one id, do not tie.
+    """
+    ident = F.coalesce(ident.cast("string"), F.lit("null"))
+    text = F.concat_ws(":", F.lit(str(seed)), ident, text_md5, number.cast("string"))
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
 
 
+def numbered(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``rows`` with ``_n``, their number from 1 within equal ``keys``.
+
+    Rows are written with the partition they come from and numbered within key and partition. Such a
+    part starts where those of the same key before it end. A key with a third of all rows is so
+    dealt over as many tasks as the input has, and a part never grows beyond a partition.
+    """
+    rows = stored(rows.withColumn("_part", F.spark_partition_id()), name)
+    parts = rows.groupBy(*keys, "_part").agg(F.count("*").alias("_rows_here"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(*keys, "_part", F.sum("_rows_here").over(before).alias("_before")).filter("_before > 0")
+    starts = stored(starts, f"{name}-starts")
+    rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy("_part")).cast("bigint"))
+    if not starts.isEmpty():
+        rows = match(rows, starts, [*keys, "_part"], "left")
+        rows = rows.withColumn("_n", F.col("_n") + F.coalesce("_before", F.lit(0))).drop("_before")
+    return rows.drop("_part")
+
+
 def source_targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """Target words of each source from ``source, source_size``.
 
@@ -81,21 +107,23 @@ def mix_sources(
     """How often each document is taken.
 
     Returns ``doc_id, source, size`` (words; null text: 0), ``source_size, target, copies, taken``
-    (``copies * size``) and ``_h``, the text's hash, for every row. Taking in order ends before the target would be passed; then
+    (``copies * size``), ``_h``, the text's hash, and ``_n``, the number within rows that repeat id,
+    text and source, for every row. Taking in order ends before the target would be passed; then
     the document whose size is nearest to what is missing is added, if that brings the source
-    closer. A source without words has target 0 and no copies. Rows that repeat id and size are
-    taken alike. An empty table gives an empty result; columns of other names are left out.
+    closer. A source without words has target 0 and no copies. Null is an id like any other; rows
+    that repeat id and text are drawn one by one. An empty table gives an empty result; columns of
+    other names are left out.
     """
-    rows = stored(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("_h"),
-            F.col(source_col).alias("source"),
-            word_count(F.col(text_col)).alias("size"),
-            random_unit(seed, F.col(id_col)).alias("_u"),
-        ),
-        "mix-sizes",
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.xxhash64(text).alias("_h"),
+        F.substring(F.md5(text), 1, 16).alias("_m"),
+        F.col(source_col).alias("source"),
+        word_count(F.col(text_col)).alias("size"),
     )
+    rows = numbered(rows, ["doc_id", "_h", "_m", "source"], "mix-sizes")
+    rows = stored(rows.withColumn("_u", random_unit(seed, F.col("doc_id"), F.col("_m"), F.col("_n"))), "mix-odds")
     sources = stored(
         source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "mix-targets"
     )
@@ -117,35 +145,57 @@ def mix_sources(
     ends = stored(coarse.drop("_rest_b").join(fine, coarse["source"].eqNullSafe(fine["source"]), "left").drop(fine["source"]), "mix-ends")
 
     rows = few(rows, ends)
-    in_order = Window.partitionBy("source").orderBy("_q", F.col("doc_id").asc_nulls_first())
+    in_order = Window.partitionBy("source").orderBy("_q", F.col("doc_id").asc_nulls_first(), "_m", "_n")
     last = rows.filter("_q IS NOT NULL AND _b = _end_b AND _f = _end_f")
     last = last.withColumn("_sum", F.sum("size").over(in_order)).withColumn("_in", F.col("_sum") <= F.col("_rest_f"))
     others = rows.filter("NOT (_q IS NOT NULL AND _b = _end_b AND _f = _end_f) OR _q IS NULL OR _end_b IS NULL OR _end_f IS NULL")
     # Without an end all that are ranked fit.
     before = F.expr("_q IS NOT NULL AND (_end_b IS NULL OR _b < _end_b OR (_b = _end_b AND (_end_f IS NULL OR _f < _end_f)))")
     drawn = stored(others.withColumn("_in", before).unionByName(last.drop("_sum")).select(
-        "doc_id", "_h", "source", "size", "source_size", "target", "_certain", "_p", "_in"), "mix-drawn")
+        "doc_id", "_h", "_m", "_n", "source", "size", "source_size", "target", "_certain", "_p", "_in"), "mix-drawn")
 
     got = drawn.groupBy("source").agg(F.sum((F.col("_certain") + F.col("_in").cast("bigint")) * F.col("size")).alias("_got"))
     drawn = few(drawn, got)
     gap = F.col("target") - F.col("_got")
-    nearest = drawn.filter("NOT _in AND _p > 0 AND size > 0").groupBy("source").agg(
-        F.min(F.struct(F.abs(gap - F.col("size")).alias("off"), F.col("size"), F.col("doc_id").alias("id"), gap.alias("gap"))).alias("_near"))
+    one = F.struct(F.abs(gap - F.col("size")).alias("off"), F.col("size"), F.col("doc_id").alias("id"), "_m", "_n", gap.alias("gap"))
+    nearest = drawn.filter("NOT _in AND _p > 0 AND size > 0").groupBy("source").agg(F.min(one).alias("_near"))
     drawn = few(drawn, nearest)
-    added = F.expr("NOT _in AND _p > 0 AND _near.off < _near.gap AND size = _near.size AND doc_id <=> _near.id")
+    same = "size = _near.size AND doc_id <=> _near.id AND _m = _near._m AND _n = _near._n"
+    added = F.expr(f"NOT _in AND _p > 0 AND _near.off < _near.gap AND {same}")
     copies = F.col("_certain") + (F.col("_in") | F.coalesce(added, F.lit(False))).cast("bigint")
-    return drawn.select("doc_id", "_h", "source", "size", "source_size", "target", copies.alias("copies")).withColumn(
+    return drawn.select("doc_id", "_h", "_n", "source", "size", "source_size", "target", copies.alias("copies")).withColumn(
         "taken", F.col("copies") * F.col("size"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 20) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them."""
-    copies = mix_sources(docs, weights, most, seed).select(F.col("doc_id").alias("_id"), "_h", F.col("source").alias("_source"), "copies")
-    wanted = stored(copies.filter("copies > 0").withColumnRenamed("copies", "_copies").distinct(), "mix-copies")
+    """The rows of ``docs`` as often as the mix takes them, with their columns.
+
+    Rows that repeat id, text and source are told apart by number; which of them has which number is
+    not fixed where they differ in other columns. An empty table gives an empty result.
+    """
+    keys = ["_id", "_h", "_source"]
+    copies = mix_sources(docs, weights, most, seed).select(
+        F.col("doc_id").alias("_id"), "_h", F.col("source").alias("_source"), "_n", F.col("copies").alias("_copies"))
+    copies = stored(copies, "mix-copies")
+    alike = stored(copies.groupBy(*keys).agg(F.count("*").alias("_rows"), F.sum("_copies").alias("_all")).filter("_all > 0"), "mix-alike")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keys = docs.withColumns({"_id": F.col("doc_id"), "_h": F.xxhash64(text), "_source": F.col("source")})
-    taken = match(keys, wanted, ["_id", "_h", "_source"])
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
+    keyed = docs.withColumns({"_id": F.col("doc_id"), "_h": F.xxhash64(text), "_source": F.col("source")})
+
+    hot = F.col("_rows") > F.lit(copies.count() * HOT_SHARE) + 1
+    repeated = []
+    if not alike.filter(hot).isEmpty():
+        marked = match(keyed, F.broadcast(alike.filter(hot).drop("_all")), keys, "left")
+        repeated.append(marked.filter("_rows IS NOT NULL").drop("_rows"))
+        keyed = marked.filter("_rows IS NULL").drop("_rows")
+    taken = [match(keyed, alike.filter("_rows = 1").select(*keys, F.col("_all").alias("_copies")), keys)]
+    some = alike.filter(~hot).filter("_rows > 1")
+    if not some.isEmpty():
+        repeated.append(match(keyed, some.select(*keys), keys))
+    if repeated:
+        rows = numbered(reduce(DataFrame.unionByName, repeated), keys, "mix-repeats")
+        taken.append(match(rows, copies.filter("_copies > 0"), [*keys, "_n"]).drop("_n"))
+    out = reduce(DataFrame.unionByName, taken)
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
 
 
 def _end(ranked: DataFrame, rest: DataFrame, bucket: str, few) -> DataFrame:

@@ -19,11 +19,14 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT)
 FROM marked GROUP BY doc_id"""
 
 SOURCE_MIX = f"""
-WITH sized AS (
-  SELECT doc_id, source, len({WORDS.format(x="coalesce(text, '')")})::BIGINT AS size,
-         (('0x' || substr(md5('20:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5)
-           / 4503599627370496.0::DOUBLE AS u
+WITH counted AS (
+  SELECT doc_id, source, len({WORDS.format(x="coalesce(text, '')")})::BIGINT AS size, substr(md5(coalesce(text, '')), 1, 16) AS m
   FROM documents),
+equals AS (SELECT *, row_number() OVER (PARTITION BY doc_id, source, m) AS k FROM counted),
+sized AS (
+  SELECT *, (('0x' || substr(md5('20:' || coalesce(doc_id::VARCHAR, 'null') || ':' || m || ':' || k), 1, 13))::BIGINT::DOUBLE + 0.5)
+           / 4503599627370496.0::DOUBLE AS u
+  FROM equals),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighted AS (
   SELECT *, source_size * 3 AS cap, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM sources),
@@ -46,13 +49,13 @@ odds AS (
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 ranked AS (
   SELECT *, CASE WHEN p > 0 THEN sum(size) OVER (
-           PARTITION BY source, p > 0 ORDER BY (u / (1 - u)) / (p / (1 - p)), doc_id) <= rest ELSE false END AS chosen
+           PARTITION BY source, p > 0 ORDER BY (u / (1 - u)) / (p / (1 - p)), doc_id NULLS FIRST, m, k) <= rest ELSE false END AS chosen
   FROM odds),
 gaps AS (
   SELECT *, target - sum((certain + chosen::BIGINT) * size) OVER (PARTITION BY source) AS gap FROM ranked),
 near AS (
   SELECT *, NOT chosen AND p > 0 AND size > 0 AND abs(gap - size) < gap
-         AND 1 = row_number() OVER (PARTITION BY source ORDER BY (NOT chosen AND p > 0 AND size > 0) DESC, abs(gap - size), size, doc_id)
+         AND 1 = row_number() OVER (PARTITION BY source ORDER BY (NOT chosen AND p > 0 AND size > 0) DESC, abs(gap - size), size, doc_id NULLS FIRST, m, k)
          AS added
   FROM gaps)
 SELECT doc_id, size, source_size, target, ((certain + (chosen OR added)::BIGINT) * size)::BIGINT AS taken FROM near"""
