@@ -309,6 +309,44 @@ def test_one_aggregate_feeds_both_tables(spark, settings):
     assert windows.count() > 0 and same(windows, told)
 
 
+def backlog_of_ten_files(spark, settings):
+    """Alerts in ten files without order, so that a stream of one file at a time would drop most of them."""
+    alerts = only_alerts(zoned(flagged(spark, SMALL))).withColumn("n", F.pmod(F.xxhash64("event_id"), F.lit(10)))
+    settings = replace(settings, max_files_per_trigger=1)
+    for n in range(10):
+        part = alerts.filter(F.col("n") == n).drop("n")
+        write_topic(to_payload(part.coalesce(1)), config.TOPIC_ALERTS, settings)
+    return settings, alerts.drop("n")
+
+
+def test_backlog_is_handed_over_without_loss(spark, settings):
+    settings, alerts = backlog_of_ten_files(spark, settings)
+    assert jobs.backfill(spark, settings)
+    query = jobs.start_alert_outputs(spark, settings, once=True)
+    jobs.finish(query)
+    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+    assert len(query.recentProgress) >= 10 and sum(state["numRowsDroppedByWatermark"] for state in states) == 0
+    # An hour later another alert comes and closes what was open.
+    last = alerts.orderBy(F.desc("event_time")).limit(1)
+    later = last.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 1 HOUR"))
+    write_topic(to_payload(later), config.TOPIC_ALERTS, settings)
+    jobs.finish(jobs.start_alert_outputs(spark, settings, once=True))
+    wanted = alert_window_agg(millis(alerts).withColumn("event_time", F.col("event_time").cast("timestamp")))
+    stored = tables.read_table(spark, tables.SUMMARY, settings)
+    assert same(stored, wanted)
+    assert same(tables.read_table(spark, tables.NOTIFICATIONS, settings).select("window_start"), wanted.select("window_start"))
+    jobs.backfill(spark, settings)  # a repeat changes nothing
+    assert same(tables.read_table(spark, tables.SUMMARY, settings), wanted)
+
+
+def test_backfill_before_the_first_start_only(spark, settings):
+    assert not jobs.backfill(spark, settings)  # no alerts
+    write_topic(to_payload(only_alerts(zoned(flagged(spark, SMALL)))), config.TOPIC_ALERTS, settings)
+    jobs.finish(jobs.start_alert_summary(spark, settings, once=True, starting="earliest"))
+    with pytest.raises(ValueError, match=jobs.ALERT_SUMMARY):
+        jobs.backfill(spark, settings)
+
+
 def test_triggers(spark, monkeypatch):
     made = []
 

@@ -57,6 +57,7 @@ def arguments() -> argparse.ArgumentParser:
         job = command.add_parser(name, help="run a streaming job")
         job.add_argument("--once", action="store_true", help="handle what is there, then end")
         job.add_argument("--starting", default="latest", help="first offsets of the aggregation")
+    command.add_parser("backfill", help="summarise the alerts that wait, as one batch, before the first aggregate")
     command.add_parser("status", help="streaming queries over this folder, of all sessions")
     stop = command.add_parser("stop", help="ask for the end of streaming queries, wherever they run")
     stop.add_argument("names", nargs="*", help="names of queries; none: all")
@@ -103,6 +104,8 @@ def run(spark: SparkSession, settings: Settings, args: argparse.Namespace) -> No
                 jobs.finish(*started)
             else:
                 supervise(spark, settings, started)
+        case "backfill":
+            print("backfilled" if jobs.backfill(spark, settings) else "no alerts")
         case "status":
             stored_status(spark, settings).orderBy("name").show(truncate=False)
         case "stop":

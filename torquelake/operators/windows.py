@@ -10,11 +10,14 @@ def _cars_of(color: str) -> Column:
     return F.count_if(F.col("color_name") == color)
 
 
-def alert_window_agg(alerts: DataFrame, width: str = "1 minute", delay: str = "10 seconds") -> DataFrame:
+def alert_window_agg(
+    alerts: DataFrame, width: str = "1 minute", delay: str = "10 seconds", **more: Column
+) -> DataFrame:
     """Counts and maxima per tumbling window ``[window_start, window_end)``.
 
     All aggregates combine before the shuffle, so a crowded window costs one row per task.
-    On a stream, ``delay`` bounds how late an event may be; a batch needs no bound.
+    On a stream, ``delay`` bounds how late an event may be; a batch needs no bound. ``more`` are
+    further aggregates by name.
     """
     if alerts.isStreaming:
         alerts = alerts.withWatermark("event_time", delay)
@@ -29,6 +32,7 @@ def alert_window_agg(alerts: DataFrame, width: str = "1 minute", delay: str = "1
             F.max("speed").alias("maximum_speed"),
             F.max("gear").alias("maximum_gear"),
             F.max("rpm").alias("maximum_rpm"),
+            *(column.alias(name) for name, column in more.items()),
         )
         .select(
             F.col("window.start").alias("window_start"),
@@ -40,5 +44,6 @@ def alert_window_agg(alerts: DataFrame, width: str = "1 minute", delay: str = "1
             "maximum_speed",
             "maximum_gear",
             "maximum_rpm",
+            *more,
         )
     )

@@ -192,6 +192,7 @@ def oracle_sql() -> dict[str, str]:
         "notification_text": _with(WINDOWS, f"SELECT window_start, window_end, {MESSAGE} AS message FROM windows"),
         # Streams
         "stream_alert_window_agg": _with(CLOSED, "SELECT * FROM closed"),
+        "stream_backfill_handover": _with(CLOSED, "SELECT * FROM closed"),
         "stream_chain_end_to_end": _with(CLOSED, "SELECT * FROM closed"),
         "stream_notifications": _with(CLOSED, f"SELECT window_start, window_end, {MESSAGE} AS message FROM closed"),
         # Looking around

@@ -305,6 +305,21 @@ def stream_notifications(spark: SparkSession, folder: str) -> DataFrame:
     return unzoned(tables.read_table(spark, tables.NOTIFICATIONS, settings))
 
 
+def stream_backfill_handover(spark: SparkSession, folder: str) -> DataFrame:
+    """The earlier half of the alerts waits in any order, in several files; the later half comes to the running stream."""
+    settings = replace(run_settings(spark, "backfill"), max_files_per_trigger=2)
+    alerts = only_alerts(zoned(flagged(spark, folder)))
+    middle = alerts.select(F.percentile_approx(F.unix_micros("event_time"), F.lit(0.5)).alias("micros")).first()[0]
+    is_later = F.coalesce(F.unix_micros("event_time") > F.lit(middle).cast("long"), F.lit(False))
+    earlier = alerts.filter(~is_later).repartition(spark.sparkContext.defaultParallelism)
+    write_topic(to_payload(earlier), config.TOPIC_ALERTS, settings)
+    jobs.backfill(spark, settings)
+    jobs.finish(jobs.start_alert_outputs(spark, settings, once=True))
+    write_topic(to_payload(alerts.filter(is_later)), config.TOPIC_ALERTS, settings)
+    jobs.finish(jobs.start_alert_outputs(spark, replace(settings, max_files_per_trigger=None), once=True))
+    return unzoned(tables.read_table(spark, tables.SUMMARY, settings))
+
+
 def stream_chain_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     settings = run_settings(spark, "chain")
     write_topic(messages(spark, folder), config.TOPIC_SENSORS, settings)
@@ -517,6 +532,7 @@ REGISTERED: dict[str, Query] = {
     "black_cars_over_100": black_cars_over_100,
     "notification_text": notification_text,
     "stream_alert_window_agg": stream_alert_window_agg,
+    "stream_backfill_handover": stream_backfill_handover,
     "stream_chain_end_to_end": stream_chain_end_to_end,
     "stream_notifications": stream_notifications,
     "preview_table": preview_table,

@@ -103,7 +103,13 @@ def write_topic_batch(payload: DataFrame, topic: str, settings: Settings, name:
         return False
     written = f"{settings.root.rstrip('/')}/topic-batches/{topic}/{name}"
     payload.write.mode("overwrite").text(written)
+    move_folder(spark, written, f"{settings.topic_location(topic)}/{name}")
+    return True
+
+
+def move_folder(spark: SparkSession, written: str, location: str) -> None:
+    """Put a written folder in its place by one renaming; the place must be free."""
+    system, target = _file_system(spark, location)
     system.mkdirs(target.getParent())
     if not system.rename(_file_system(spark, written)[1], target):
-        raise OSError(f"batch {name} could not be moved into topic {topic}")
-    return True
+        raise OSError(f"{written} could not be moved to {location}")

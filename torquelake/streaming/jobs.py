@@ -10,7 +10,8 @@ from __future__ import annotations
 from contextlib import nullcontext
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -43,6 +44,7 @@ from torquelake.sources.tables import (
     write_load,
 )
 from torquelake.sources.topics import ensure_topic, topic_batch, topic_exists, topic_sink, topic_source, write_topic_batch
+from torquelake.streaming.backfill import backfill_alerts, backfilled_until
 from torquelake.streaming.notify import notification_rows
 
 # Names of the queries; also the names of their checkpoint folders.
@@ -119,8 +121,10 @@ def flagged_stream(messages: DataFrame, settings: Settings) -> DataFrame:
     return flag_alerts(parse_payload(messages, ENRICHED_SCHEMA), settings.rules)
 
 
-def summary_stream(messages: DataFrame, settings: Settings) -> DataFrame:
+def summary_stream(messages: DataFrame, settings: Settings, since: Column | None = None) -> DataFrame:
     alerts = parse_payload(messages, ENRICHED_SCHEMA)
+    if since is not None:
+        alerts = alerts.filter(F.col("event_time") >= since)
     return alert_window_agg(alerts, settings.window, settings.watermark)
 
 
@@ -211,8 +215,16 @@ def _state_options(settings: Settings):
 
 
 def _alert_windows(spark: SparkSession, settings: Settings, starting: str) -> DataFrame:
+    """Windows of the alert topic; after a backfill those that it left, from the begin of the topic."""
     ensure_topic(spark, config.TOPIC_ALERTS, settings)
-    return summary_stream(topic_source(spark, config.TOPIC_ALERTS, settings, starting), settings)
+    since = backfilled_until(spark, settings)
+    starting = starting if since is None else "earliest"
+    return summary_stream(topic_source(spark, config.TOPIC_ALERTS, settings, starting), settings, since)
+
+
+def backfill(spark: SparkSession, settings: Settings) -> bool:
+    """The alerts that wait in the topic as one batch, before the aggregation is started; see ``backfill_alerts``."""
+    return backfill_alerts(spark, settings, (ALERT_SUMMARY, ALERT_NOTIFICATIONS, ALERT_OUTPUTS))
 
 
 def start_alert_summary(
