@@ -148,6 +148,15 @@ least AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.component_id, d.doc_id) AS component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN reps r USING (same) LEFT JOIN least l ON l.node = r.rep"""
 
+# The same with the number of links: rows of equal sets and of linked ones.
+LINKS = JACCARD.replace(
+    "SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, ",
+    """, alike AS (SELECT same, count(*) AS rows FROM sizes GROUP BY same),
+degrees AS (
+  SELECT e.a AS rep, sum(k.rows) AS n FROM edges e JOIN reps r ON r.rep = e.b JOIN alike k ON k.same = r.same GROUP BY e.a)
+SELECT d.doc_id, (coalesce(k.rows, 1) - 1 + coalesce(g.n, 0))::BIGINT AS n_links, coalesce(s.n, 0) AS n_shingles, """,
+) + " LEFT JOIN alike k USING (same) LEFT JOIN degrees g ON g.rep = r.rep"
+
 # crc32 has no SQL function: its table of 256 entries comes from the polynomial, words go byte by byte.
 RESAMPLING = f"""
 WITH RECURSIVE bits AS (
@@ -185,6 +194,7 @@ ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_source_mix": SOURCE_MIX,
     "op3_ngram_jaccard": JACCARD.format(n=3, num=90, den=100),
+    "op3_ngram_links": LINKS.format(n=3, num=90, den=100),
     "op6_quality_rules": QUALITY,
     "op7_benchmark_contamination": CONTAMINATION,
     "op11_importance_resampling": RESAMPLING,
