@@ -103,7 +103,7 @@ def test_mixing(edge_docs, no_docs):
         assert 0 <= r["taken"] <= 3 * r["size"]
     again = by_id(mixing.mix_sources(edge_docs.repartition(5)))
     assert all(sorted(first[k]) == sorted(again[k]) for k in first)
-    assert mixing.mix_sources(no_docs).count() == 0
+    assert mixing.mix_sources(no_docs).count() == mixing.mixed_documents(no_docs).count() == 0
     mixed = mixing.mixed_documents(edge_docs)
     assert mixed.columns == edge_docs.columns
     assert mixed.filter("text IS NOT NULL").agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] == sum(r["taken"] for r in rows)
