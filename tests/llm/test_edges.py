@@ -301,6 +301,22 @@ def test_toxicity_finds_words_anywhere(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
 
 
+def test_toxicity_learns_from_all_documents(spark, monkeypatch):
+    """Beside a start of two documents, which says nothing of the words of the others."""
+    from llm.conftest import words
+
+    rows, marks = [], []
+    for k in range(1200):
+        toxic = k % 3 == 0
+        rows.append((k, f"{words(k, 30)} {'vile' if toxic else 'kind'} {words(k + 1, 30)}", "en"))
+        marks.append((k, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string").repartition(3)
+    monkeypatch.setattr(toxicity, "FIT_TOXIC", 1)
+    monkeypatch.setattr(toxicity, "FIT_OTHER", 1)
+    got = toxicity.toxicity_digest(docs, spark.createDataFrame(marks, "doc_id int, toxic int"), 0).filter("held_out").collect()
+    assert np.mean([r["predicted"] == int(r["doc_id"] % 3 == 0) for r in got]) > 0.9
+
+
 def test_licenses(spark, no_docs, edge_docs):
     texts = {
         1: "x\nLicensed under CC BY-NC 4.0.", 2: None, 3: "All rights reserved. all RIGHTS, reserved", 4: "",
