@@ -317,6 +317,31 @@ def test_toxicity_learns_from_all_documents(spark, monkeypatch):
     assert np.mean([r["predicted"] == int(r["doc_id"] % 3 == 0) for r in got]) > 0.9
 
 
+def test_toxicity_calibrates_on_all_documents(spark):
+    """Ten thousand documents, three languages of which have enough."""
+    rows = [(int(k % 10 < 3), "de" if k % 4 == 0 else None if k % 4 == 1 else f"x{k % 1000}" if k % 4 == 2 else "en", k) for k in range(10_000)]
+    hits = np.array([[9 + k % 7] if toxic else [1 + k % 8] for toxic, _, k in rows], dtype=np.int32)
+    table = np.concatenate([np.zeros((1, 1)), np.linspace(0.1, 4, 16)[:, None]]).astype(np.float32)
+    one = [np.ones((w, 1), dtype=np.float32) * (w == 1) for w in toxicity.WIDTHS]
+    biases = [np.full(1, 4.0 if w == 1 else 0.0, dtype=np.float32) for w in toxicity.WIDTHS]
+    net = toxicity.Net(toxicity.Params(dims=1, filters=1), one, biases, np.array([1, 0, 0], dtype=np.float32), -4.0, np.arange(1, 17), table, None, {})
+    held = spark.createDataFrame([(t, lang, np.append(h, np.zeros(3, dtype=np.int32)).tobytes()) for (t, lang, _), h in zip(rows, hits, strict=True)],
+                                 "toxic int, lang string, words binary")
+    model = toxicity.calibrated(toxicity.Model([net]), held)
+    assert set(model.thresholds) == {"de", None, "en"} and model.slope > 0
+    scores = model.score(table[1:, 0].astype(np.float64))
+    assert all(scores[:8] < model.threshold) and all(scores[8:15] > model.threshold)
+    assert toxicity.calibrated(toxicity.Model([net]), held.limit(0)).threshold == math.inf
+
+
+def test_toxicity_threshold_counts_rejected_clean_documents():
+    bins, n, n_toxic = np.array([10, 5, 0]), np.array([50, 60, 1000]), np.array([50, 50, 0])
+    at = toxicity.best_threshold(bins, n, n_toxic)
+    assert 1 / (1 + np.exp(-1 / toxicity.STEPS)) < at < 1 / (1 + np.exp(-5 / toxicity.STEPS))
+    few = toxicity.best_threshold(bins, n, np.array([50, 40, 0]))  # 20 of 1,020 clean ones are too many
+    assert few > 1 / (1 + np.exp(-6 / toxicity.STEPS))
+
+
 def test_licenses(spark, no_docs, edge_docs):
     texts = {
         1: "x\nLicensed under CC BY-NC 4.0.", 2: None, 3: "All rights reserved. all RIGHTS, reserved", 4: "",
