@@ -342,6 +342,34 @@ def test_toxicity_threshold_counts_rejected_clean_documents():
     assert few > 1 / (1 + np.exp(-6 / toxicity.STEPS))
 
 
+def test_compared_cuts_only_give_new_links():
+    """Sets that are connected before give no link, and two roots give one, however many sets have them."""
+    similar = ngram_join.Similar(words=5, num=80, den=100)
+    grams = np.arange(40, dtype=np.uint64)
+    for k in range(2):  # two groups of unlike sets, in each the roots r0 and r1
+        sets = [np.append(grams + np.uint64(1000 * k), np.uint64(5000 + i)).tobytes() for i in range(10)]
+        roots = [f"r{i % 2}" if k else "r0" for i in range(10)]
+        cut = pa.table({"node": [f"n{i}" for i in range(10)], "root": roots, "grams": pa.array(sets, pa.binary()), "asked": [True] * 10})
+        links = ngram_join._compare(similar, rows_only=True)(cut).to_pylist()
+        assert links == ([{"a": "r0", "b": "r1"}] if k else [])
+
+
+def test_token_files_take_few_texts_at_a_time(spark, monkeypatch, tmp_path):
+    sizes = tmp_path / "sizes"
+    sizes.mkdir()
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text")).coalesce(1)
+
+    def batches(rows):
+        for batch in rows:
+            (sizes / f"{batch.num_rows}").touch()
+            yield batch
+
+    rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.lit(0).alias("_h"))
+    monkeypatch.setattr(token_files, "identified", lambda *a: rows.mapInArrow(batches, rows.schema))
+    token_files.write_token_files(docs, str(tmp_path / "files"), TOKENIZER)
+    assert 0 < max(int(p.name) for p in sizes.iterdir()) <= token_files.ROWS_AT_ONCE
+
+
 def test_licenses(spark, no_docs, edge_docs):
     texts = {
         1: "x\nLicensed under CC BY-NC 4.0.", 2: None, 3: "All rights reserved. all RIGHTS, reserved", 4: "",

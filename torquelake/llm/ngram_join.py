@@ -295,24 +295,24 @@ def _count(similar: Similar):
 
 
 def _compare(similar: Similar, rows_only: bool):
-    """Links of one cut of a block: each set with the first one that it is connected to."""
+    """Links of one cut of a block: between the roots that sets had before, and only such as connect something new.
+
+    A set has one root in all pairs of cuts, so many of its pairs find the same link, not one for each set.
+    """
 
     def compare(table: pa.Table) -> pa.Table:
         forget()
-        node, root = table.column("node").to_pylist(), table.column("root").to_pylist()
+        root = table.column("root").to_pylist()
         sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("grams").to_pylist()]
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
         order = np.argsort(sizes, kind="stable")
         names = {x: k for k, x in enumerate(dict.fromkeys(root))}
         known = np.array([names[root[i]] for i in order])
         asked = np.array(table.column("asked").to_pylist(), dtype=bool)[order] if rows_only else np.ones(len(sets), dtype=bool)
-        found = product(sizes[order], [sets[i] for i in order], similar, known, np.flatnonzero(asked))
-        first: dict[int, str] = {}
-        for k, i in zip(found.tolist(), order.tolist(), strict=True):
-            first[k] = min(first.get(k, node[i]), node[i])
-        a = [first[k] for k in found.tolist()]
-        b = [node[i] for i in order]
-        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
+        found = product(sizes[order], [sets[i] for i in order], similar, known.copy(), np.flatnonzero(asked))
+        label = list(names)
+        new = np.unique(np.stack([found, known], axis=1)[found != known], axis=0)
+        return pa.table({k: pa.array([label[r] for r in ends.tolist()], pa.string()) for k, ends in (("a", new[:, 0]), ("b", new[:, 1]))})
 
     return compare
 

@@ -22,11 +22,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from torquelake.config import scratch_folder
+from torquelake.config import scratch_folder, session_options
 from torquelake.llm.common import identified, match_few
-from torquelake.llm.subwords import encoder
+from torquelake.llm.subwords import encoder, release
 
 CHUNK = 1_000_000
+#: Texts that come to a task at a time.
+ROWS_AT_ONCE = 2000
 #: For each control byte the lengths of its four tokens.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 
@@ -79,6 +81,7 @@ def write_token_files(
     )
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # what the stages before have left in this worker
         codec = encoder(tokenizer)
         end = np.array([end_id], dtype=codec.dtype).tobytes()
         part, number, before = TaskContext.get().partitionId(), 0, 0
@@ -106,11 +109,13 @@ def write_token_files(
                 size += len(texts[-1]) // codec.dtype.itemsize
                 if size >= CHUNK:
                     yield chunk()
+                    release()
                     number, before, size, ids, texts = number + 1, before + size, 0, [], []
         if ids:
             yield chunk()
 
-    ordered.select("_id", "_text").mapInArrow(chunks, schema).write.parquet(folder)
+    with session_options(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(ROWS_AT_ONCE)}):
+        ordered.select("_id", "_text").mapInArrow(chunks, schema).write.parquet(folder)
 
 
 def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
