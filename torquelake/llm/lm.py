@@ -21,9 +21,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from torquelake.config import session_options
 from torquelake.llm.attention import Pass, Scorer, Shape, averaged, train_scorer
 from torquelake.llm.common import ascii_lower, fit_in_task, match, stored, within
-from torquelake.llm.subwords import encoder
+from torquelake.llm.subwords import encoder, forget, release
 from torquelake.llm.wordhash import word_hashes
 
 #: Share of the words in a look at some documents from which on a word is counted apart, and their number.
@@ -40,6 +41,8 @@ TOGETHER = 200_000
 KEPT = 2_000_000
 #: Documents of a block; a place in it needs 16 bits.
 BLOCK = 2048
+#: Rows of words that a task hands on at a time.
+HANDED_ON = 20_000
 WORD, DOC, SUBWORD, HOT = range(4)
 
 
@@ -125,7 +128,9 @@ def tokenized(rows: DataFrame, hot: np.ndarray, tokenizer: str, end_id: int) ->
                 raw = packed.tobytes()
                 kept = np.flatnonzero(~is_hot)
                 data = [raw[4 * a : 4 * b] for a, b in zip(cuts[kept].tolist(), cuts[kept + 1].tolist(), strict=True)]
-                yield rows_of(WORD, values[kept].view(np.int64), number, trained[kept], data, id_kind=id_kind)
+                for a in range(0, len(kept), HANDED_ON):
+                    some = kept[a : a + HANDED_ON]
+                    yield rows_of(WORD, values[some].view(np.int64), number, trained[some], data[a : a + HANDED_ON], id_kind=id_kind)
                 yield rows_of(HOT, place[is_hot], number, trained[is_hot], id_kind=id_kind)
 
                 by_doc = np.argsort(doc[~cold], kind="stable")
@@ -133,6 +138,9 @@ def tokenized(rows: DataFrame, hot: np.ndarray, tokenizer: str, end_id: int) ->
                 cuts = np.concatenate([[0], np.cumsum(np.bincount(doc[~cold][by_doc], weights=spread, minlength=len(sizes)).astype(np.int64))]).tolist()
                 raw = packed.tobytes()
                 more = [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+                # What the words took is free before the subwords take theirs.
+                del words, doc, values, word, both, times, place, is_hot, cold, packed, spread, raw, data, by_doc, kept
+                release()
                 texts = codec.encode(batch.column(3).to_pylist(), special=True)
                 yield rows_of(DOC, np.arange(len(sizes)), number, sizes + 1, texts, more, batch.column(0), batch.column(1), batch.column(2), id_kind)
 
@@ -144,7 +152,8 @@ def tokenized(rows: DataFrame, hot: np.ndarray, tokenizer: str, end_id: int) ->
                 number += 1
 
     schema = f"kind int, key bigint, block bigint, n bigint, data binary, more binary, _id {id_type}, _h bigint, _held boolean"
-    return stored(rows.select("_id", "_h", "_held", "_text").mapInArrow(pass_over, schema), "lm-tokens", ("kind",), "zstd")
+    with session_options(rows.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BLOCK)}):
+        return stored(rows.select("_id", "_h", "_held", "_text").mapInArrow(pass_over, schema), "lm-tokens", ("kind",), "zstd")
 
 
 def word_sums(words: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -155,6 +164,7 @@ def word_sums(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         carried: pa.Table | None = None
         docs, totals, knowns = [np.zeros(0, dtype=np.int64)], [np.zeros(0)], [np.zeros(0, dtype=np.int64)]
         distinct = trained = pending = 0
@@ -245,6 +255,7 @@ def refined(scorer: Scorer, trained: DataFrame, dtype: np.dtype) -> Scorer:
         sent = spark.sparkContext.broadcast(scorer)
 
         def learned(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            forget()
             own = Pass(sent.value)
             for batch in batches:
                 for texts in together([np.frombuffer(x, dtype=dtype) for x in batch.column(0).to_pylist()]):
@@ -254,6 +265,7 @@ def refined(scorer: Scorer, trained: DataFrame, dtype: np.dtype) -> Scorer:
                 yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([own.weighted().tobytes()], pa.binary())], names=["part", "sums"])
 
         def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget()
             total = None
             for batch in batches:
                 for x in batch.column(1):
@@ -327,6 +339,7 @@ def score_texts(
     id_type = tokens.schema["_id"].dataType.simpleString()
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         model = sent.value
         for batch in batches:
             doc = batch.column(0).to_numpy() << 16 | batch.column(1).to_numpy()
