@@ -14,6 +14,10 @@ from dataclasses import dataclass
 import numpy as np
 
 
+#: Windows whose numbers are worked on together, so that they stay in a core's cache.
+PIECE = 64
+
+
 @dataclass(frozen=True)
 class Shape:
     """Sizes of the model and its fit."""
@@ -92,61 +96,89 @@ class Attention:
     def hidden(self, inputs: np.ndarray, exists: np.ndarray):
         """Vectors behind the last ``step`` inputs of each window, and what the fit needs of the way."""
         p, d, step = self.p, self.shape.dims, self.shape.step
-        x = p["embed"][inputs] + p["place"]
+        x = p["embed"].take(inputs, axis=0)
+        x += p["place"]
         flat = x.reshape(-1, d)
         k, v = ((flat @ p[n]).reshape(x.shape) for n in "kv")
         last = np.ascontiguousarray(x[:, -step:])
         q = (last.reshape(-1, d) @ p["q"]).reshape(last.shape)
         a = q @ k.transpose(0, 2, 1)
-        np.minimum(a, self.MOST, out=a)
+        self._capped(a)
         np.exp(a, out=a)
         a *= self.sees
-        a *= exists[:, None, :]
-        a /= a.sum(axis=2, keepdims=True) + np.float32(1e-30)
+        a *= exists.astype(np.float32)[:, None, :]
+        a *= 1 / (a @ np.ones((a.shape[2], 1), dtype=a.dtype) + np.float32(1e-30))
         c = a @ v
         return last + (c.reshape(-1, d) @ p["o"]).reshape(c.shape), (x, last, q, k, v, a, c)
 
+    def _capped(self, exponents: np.ndarray) -> None:
+        if exponents.max(initial=0) > self.MOST:
+            np.minimum(exponents, self.MOST, out=exponents)
+
+    def _exponents(self, hidden: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weight of each class behind each vector, not shared out to 1; the vectors with a 1 for the bias."""
+        more = np.ones((len(hidden), hidden.shape[1] + 1), dtype=hidden.dtype)
+        more[:, :-1] = hidden
+        z = more @ np.vstack([self.p["out"], self.p["bias"]])
+        self._capped(z)
+        return np.exp(z, out=z), more
+
     def class_logs(self, hidden: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """Log probability of each class behind each vector."""
-        z = hidden @ self.p["out"]
-        z += self.p["bias"]
-        np.minimum(z, self.MOST, out=z)
-        chosen = z[np.arange(len(z)), classes]
-        np.exp(z, out=z)
-        return chosen - np.log(z @ np.ones(z.shape[1], dtype=z.dtype))
+        e, _ = self._exponents(hidden)
+        chosen = np.einsum("ij,ij->i", hidden, self.p["out"].T[classes]) + self.p["bias"][classes]
+        return np.minimum(chosen, self.MOST) - np.log(e @ np.ones(e.shape[1], dtype=e.dtype))
 
     def gradients(self, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray, use: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean loss in nats over the used places, and its gradients."""
+        """Mean loss in nats over the used places, and its gradients, summed up over pieces of ``PIECE`` windows."""
+        n = max(int(use.sum()), 1)
+        loss, g, dx = 0.0, {}, np.empty((*inputs.shape, self.shape.dims), dtype=np.float32)
+        for at in range(0, len(inputs), PIECE):
+            piece = slice(at, at + PIECE)
+            own_loss, own = self._piece(inputs[piece], exists[piece], targets[piece].reshape(-1), use[piece].reshape(-1), n, dx[piece])
+            loss += own_loss
+            g = {name: g[name] + part for name, part in own.items()} if g else own
+        g["place"] = dx.sum(axis=0)
+        rows_in = inputs.reshape(-1).astype(np.uint16 if self.shape.own_inputs < 1 << 16 else np.int64)  # short numbers sort faster
+        order = np.argsort(rows_in, kind="stable")
+        sorted_rows = rows_in[order]
+        begin = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
+        embed = np.zeros_like(self.p["embed"])
+        embed[sorted_rows[begin]] = np.add.reduceat(dx.reshape(-1, self.shape.dims)[order], begin)
+        g["embed"] = embed
+        return float(loss), g
+
+    def _piece(self, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray, use: np.ndarray, n: int, dx: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        """Loss and gradients of some windows, those of the inputs' vectors in ``dx``."""
         p, d, step = self.p, self.shape.dims, self.shape.step
         h, (x, last, q, k, v, a, c) = self.hidden(inputs, exists)
-        e = np.exp(np.minimum(h @ p["out"] + p["bias"], self.MOST))
-        e /= e.sum(axis=2, keepdims=True)
-        n = max(int(use.sum()), 1)
-        rows = np.nonzero(use)
-        loss = -np.log(np.maximum(e[(*rows, targets[rows])], 1e-12)).sum() / n
-        e[(*rows, targets[rows])] -= 1
-        e *= (use / n).astype(np.float32)[:, :, None]
-        g = {"out": h.reshape(-1, d).T @ e.reshape(-1, e.shape[2]), "bias": e.sum(axis=(0, 1))}
+        flat = lambda y: y.reshape(-1, d)
+        e, more = self._exponents(flat(h))
+        total = e @ np.ones(e.shape[1], dtype=e.dtype)
+        rows = np.flatnonzero(use)
+        hit = targets[rows]
+        loss = -np.log(np.maximum(e[rows, hit] / total[rows], 1e-12)).sum() / n
+        e[rows, hit] -= total[rows]
+        # Shares and means by way of the vectors, which are shorter than the rows of classes.
+        weight = (use / (n * total)).astype(np.float32)[:, None]
+        out = (more * weight).T @ e
+        g = {"out": out[:-1], "bias": out[-1]}
         dh = e @ p["out"].T
-        g["o"] = c.reshape(-1, d).T @ dh.reshape(-1, d)
-        dc = dh @ p["o"].T
+        dh *= weight
+        g["o"] = flat(c).T @ dh
+        dc = (dh @ p["o"].T).reshape(c.shape)
         dv = a.transpose(0, 2, 1) @ dc
-        da = dc @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
+        ds = dc @ v.transpose(0, 2, 1)
+        ds -= np.einsum("bij,bij->bi", ds, a)[:, :, None]
+        ds *= a
         dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        dx = dk @ p["k"].T + dv @ p["v"].T
-        dx[:, -step:] += dh + dq @ p["q"].T
-        g["q"] = last.reshape(-1, d).T @ dq.reshape(-1, d)
+        np.add((flat(dk) @ p["k"].T).reshape(dx.shape), (flat(dv) @ p["v"].T).reshape(dx.shape), out=dx)
+        dh += flat(dq) @ p["q"].T
+        dx[:, -step:] += dh.reshape(h.shape)
+        g["q"] = flat(last).T @ flat(dq)
         for name, part in (("k", dk), ("v", dv)):
-            g[name] = x.reshape(-1, d).T @ part.reshape(-1, d)
-        g["place"] = dx.sum(axis=0)
-        rows_in = inputs.reshape(-1)
-        order = np.argsort(rows_in, kind="stable")
-        begin = np.flatnonzero(np.diff(rows_in[order], prepend=-1))
-        embed = np.zeros_like(p["embed"])
-        embed[rows_in[order][begin]] = np.add.reduceat(dx.reshape(-1, d)[order], begin)
-        g["embed"] = embed
-        return float(loss), g
+            g[name] = flat(x).T @ flat(part)
+        return loss, g
 
     def fit(self, inputs: np.ndarray, targets: np.ndarray, places: np.ndarray) -> list[float]:
         """Adam over random batches of windows, the pace falling to zero."""
@@ -200,7 +232,7 @@ class Scorer:
     model: Attention
     end: int
 
-    def scores(self, texts: list[np.ndarray], together: int = 512) -> np.ndarray:
+    def scores(self, texts: list[np.ndarray], together: int = PIECE) -> np.ndarray:
         """log10 probability of each text, its end included."""
         inputs, targets, lengths = sequences(texts, self.end)
         places, step = windows(lengths, self.model.shape), self.model.shape.step
