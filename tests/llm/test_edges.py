@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from torquelake.llm import (
-    decontaminate, licenses, line_dedup, lm, mixing, ngram_join, quality, secret_scan, token_files, toxicity,
+    common, decontaminate, licenses, line_dedup, lm, mixing, ngram_join, quality, secret_scan, token_files, toxicity,
 )
 from torquelake.llm.attention import Shape
 from torquelake.llm.common import in_fold
@@ -317,6 +317,23 @@ def test_toxicity_learns_from_all_documents(spark, monkeypatch):
     assert np.mean([r["predicted"] == int(r["doc_id"] % 3 == 0) for r in got]) > 0.9
 
 
+def test_toxicity_driver_holds_pieces(spark, monkeypatch):
+    """No more of a model than a piece comes to the driver in a row, and no broadcast of the training stays."""
+    from llm.conftest import words
+
+    docs = spark.createDataFrame([(k, f"{words(k, 9)} {'vile' if k % 3 == 0 else 'kind'}", "en") for k in range(60)], "doc_id int, text string, lang string")
+    marked = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(60)], "doc_id int, toxic int")
+    pieces, sent, store, broadcast = [], [], common.stored, type(spark.sparkContext).broadcast
+    monkeypatch.setattr(common, "PIECE", 2000)
+    monkeypatch.setattr(common, "stored", lambda frame, *a, **b: pieces.append(store(frame, *a, **b)) or pieces[-1])
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(broadcast(self, value)) or sent[-1])
+    assert toxicity.train(docs, marked, toxicity.Params(visits=100, nets=2, min_docs=1)).nets
+    sizes = [[len(r["piece"]) for r in p.collect()] for p in pieces if "piece" in p.columns]
+    assert len(sizes) == 1 + toxicity.ROUNDS and all(len(x) > 1 and max(x) <= 2000 for x in sizes)
+    assert len(sent) == toxicity.ROUNDS + 1 and not any(x._jbroadcast.isValid() for x in sent)
+    assert common.fit_in_task(docs, lambda table: sorted(table.column("text").to_pylist())) == sorted(r["text"] for r in docs.collect())
+
+
 def test_toxicity_calibrates_on_all_documents(spark):
     """Ten thousand documents, three languages of which have enough."""
     rows = [(int(k % 10 < 3), "de" if k % 4 == 0 else None if k % 4 == 1 else f"x{k % 1000}" if k % 4 == 2 else "en", k) for k in range(10_000)]
