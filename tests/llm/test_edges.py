@@ -334,6 +334,20 @@ def test_toxicity_driver_holds_pieces(spark, monkeypatch):
     assert common.fit_in_task(docs, lambda table: sorted(table.column("text").to_pylist())) == sorted(r["text"] for r in docs.collect())
 
 
+def test_stored_spares_the_driver(spark, monkeypatch):
+    """A stored table lets the driver's JVM collect its whole heap, but not each one does."""
+    beans = list(spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans())
+    runs = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    before = runs()
+    monkeypatch.setattr(common, "_spared", -math.inf, raising=False)
+    common.stored(spark.range(3), "small")
+    assert runs() > before
+    at = common._spared
+    assert common.stored(spark.range(3), "small").count() == 3
+    assert common._spared == at
+    assert isinstance(common.trim_native_heap(spark), str)
+
+
 def test_toxicity_calibrates_on_all_documents(spark):
     """Ten thousand documents, three languages of which have enough."""
     rows = [(int(k % 10 < 3), "de" if k % 4 == 0 else None if k % 4 == 1 else f"x{k % 1000}" if k % 4 == 2 else "en", k) for k in range(10_000)]
